@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import change_pct
+from tickloom.functions.scalars import bucket_start, change_pct
 from tickloom.operators.rollup import window_close
 from tickloom.operators.series import map_series
 from tickloom.schemas import DAY_MS, MINUTE_MS
@@ -28,15 +28,14 @@ def rolling_window_change(windows: DataFrame, **series) -> DataFrame:
     )
 
 
-def latest_change(changes: DataFrame, horizon_ms: int | None = DAY_MS) -> DataFrame:
-    """Newest window per symbol, with the quote volume of the windows in the horizon.
+def latest_change(changes: DataFrame, as_of: int | Column | None = None, horizon_ms: int = DAY_MS) -> DataFrame:
+    """Newest window per symbol, with the quote volume of its windows.
 
-    The horizon ends at the newest window of the table; None sums every window given.
+    Given ``as_of`` (a window start), only windows of the horizon that ends there count.
     """
     volume = F.col("volume")
-    if horizon_ms is not None:
-        newest = changes.select(F.max("window_start").alias("m")).scalar()
-        volume = F.when(F.col("window_start") > newest - horizon_ms, volume)
+    if as_of is not None:
+        volume = F.when(F.col("window_start") > F.lit(as_of) - horizon_ms, volume)
     t = "window_start"
     return changes.groupBy("symbol").agg(
         F.max_by("close_price", t).alias("price"),
@@ -68,6 +67,12 @@ def rank_position(df: DataFrame, n: int = 1000, kind: str = "gainers") -> DataFr
 def ranking(
     closed: DataFrame, n: int = 10_000, width: int = MINUTE_MS, horizon_ms: int | None = DAY_MS, **series
 ) -> DataFrame:
-    """Closed candles to the ranking rows: window closes, their change, newest per symbol, top n."""
+    """Closed candles to the ranking rows: window closes, their change, newest per symbol, top n.
+
+    The 24 h volume covers the horizon up to the newest window of the input; None covers it all.
+    """
+    newest = None
+    if horizon_ms is not None:
+        newest = closed.select(F.max(bucket_start("openTime", width)).alias("m")).scalar()
     changes = rolling_window_change(window_close(closed, width), **series)
-    return top_gainers(latest_change(changes, horizon_ms), n)
+    return top_gainers(latest_change(changes, newest, horizon_ms or 0), n)
