@@ -79,9 +79,8 @@ WITH sales AS (
          l_extendedprice / l_quantity AS price, l_quantity AS volume, l_extendedprice AS quote,
          ROW(l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS ord
   FROM lineitem)
-SELECT symbol, day - day % 86400000 AS window_start, round(arg_min(price, ord), 6) AS open,
-       round(max(price), 6) AS high, round(min(price), 6) AS low,
-       round(arg_max(price, ord), 6) AS close, sum(volume) AS volume,
+SELECT symbol, day - day % 86400000 AS window_start, arg_min(price, ord) AS open,
+       max(price) AS high, min(price) AS low, arg_max(price, ord) AS close, sum(volume) AS volume,
        round(sum(quote), 2) AS "quoteVolume", CAST(count(*) AS BIGINT) AS trades
 FROM sales GROUP BY 1, 2""",
 )
@@ -98,7 +97,7 @@ def rollup_1d_by_supplier(spark, d):
         F.struct("time", "seq").alias("seq"),
     )
     bars = ru.rollup_ohlc(candles, "1d", order="seq").drop("interval", "openTime", "closeTime")
-    return rounded(rounded(bars, "open", "high", "low", "close"), "quoteVolume", digits=2)
+    return rounded(bars, "quoteVolume", digits=2)
 
 
 @register(

@@ -13,10 +13,10 @@ LAST_DAY = 1_706_572_800_000
 AFTER_END = 1_706_745_600_000
 MID_MONTH = 1_705_276_800_000
 
-# The ticks CTE mirrors sources/testdata.py.
+# The ticks CTE mirrors sources/testdata.py: microseconds are cut to whole milliseconds.
 TICKS = """
 ticks AS (
-  SELECT event_type AS symbol, epoch_ms(ts) AS "time", event_id AS "tradeId", value AS price,
+  SELECT event_type AS symbol, epoch_us(ts) // 1000 AS "time", event_id AS "tradeId", value AS price,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS quantity,
          CAST(json_extract_string(props, '$.k') AS BIGINT) < 50 AS "isBuyerMaker"
   FROM events)"""

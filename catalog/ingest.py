@@ -63,7 +63,7 @@ def parse_trades(spark, d):
 @register(
     "parse_trades_arrival_time",
     """SELECT event_type AS symbol, value AS price, CAST(0 AS DOUBLE) AS quantity,
-    epoch_ms(ts) AS "time", false AS "isBuyerMaker", CAST(NULL AS BIGINT) AS "tradeId" FROM events""",
+    epoch_us(ts) // 1000 AS "time", false AS "isBuyerMaker", CAST(NULL AS BIGINT) AS "tradeId" FROM events""",
 )
 def parse_trades_arrival_time(spark, d):
     sparse = F.struct(
@@ -223,14 +223,16 @@ _TABLES = "['5m_kline', '1h_kline', '4h_kline', '1d_kline', 'other']"
 
 @register(
     "interval_lookups",
-    f"""WITH {TICKS}, m AS (SELECT *, CAST("tradeId" % 5 AS INTEGER) + 1 AS i FROM ticks)
+    f"""WITH {TICKS}, m AS (SELECT *, CASE symbol WHEN 'click' THEN 1
+      WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 ELSE 5 END AS i FROM ticks)
     SELECT ({_MODES})[i] AS mode, (['1m', '5m', '1h', '4h', '1d'])[i] AS by_mode,
       ({_TABLES})[i] AS tbl, (['5m', '1h', '4h', '1d', '5m'])[i] AS by_table,
       count(*) AS n, CAST(([60000, 300000, 3600000, 14400000, 86400000])[i] AS BIGINT) AS ms
     FROM m GROUP BY i""",
 )
 def interval_lookups(spark, d):
-    i = F.pmod(F.col("tradeId"), F.lit(5)).cast("int") + 1
+    kinds = F.array(*[F.lit(k) for k in ("click", "view", "purchase", "signup", "error")])
+    i = F.array_position(kinds, F.col("symbol")).cast("int")
 
     def pick(names):
         return F.element_at(F.array(*[F.lit(n) for n in names]), i)

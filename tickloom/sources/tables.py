@@ -138,10 +138,13 @@ def with_date(df: DataFrame) -> DataFrame:
 
 
 def write_candles(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Parquet partitioned by interval and date; one file set per partition, sorted by key."""
+    """Parquet partitioned by interval and date, sorted by key.
+
+    Rebalancing writes few files per partition and splits a partition with very many rows.
+    """
     (
         with_date(df)
-        .repartition("interval", "date", F.pmod(F.hash("symbol"), F.lit(16)))
+        .hint("rebalance", "interval", "date")
         .sortWithinPartitions("interval", "date", "symbol", "openTime")
         .write.mode(mode)
         .partitionBy("interval", "date")
@@ -164,7 +167,7 @@ def upsert_into(spark: SparkSession, path: str, incoming: DataFrame, arrival: st
     (
         upsert(existing, incoming, KEY, arrival)
         .select(*existing.columns)
-        .repartition("interval", "date", F.pmod(F.hash("symbol"), F.lit(16)))
+        .hint("rebalance", "interval", "date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("interval", "date")

@@ -91,12 +91,12 @@ def _upserted(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def gains_job(
-    stream: DataFrame, base: str, width: str = "1 minute", late: str = "2 minutes", checkpoint: str | None = None,
-    every: str | None = None,
+    stream: DataFrame, base: str, width: str = "1 minute", late: str = "2 minutes", part_ms: int = HOUR_MS,
+    checkpoint: str | None = None, every: str | None = None,
 ) -> tuple[StreamingQuery, StateTable]:
-    """Window gains in update mode, kept in a table by hour."""
+    """Window gains in update mode, kept in a table by time."""
     spark = stream.sparkSession
-    table = StateTable(spark, base, GAINS_SCHEMA, bucket_start("window_start", HOUR_MS))
+    table = StateTable(spark, base, GAINS_SCHEMA, bucket_start("window_start", part_ms))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         table.merge(batch, batch_id, _upserted)
@@ -113,18 +113,19 @@ def top_gainers_job(
     late: str = "2 minutes",
     horizon_ms: int | None = DAY_MS,
     ttl_ms: int = 60_000,
+    part_ms: int = HOUR_MS,
     checkpoint: str | None = None,
     every: str | None = None,
 ) -> tuple[StreamingQuery, StateTable]:
     """Closed candles to a served ranking.
 
     Spark's state holds only windows the watermark still allows to change. Finished windows live
-    in a table by hour, of which a batch rewrites the hours it touches and drops those older than
-    the horizon. Returns the query and the ranking table.
+    in a table cut by ``part_ms``: a batch rewrites the parts it touches and drops those older
+    than the horizon. Returns the query and the ranking table.
     """
     spark = klines.sparkSession
-    hour = bucket_start("window_start", HOUR_MS)
-    windows = StateTable(spark, f"{base}/windows", WINDOWS_SCHEMA, hour)
+    part = bucket_start("window_start", part_ms)
+    windows = StateTable(spark, f"{base}/windows", WINDOWS_SCHEMA, part)
     served = StateTable(spark, f"{base}/ranking", RANKING_SCHEMA)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -142,7 +143,7 @@ def top_gainers_job(
         expiry = (F.unix_millis(F.current_timestamp()) + ttl_ms).alias("expires_at")
         served.write(ranked.select("*", expiry), batch_id, [0])
         served.prune(batch_id)
-        windows.prune(batch_id, None if newest is None else newest - 2 * horizon_ms - HOUR_MS)
+        windows.prune(batch_id, None if newest is None else newest - 2 * horizon_ms - part_ms)
 
     closed = valid_tick(closed_only(klines))
     return start(stream_window_close(closed, width, late), on_batch, "update", checkpoint, every), served

@@ -71,7 +71,9 @@ class StateTable:
     def write(self, df: DataFrame, batch: int, parts: Iterable[int]) -> None:
         """Replace ``parts`` by ``df``, which holds all of their rows; a part may become empty."""
         folder = f"{self.base}/batch={batch}"
-        df.withColumn("part", self.part).write.mode("overwrite").partitionBy("part").parquet(folder)
+        # Rebalancing gives few files per part and splits a part that has very many rows.
+        rows = df.withColumn("part", self.part).hint("rebalance", "part")
+        rows.write.mode("overwrite").partitionBy("part").parquet(folder)
         fs, marker = self._fs(f"{folder}/{MARKER}")
         out = fs.create(marker, True)
         out.writeUTF(",".join(str(p) for p in sorted(parts)))

@@ -33,6 +33,7 @@ def candle_store_job(
     klines: DataFrame,
     base: str,
     retention_ms: int | None = DAY_MS,
+    part_ms: int = HOUR_MS,
     checkpoint: str | None = None,
     every: str | None = None,
 ) -> tuple[StreamingQuery, StateTable, StateTable]:
@@ -41,7 +42,7 @@ def candle_store_job(
     ``klines`` has the arrival number ``seq``. Returns the query, the candles and the latest view.
     """
     spark = klines.sparkSession
-    candles = StateTable(spark, f"{base}/candles", CANDLES_SCHEMA, bucket_start("openTime", HOUR_MS))
+    candles = StateTable(spark, f"{base}/candles", CANDLES_SCHEMA, bucket_start("openTime", part_ms))
     latest = StateTable(spark, f"{base}/latest", CANDLES_SCHEMA + ", expires_at BIGINT")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -58,7 +59,7 @@ def candle_store_job(
             oldest = None
             if retention_ms is not None:
                 newest = batch.agg(F.max("openTime")).first()[0]
-                oldest = newest - retention_ms - HOUR_MS
+                oldest = newest - retention_ms - part_ms
             candles.prune(batch_id, oldest)
         finally:
             batch.unpersist()
@@ -113,7 +114,11 @@ def live_candles_job(
 
 
 def changed_only_job(
-    emissions: DataFrame, base: str, checkpoint: str | None = None, every: str | None = None
+    emissions: DataFrame,
+    base: str,
+    part_ms: int = HOUR_MS,
+    checkpoint: str | None = None,
+    every: str | None = None,
 ) -> tuple[StreamingQuery, StateTable, StateTable]:
     """Emissions (symbol, time, seq, lastUpdateId) whose id differs from the previous one.
 
@@ -122,7 +127,7 @@ def changed_only_job(
     spark = emissions.sparkSession
     schema = "symbol STRING, time BIGINT, seq BIGINT, lastUpdateId BIGINT"
     last = StateTable(spark, f"{base}/last", schema)
-    out = StateTable(spark, f"{base}/out", schema, bucket_start("time", HOUR_MS))
+    out = StateTable(spark, f"{base}/out", schema, bucket_start("time", part_ms))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.select("symbol", "time", "seq", "lastUpdateId").persist()
