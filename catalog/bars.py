@@ -172,7 +172,7 @@ def window_close(spark, d):
              arg_max(price, ROW("time", price)) AS close_price, count(*) AS trade_count
       FROM ticks GROUP BY 1, 2)
     SELECT symbol, window_start, open_price, close_price, trade_count,
-           {r('(close_price - open_price) / open_price * 100', 'percent_change')} FROM g""",
+           {r('(close_price - open_price) / nullif(open_price, 0) * 100', 'percent_change')} FROM g""",
 )
 def window_gain(spark, d):
     return rounded(ru.window_gain(td.ticks(spark, d), HOUR_MS), "percent_change")

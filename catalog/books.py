@@ -137,8 +137,8 @@ def book_payload(spark, d):
     p = bk.book_payload(bk.replay_book(u), bk.last_update_id(u), 100)
     return p.select(
         "symbol", "lastUpdateId", F.size("bids").cast("bigint").alias("bids"), F.size("asks").cast("bigint").alias("asks"),
-        F.col("bids")[0]["price"].alias("best_bid"), F.col("asks")[0]["price"].alias("best_ask"),
-        F.element_at("asks", -1)["qty"].alias("last_ask_qty"),
+        F.get("bids", F.lit(0))["price"].alias("best_bid"), F.get("asks", F.lit(0))["price"].alias("best_ask"),
+        F.try_element_at("asks", F.lit(-1))["qty"].alias("last_ask_qty"),
     )
 
 

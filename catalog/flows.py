@@ -55,7 +55,7 @@ def stream_max_price(spark, d):
              arg_max(price, ROW("time", price)) AS close_price, count(*) AS trade_count
       FROM ticks GROUP BY 1, 2)
     SELECT symbol, window_start, open_price, close_price, trade_count,
-           {r('(close_price - open_price) / open_price * 100', 'percent_change')} FROM g""",
+           {r('(close_price - open_price) / nullif(open_price, 0) * 100', 'percent_change')} FROM g""",
 )
 def stream_window_gain(spark, d):
     q, table = sr.gains_job(tick_stream(spark, d), run_dir(spark, "gains"), "1 hour", part_ms=7 * DAY_MS)

@@ -193,7 +193,7 @@ def prediction_summary(spark, d):
 @register(
     "prediction_history",
     f"""{HOURLY_PREDICTIONS}, joined AS (
-      SELECT p.*, b.close AS actual_price, (b.close - p.close) / p.close * 100 AS actual_change
+      SELECT p.*, b.close AS actual_price, (b.close - p.close) / nullif(p.close, 0) * 100 AS actual_change
       FROM predictions p LEFT JOIN bars b ON b.symbol = p.symbol AND b."openTime" = p."openTime" + {HOUR_MS})
     SELECT symbol, "openTime", prediction_time, {r('predicted_price', 'predicted_price')},
       {r('predicted_change_pct', 'predicted_change')}, actual_price, {r('actual_change', 'actual_change')},

@@ -191,7 +191,10 @@ def indicator_table(spark, d):
 
 
 def feature_sql(source: str = "candles", order: str = '"openTime", seq') -> str:
-    """CTEs ending in ``features``: every feature and the target of each row of ``source``."""
+    """CTEs ending in ``features``: every feature and the target of each row of ``source``.
+
+    A change against a zero price is null, as in the operators.
+    """
     w = f"PARTITION BY symbol ORDER BY {order}"
 
     def f(n):
@@ -208,12 +211,14 @@ base AS (
          stddev_samp(close) OVER {f(10)} AS volatility_10, avg(volume) OVER {f(5)} AS volume_ma5
   FROM {source}),
 rets AS (
-  SELECT *, coalesce((close - close_lag1) / close_lag1 * 100, 0) AS return_1,
-         coalesce((close - close_lag2) / close_lag2 * 100, 0) AS return_2,
+  SELECT *, CASE WHEN close_lag1 IS NULL THEN 0
+           ELSE (close - close_lag1) / nullif(close_lag1, 0) * 100 END AS return_1,
+         CASE WHEN close_lag2 IS NULL THEN 0
+           ELSE (close - close_lag2) / nullif(close_lag2, 0) * 100 END AS return_2,
          CASE WHEN volume_ma5 > 0 THEN volume / volume_ma5 ELSE 1.0 END AS volume_ratio,
          CASE WHEN ma5 > 0 THEN (close - ma5) / ma5 * 100 ELSE 0 END AS price_to_ma5,
          CASE WHEN ma20 > 0 THEN (close - ma20) / ma20 * 100 ELSE 0 END AS price_to_ma20,
-         (next_close - close) / close * 100 AS target
+         (next_close - close) / nullif(close, 0) * 100 AS target
   FROM base),
 moved AS (
   SELECT *, avg(greatest(return_1, 0)) OVER {f(14)} AS avg_gain,

@@ -21,7 +21,7 @@ lagged AS (
   SELECT *, lag(close_price) OVER w AS prev_close, lag("timestamp") OVER w AS prev_timestamp
   FROM windows WINDOW w AS (PARTITION BY symbol ORDER BY window_start)),
 changes AS (
-  SELECT *, (close_price - prev_close) / prev_close * 100 AS percent_change
+  SELECT *, (close_price - prev_close) / nullif(prev_close, 0) * 100 AS percent_change
   FROM lagged WHERE prev_close IS NOT NULL)"""
 
 

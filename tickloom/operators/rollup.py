@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import bucket_start, change_pct
-from tickloom.schemas import HOUR_MS, INTERVAL_MS, MINUTE_MS
+from tickloom.schemas import INTERVAL_MS, MINUTE_MS
 
 
 def rollup_ohlc(
@@ -143,6 +143,6 @@ def counts(df: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "HOUR_MS", "counts", "job_window", "latest_price", "max_price", "rollup_ohlc",
+    "counts", "job_window", "latest_price", "max_price", "rollup_ohlc",
     "symbol_summary", "window_close", "window_gain",
 ]

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import utc_iso
 from tickloom.schemas import DEPTH_MESSAGE, PRICE_MESSAGE
 
 KLINE_FIELDS = ["s", "i", "t", "T", "o", "h", "l", "c", "v", "q", "n", "x"]
@@ -23,6 +24,15 @@ def _fields(df: DataFrame, value: str, names: list[str], keep: Sequence[str]) ->
     return df.select(*keep, F.json_tuple(json, *names).alias(*[f"f{n}" for n in range(len(names))]))
 
 
+def _parsed(value: str, schema: str) -> Column:
+    """Generator of the message's fields as columns.
+
+    As a generator it runs once per message; as a plain struct column it would be copied into
+    every filter on a field, and the text parsed again there.
+    """
+    return F.inline(F.array(F.from_json(F.col(value).cast("string"), schema)))
+
+
 def _number(text: str, kind: str, missing=None) -> Column:
     """Absent -> ``missing``; present but malformed -> null."""
     col = F.col(text)
@@ -86,11 +96,7 @@ def parse_trades(df: DataFrame, value: str = "value", keep: Sequence[str] = ())
 
 def parse_prices(df: DataFrame, value: str = "value") -> DataFrame:
     """The small price message: symbol, price, quantity, event_time."""
-    return (
-        df.select(F.from_json(F.col(value).cast("string"), PRICE_MESSAGE).alias("m"))
-        .select("m.*")
-        .filter(F.col("symbol").isNotNull())
-    )
+    return df.select(_parsed(value, PRICE_MESSAGE)).filter(F.col("symbol").isNotNull())
 
 
 def read_depth(df: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
@@ -98,21 +104,19 @@ def read_depth(df: DataFrame, value: str = "value", keep: Sequence[str] = ()) ->
 
     ``kind`` is 'diff' for incremental messages (b/a) and 'snapshot' for full ones (bids/asks).
     """
-    m = F.from_json(F.col(value).cast("string"), DEPTH_MESSAGE)
-    diff = F.col("m.b").isNotNull() | F.col("m.a").isNotNull()
+    diff = F.col("b").isNotNull() | F.col("a").isNotNull()
     return (
-        df.select(*keep, m.alias("m"))
-        .filter(F.coalesce(F.col("m.s"), F.lit("")) != "")
+        df.select(*keep, _parsed(value, DEPTH_MESSAGE))
+        .filter(~F.upper(F.coalesce("s", F.lit(""))).isin("", "UNKNOWN"))
         .select(
             *keep,
-            F.upper("m.s").alias("symbol"),
-            F.coalesce("m.u", "m.lastUpdateId").alias("u"),
-            F.when(diff, F.col("m.b")).otherwise(F.col("m.bids")).alias("bids"),
-            F.when(diff, F.col("m.a")).otherwise(F.col("m.asks")).alias("asks"),
+            F.upper("s").alias("symbol"),
+            F.coalesce("u", "lastUpdateId").alias("u"),
+            F.when(diff, F.col("b")).otherwise(F.col("bids")).alias("bids"),
+            F.when(diff, F.col("a")).otherwise(F.col("asks")).alias("asks"),
             F.when(diff, "diff").otherwise("snapshot").alias("kind"),
-            F.col("m.received_at").alias("received_at"),
+            "received_at",
         )
-        .filter(F.col("symbol") != "UNKNOWN")
     )
 
 
@@ -242,8 +246,6 @@ def route(df: DataFrame, received_at: Column | str, value: str = "value", keep:
 
 def decode_rest_klines(df: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Positional candle arrays to candles. ``df`` has symbol and interval beside the array text."""
-    from tickloom.functions.scalars import utc_iso
-
     a = F.col("a")
     return (
         df.select(

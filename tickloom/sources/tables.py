@@ -236,20 +236,32 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
 
 
 def completeness(
-    df: DataFrame, interval: str, start: int, end: int, tolerance: float = 0.9, time: str = "openTime"
+    df: DataFrame,
+    interval: str,
+    start: int,
+    end: int,
+    tolerance: float = 0.9,
+    time: str = "openTime",
+    targets: DataFrame | None = None,
 ) -> DataFrame:
-    """Per symbol: rows found, rows expected in [start, end), missing, and whether that is too few."""
+    """Per symbol: rows found, rows expected in [start, end), missing, and whether that is too few.
+
+    ``targets`` (symbol) lists the symbols to report, including those without any row.
+    """
     expected = (end - start) / INTERVAL_MS[interval]
     found = (
         df.filter((F.col(time) >= start) & (F.col(time) < end))
         .groupBy("symbol")
         .agg(F.count(F.lit(1)).alias("fetched"))
     )
+    if targets is not None:
+        found = targets.select("symbol").join(found, "symbol", "left").na.fill(0, ["fetched"])
+    whole = F.lit(int(expected)).cast("long")
     return found.select(
         "symbol",
         "fetched",
-        F.lit(int(expected)).cast("long").alias("expected"),
-        F.greatest(F.lit(int(expected)).cast("long") - F.col("fetched"), F.lit(0)).alias("missing"),
+        whole.alias("expected"),
+        F.greatest(whole - F.col("fetched"), F.lit(0)).alias("missing"),
         (F.col("fetched") < expected * tolerance).alias("incomplete"),
     )
 

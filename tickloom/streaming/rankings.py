@@ -12,7 +12,7 @@ from tickloom.operators.rollup import latest_price, max_price
 from tickloom.schemas import DAY_MS, HOUR_MS
 from tickloom.sources.messages import closed_only, valid_tick
 from tickloom.sources.tables import upsert
-from tickloom.streaming.run import start
+from tickloom.streaming.run import publish_with_retry, start
 from tickloom.streaming.state import StateTable
 
 WINDOWS_SCHEMA = "symbol STRING, window_start BIGINT, close_price DOUBLE, timestamp BIGINT, volume DOUBLE"
@@ -40,6 +40,15 @@ def stream_latest_price(stream: DataFrame, price: str = "price", time: str = "ti
     )
 
 
+def stream_latest_ticker(ticks: DataFrame) -> DataFrame:
+    """Newest price per ticker of a CSV stream, dearest first, for complete mode."""
+    return (
+        ticks.groupBy("ticker")
+        .agg(F.max_by("price", "timestamp").alias("latest_price"), F.max("timestamp").alias("updated_at"))
+        .orderBy(F.col("latest_price").desc())
+    )
+
+
 def stream_max_price(stream: DataFrame, price: str = "price") -> DataFrame:
     return max_price(stream, price).orderBy(F.col("latest_price").desc())
 
@@ -128,9 +137,7 @@ def top_gainers_job(
     windows = StateTable(spark, f"{base}/windows", WINDOWS_SCHEMA, part)
     served = StateTable(spark, f"{base}/ranking", RANKING_SCHEMA)
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+    def publish(batch: DataFrame, batch_id: int) -> None:
         windows.merge(batch, batch_id, _upserted)
         kept = windows.read()
         newest = None
@@ -146,7 +153,8 @@ def top_gainers_job(
         windows.prune(batch_id, None if newest is None else newest - 2 * horizon_ms - part_ms)
 
     closed = valid_tick(closed_only(klines))
-    return start(stream_window_close(closed, width, late), on_batch, "update", checkpoint, every), served
+    changed = stream_window_close(closed, width, late)
+    return start(changed, publish_with_retry(publish), "update", checkpoint, every), served
 
 
 def complete_job(

@@ -18,11 +18,23 @@ def start(
     checkpoint: str | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Run ``on_batch`` per micro-batch: every ``every`` ('1 minute'), or once over what is there."""
+    """Run ``on_batch`` per micro-batch: every ``every`` ('1 minute'), or once over what is there.
+
+    The batch is kept while it is used, since merging reads it several times; its size is bounded
+    by the source's per-trigger limit and what is lost with an executor is recomputed.
+    """
     spark = stream.sparkSession
+
+    def kept(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            on_batch(batch, batch_id)
+        finally:
+            batch.unpersist()
+
     writer = (
         stream.writeStream.outputMode(mode)
-        .foreachBatch(on_batch)
+        .foreachBatch(kept)
         .option("checkpointLocation", checkpoint or run_dir(spark, "checkpoint"))
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}

@@ -46,23 +46,18 @@ def candle_store_job(
     latest = StateTable(spark, f"{base}/latest", CANDLES_SCHEMA + ", expires_at BIGINT")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            candles.merge(batch, batch_id, lambda old, new: upsert(old, new, CANDLE_KEY, "seq"))
-            # The view is written by arrival, as a cache would be: the last closed candle seen.
-            expiry = F.unix_millis(F.current_timestamp()) + DAY_MS
-            seen = dedup_last(batch, ["symbol"], "seq").withColumn("expires_at", expiry)
-            latest.merge(seen, batch_id, lambda old, new: upsert(old, new, ("symbol",)))
-            latest.prune(batch_id)
-            oldest = None
-            if retention_ms is not None:
-                newest = batch.agg(F.max("openTime")).first()[0]
-                oldest = newest - retention_ms - part_ms
-            candles.prune(batch_id, oldest)
-        finally:
-            batch.unpersist()
+        if batch.isEmpty():
+            return
+        candles.merge(batch, batch_id, lambda old, new: upsert(old, new, CANDLE_KEY, "seq"))
+        # The view is written by arrival, as a cache would be: the last closed candle seen.
+        expiry = F.unix_millis(F.current_timestamp()) + DAY_MS
+        seen = dedup_last(batch, ["symbol"], "seq").withColumn("expires_at", expiry)
+        latest.merge(seen, batch_id, lambda old, new: upsert(old, new, ("symbol",)))
+        latest.prune(batch_id)
+        oldest = None
+        if retention_ms is not None:
+            oldest = batch.agg(F.max("openTime")).first()[0] - retention_ms - part_ms
+        candles.prune(batch_id, oldest)
 
     closed = valid_tick(closed_only(klines))
     return start(closed, on_batch, "append", checkpoint, every), candles, latest
@@ -130,21 +125,18 @@ def changed_only_job(
     out = StateTable(spark, f"{base}/out", schema, bucket_start("time", part_ms))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select("symbol", "time", "seq", "lastUpdateId").persist()
-        try:
-            if batch.isEmpty():
-                return
-            held = last.read(batch_id)
-            marked = held.withColumn("_new", F.lit(False)).unionByName(batch.withColumn("_new", F.lit(True)))
-            fresh = changed_only(marked).filter("_new").drop("_new")
-            out.merge(fresh, batch_id, lambda old, new: old.unionByName(new))
-            usable = batch.filter(F.coalesce("lastUpdateId", F.lit(0)) != 0)
-            newest = first_per_key(
-                held.unionByName(usable), ["symbol"], [F.col("time").desc(), F.col("seq").desc()]
-            )
-            last.write(newest, batch_id, [0])
-            last.prune(batch_id)
-        finally:
-            batch.unpersist()
-
+        if batch.isEmpty():
+            return
+        held = last.read(batch_id)
+        marked = held.withColumn("_new", F.lit(False)).unionByName(batch.withColumn("_new", F.lit(True)))
+        fresh = changed_only(marked).filter("_new").drop("_new")
+        out.merge(fresh, batch_id, lambda old, new: old.unionByName(new))
+        usable = batch.filter(F.coalesce("lastUpdateId", F.lit(0)) != 0)
+        newest = first_per_key(
+            held.unionByName(usable), ["symbol"], [F.col("time").desc(), F.col("seq").desc()]
+        )
+        last.write(newest, batch_id, [0])
+        last.prune(batch_id)
+
+    emissions = emissions.select("symbol", "time", "seq", "lastUpdateId")
     return start(emissions, on_batch, "append", checkpoint, every), out, last
