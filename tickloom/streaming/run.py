@@ -21,16 +21,22 @@ def start(
     """Run ``on_batch`` per micro-batch: every ``every`` ('1 minute'), or once over what is there.
 
     The batch is kept while it is used, since merging reads it several times; its size is bounded
-    by the source's per-trigger limit and what is lost with an executor is recomputed.
+    by the source's per-trigger limit and what is lost with an executor is recomputed. Streams run
+    without adaptive execution, but a batch handed out here is an ordinary one, so it is turned on
+    for the merging: skewed joins and small partitions are then dealt with at run time.
     """
     spark = stream.sparkSession
 
     def kept(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        before = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "true")
         batch = batch.persist()
         try:
             on_batch(batch, batch_id)
         finally:
             batch.unpersist()
+            conf.set("spark.sql.adaptive.enabled", before)
 
     writer = (
         stream.writeStream.outputMode(mode)
