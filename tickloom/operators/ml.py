@@ -31,7 +31,7 @@ class ModelParams:
     test_samples: int = 0
 
     def to_json(self) -> str:
-        return json.dumps({"model_type": "LinearRegression", **self.__dict__}, indent=2)
+        return json.dumps({"model_type": "LinearRegression", **self.__dict__})
 
     @classmethod
     def from_json(cls, text: str) -> ModelParams:
@@ -93,25 +93,25 @@ def model_params(model: PipelineModel, features: list[str] | None = None) -> Mod
     )
 
 
-def _same_path(spark: SparkSession, path: str):
+def _hadoop_path(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def save_model(spark: SparkSession, path: str, params: ModelParams, model: PipelineModel | None = None) -> None:
-    """Parameters as JSON (one row, ten features) and, if given, the fitted pipeline."""
+    """Parameters as one line of JSON and, if given, the fitted pipeline."""
     if model is not None:
         model.write().overwrite().save(f"{path}/pipeline")
     frame = spark.createDataFrame([(params.to_json(),)], "value string")
-    frame.coalesce(1).write.mode("overwrite").option("lineSep", "\0").text(f"{path}/params")
+    frame.write.mode("overwrite").text(f"{path}/params")
 
 
 def load_params(spark: SparkSession, path: str) -> ModelParams:
-    p, fs = _same_path(spark, f"{path}/params")
+    p, fs = _hadoop_path(spark, f"{path}/params")
     if not fs.exists(p):
         raise FileNotFoundError(f"no model at {path}")
-    return ModelParams.from_json(spark.read.option("wholetext", "true").text(f"{path}/params").first()[0].rstrip("\0"))
+    return ModelParams.from_json(spark.read.text(f"{path}/params").first()[0])
 
 
 def load_pipeline(path: str) -> PipelineModel:
