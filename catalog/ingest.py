@@ -192,13 +192,13 @@ def bucket_starts(spark, d):
 @register(
     "event_timestamps",
     """SELECT event_id, epoch_ms(date_trunc('milliseconds', ts)) AS ms,
-      hour(ts) AS hour, CAST(microsecond(ts) // 1000 AS BIGINT) AS millis FROM events""",
+      CAST(microsecond(ts) // 1000 AS BIGINT) AS millis FROM events""",
 )
 def event_timestamps(spark, d):
     t = td.ticks(spark, d).withColumn("ts", sc.ms_to_ts("time"))
     return t.select(
         F.col("tradeId").alias("event_id"), F.unix_millis("ts").alias("ms"),
-        F.hour("ts").cast("bigint").alias("hour"), F.pmod(F.unix_millis("ts"), F.lit(60_000)).alias("millis"),
+        F.pmod(F.unix_millis("ts"), F.lit(60_000)).alias("millis"),
     )
 
 

@@ -104,7 +104,7 @@ def random_split(spark, d):
 
 @register(
     "stream_csv_latest",
-    """SELECT event_type AS ticker, arg_max(value, ts) AS latest_price, epoch_us(max(ts)) AS updated_us
+    """SELECT event_type AS ticker, arg_max(value, ts) AS latest_price, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS updated_at
     FROM events GROUP BY 1""",
 )
 def stream_csv_latest(spark, d):
@@ -119,4 +119,4 @@ def stream_csv_latest(spark, d):
     latest = sr.stream_latest_ticker(st.csv_tick_stream(spark, f"{base}/in"))
     q, table = sr.complete_job(latest, f"{base}/out", schema)
     drain(q)
-    return table.read().select("ticker", "latest_price", F.unix_micros("updated_at").alias("updated_us"))
+    return table.read().select("ticker", "latest_price", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("updated_at"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.base import r, register, rounded
+from tickloom.functions.scalars import utc_millis
 from tickloom.operators import metrics as mt
 from tickloom.schemas import DAY_MS
 from tickloom.sources import testdata as td
@@ -28,7 +29,7 @@ def samples(spark, d):
             F.lit("pod"), pod, F.lit("container"), kind,
             F.lit("namespace"), F.concat(F.lit("ns-"), F.length(kind).cast("string")),
         ).alias("labels"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),
+        utc_millis("ts").alias("ts"),
         F.col("event_id").alias("seq"),
         F.from_json("props", "k BIGINT")["k"].cast("double").alias("value"),
     )

@@ -22,6 +22,13 @@ def ms_to_ts(time_ms: Column | str) -> Column:
     return F.timestamp_millis(_c(time_ms))
 
 
+def utc_millis(wall_clock: Column | str) -> Column:
+    """Epoch milliseconds of a zone-less timestamp in UTC, whatever the session time zone."""
+    t = _c(wall_clock)
+    minutes = (F.unix_date(t.cast("date")).cast("long") * 24 + F.hour(t)) * 60 + F.minute(t)
+    return minutes * 60_000 + F.floor(F.extract(F.lit("SECOND"), t) * 1000).cast("long")
+
+
 def _utc_wall_clock(time_ms: Column | str) -> Column:
     seconds = (_c(time_ms) / F.lit(1000)).cast("decimal(18,6)")
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)

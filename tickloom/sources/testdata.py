@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalars import utc_millis
+
 EVENTS_SCHEMA = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 )
@@ -22,7 +24,7 @@ def ticks_of(events_df: DataFrame, symbol: str = "event_type") -> DataFrame:
     k = F.from_json("props", "k BIGINT")["k"]
     return events_df.select(
         F.col(symbol).cast("string").alias("symbol"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("time"),
+        utc_millis("ts").alias("time"),
         F.col("event_id").alias("tradeId"),
         F.col("value").alias("price"),
         k.cast("double").alias("quantity"),
@@ -109,7 +111,7 @@ def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return li.select(
         F.col("l_suppkey").cast("string").alias("symbol"),
-        F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("time"),
+        utc_millis("l_shipdate").alias("time"),
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("seq"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("quantity"),
