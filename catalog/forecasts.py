@@ -8,6 +8,7 @@ from catalog.indicators import ORDER, feature_sql
 from tickloom.operators import ml
 from tickloom.operators import serving as sv
 from tickloom.operators.features import drop_null_features, feature_table
+from tickloom.plans import jobs
 from tickloom.schemas import FEATURES, HOUR_MS
 from tickloom.sources import tables as tb
 from tickloom.sources import testdata as td
@@ -93,7 +94,8 @@ def bars(spark, d):
 
 
 def hourly_features(spark, d, with_target=True):
-    return drop_null_features(feature_table(bars(spark, d), with_target))
+    # One bar per hour and symbol: bounded series, no need to cut.
+    return drop_null_features(feature_table(bars(spark, d), with_target, cut=False))
 
 
 def forecasts(spark, d):
@@ -128,7 +130,7 @@ _LATEST = f"""{HOURLY}, newest AS (SELECT * FROM features QUALIFY row_number() O
 )
 def forecast_latest(spark, d):
     """The inference job: features, the newest row per symbol, score, order by predicted change."""
-    features = feature_table(bars(spark, d), False)
+    features = feature_table(bars(spark, d), False, cut=False)
     newest = drop_null_features(tb.latest_k_per_symbol(features, 1))
     out = ml.forecast_columns(ml.score(newest, PUBLISHED), RUN_TIME, "1h")
     out = sv.predictions_by_change(out.withColumn("confidence_score", F.abs("predicted_change_pct")))
@@ -146,7 +148,7 @@ def forecast_latest(spark, d):
 def forecast_from_recent(spark, d):
     """As scheduled: only the newest 40 candles per symbol are read into the features."""
     recent = tb.latest_k_per_symbol(td.tick_candles(td.ticks(spark, d)), 40, order=ORDER)
-    newest = tb.latest_k_per_symbol(feature_table(recent, False, order=ORDER), 1, order=ORDER)
+    newest = tb.latest_k_per_symbol(feature_table(recent, False, order=ORDER, cut=False), 1, order=ORDER)
     scored = ml.score(drop_null_features(newest), PUBLISHED)
     return rounded(ml.forecast_columns(scored, RUN_TIME), *ROUNDED)
 
@@ -218,7 +220,7 @@ FOLD = """CASE WHEN substr(md5(symbol || '|' || CAST("openTime" AS VARCHAR)), 1,
     FROM features WHERE target IS NOT NULL AND {USABLE} GROUP BY 1""",
 )
 def hash_split(spark, d):
-    rows = drop_null_features(feature_table(bars(spark, d)), True)
+    rows = drop_null_features(feature_table(bars(spark, d), cut=False), True)
     out = rows.groupBy(ml.hash_fold("symbol", "openTime").alias("fold")).agg(
         F.count(F.lit(1)).alias("rows"), F.avg("target").alias("mean_target")
     )
@@ -234,30 +236,29 @@ def hash_split(spark, d):
     SELECT fold, rows, {r('rmse', 'rmse', 4)}, {r('mae', 'mae', 4)}, {r('r2', 'r2')} FROM e""",
 )
 def evaluate_forecast(spark, d):
-    rows = drop_null_features(feature_table(bars(spark, d)), True)
+    rows = drop_null_features(feature_table(bars(spark, d), cut=False), True)
     scored = ml.score(rows.withColumn("fold", ml.hash_fold("symbol", "openTime")), PUBLISHED)
     return rounded(rounded(ml.evaluate(scored, by=("fold",)), "rmse", "mae", digits=4), "r2")
 
 
-def _trained(spark, d):
-    rows = drop_null_features(feature_table(td.tick_candles(td.ticks(spark, d)), order=ORDER), True)
-    folds = rows.withColumn("fold", ml.hash_fold("symbol", "openTime"))
-    train = folds.filter(F.col("fold") == "train")
-    return folds, ml.fit(train)
+def _training_rows(spark, d):
+    return drop_null_features(feature_table(td.tick_candles(td.ticks(spark, d)), order=ORDER), True)
 
 
 @register("fitted_model_params")
 def fitted_model_params(spark, d):
     """Training on the hash fold; rows only, the solver has no SQL twin."""
-    _, model = _trained(spark, d)
-    return rounded(ml.model_params(model).frame(spark), "coefficient", "mean", "std", "intercept")
+    _, params = jobs.train(_training_rows(spark, d))
+    return rounded(params.frame(spark), "coefficient", "mean", "std", "intercept")
 
 
 @register("fitted_model_quality")
 def fitted_model_quality(spark, d):
-    """Fit, then score by the column expression and evaluate per fold."""
-    folds, model = _trained(spark, d)
-    return ml.evaluate(ml.score(folds, ml.model_params(model)), by=("fold",))
+    """Fit, then score every row by the column expression and evaluate per fold."""
+    rows = _training_rows(spark, d)
+    _, params = jobs.train(rows)
+    folds = rows.withColumn("fold", ml.hash_fold("symbol", "openTime"))
+    return ml.evaluate(ml.score(folds, params), by=("fold",))
 
 
 @register("sample_predictions")

@@ -91,7 +91,7 @@ _ALL = ["ema_12", "ema_26", "macd", "macd_signal", "sma_14", "rsi_14", "bollinge
 )
 def indicator_job_hourly(spark, d):
     bars = tick_bars(spark, d, "1h", align=True).select("symbol", "openTime", "close")
-    return rounded(jobs.indicator_job(bars).drop("close_price_num"), *_ALL)
+    return rounded(jobs.indicator_job(bars, cut=False).drop("close_price_num"), *_ALL)
 
 
 @register("random_split")

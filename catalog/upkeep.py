@@ -159,7 +159,7 @@ def completeness(spark, d):
     FROM l WHERE t - p > {HOUR_MS}""",
 )
 def candle_gaps(spark, d):
-    return tb.gaps(tick_bars(spark, d, "1h", align=True), "1h")
+    return tb.gaps(tick_bars(spark, d, "1h", align=True), "1h", cut=False)
 
 
 def _targets(spark):

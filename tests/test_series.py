@@ -56,6 +56,15 @@ def test_cut_windows_equal_whole_windows(frame, min_rows, width):
     assert sorted(cut.collect()) == sorted(whole.collect())
 
 
+def test_without_cutting(frame):
+    whole = map_series(frame, bounded, before=19, after=1, order=ORDER, cut=False)
+    cut = map_series(frame, bounded, before=19, after=1, order=ORDER, min_rows=50)
+    assert sorted(cut.collect()) == sorted(whole.collect())
+    a = rec.macd(frame, "close", order=ORDER, cut=False).toPandas().sort_values("seq")
+    b = rec.macd(frame, "close", order=ORDER, min_rows=50).toPandas().sort_values("seq")
+    assert np.allclose(a.macd_signal, b.macd_signal, atol=1e-9)
+
+
 def test_partitioning_does_not_change_results(frame):
     one = map_series(frame.coalesce(1), bounded, before=19, after=1, order=ORDER, min_rows=10)
     many = map_series(frame.repartition(13), bounded, before=19, after=1, order=ORDER, min_rows=10)
@@ -144,10 +153,10 @@ def test_macd_with_equal_spans(frame):
     assert np.allclose(got.macd, 0) and np.allclose(got.macd_signal, 0)
 
 
-@pytest.mark.parametrize("min_rows", [1_000_000, 10])
-def test_running_max_sees_earlier_orders_only(frame, min_rows):
+@pytest.mark.parametrize("min_rows,cut", [(1_000_000, True), (10, True), (10, False)])
+def test_running_max_sees_earlier_orders_only(frame, min_rows, cut):
     got = rec.running_max_before(
-        frame, "close", "top", keys=["symbol"], order="openTime", width=HOUR_MS, min_rows=min_rows
+        frame, "close", "top", keys=["symbol"], order="openTime", width=HOUR_MS, min_rows=min_rows, cut=cut
     ).toPandas()
     for _, group in got.groupby("symbol"):
         for row in group.itertuples():

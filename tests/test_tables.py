@@ -162,7 +162,7 @@ def test_live_list(spark):
     assert closes(sv.merge_live(df, "seq")) == [("A", 1, 1.0), ("A", 2, 2.5), ("A", 3, 4.0)]
     assert closes(sv.merge_live(df, "seq", keep=2)) == [("A", 2, 2.5), ("A", 3, 4.0)]
     assert closes(sv.merge_live(df, "seq", drop_late=True)) == [("A", 1, 1.0), ("A", 3, 4.0)]
-    assert closes(sv.merge_live(df, "seq", drop_late=True, min_rows=1)) == [("A", 1, 1.0), ("A", 3, 4.0)]
+    assert closes(sv.merge_live(df, "seq", drop_late=True, min_rows=1, cut=True)) == [("A", 1, 1.0), ("A", 3, 4.0)]
 
 
 def test_resync_cache(spark):

@@ -12,7 +12,10 @@ from tickloom.schemas import DAY_MS, MINUTE_MS
 
 
 def rolling_window_change(windows: DataFrame, **series) -> DataFrame:
-    """Change of each window's close against the symbol's previous window; first window dropped."""
+    """Change of each window's close against the symbol's previous window; first window dropped.
+
+    A symbol has one row per window, so its series is bounded by time and need not be cut.
+    """
     def add(rows, w):
         return rows.withColumns(
             {
@@ -22,7 +25,7 @@ def rolling_window_change(windows: DataFrame, **series) -> DataFrame:
         )
 
     return (
-        map_series(windows, add, before=1, order=["window_start"], **series)
+        map_series(windows, add, before=1, order=["window_start"], **{"cut": False, **series})
         .filter(F.col("prev_close").isNotNull())
         .withColumn("percent_change", change_pct("close_price", "prev_close"))
     )

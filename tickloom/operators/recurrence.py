@@ -45,8 +45,8 @@ class _Ema:
         return F.lit(self.alpha) * self.power(i) * weighted
 
 
-def _numbered(df, keys, order, width, min_rows) -> DataFrame:
-    rows = with_slices(df, keys, order[0], width, min_rows)
+def _numbered(df, keys, order, width, min_rows, cut) -> DataFrame:
+    rows = with_slices(df, keys, order[0], width, min_rows, cut)
     position = F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*order)) - 1
     return (
         rows.withColumn("_i", position)
@@ -155,19 +155,20 @@ def ema(
     order: Sequence[str] = ("openTime",),
     width: int = DAY_MS,
     min_rows: int = MIN_ROWS,
+    cut: bool = True,
 ) -> DataFrame:
     """Add one exponential average per entry of ``spans`` (column name -> span).
 
     ``seed='first'`` starts at the first value. ``seed='sma'`` is null before row n, equals the
     mean of the first n values there and recurs from it; a series shorter than n is all null.
-    ``value`` must not be null.
+    ``value`` must not be null. ``cut`` as in ``series.map_series``.
     """
     if seed not in ("first", "sma"):
         raise ValueError("seed must be 'first' or 'sma'")
     keys, order = list(keys), list(order)
     names = list(spans)
     emas = {n: _Ema(k) for n, k in spans.items()}
-    rows = _numbered(df, keys, order, width, min_rows)
+    rows = _numbered(df, keys, order, width, min_rows, cut)
     w = _block_window(keys, order)
     rows = rows.withColumns(
         {f"_z_{n}": e.from_zero(F.col(value), F.col("_i"), w) for n, e in emas.items()}
@@ -227,6 +228,7 @@ def macd(
     order: Sequence[str] = ("openTime",),
     width: int = DAY_MS,
     min_rows: int = MIN_ROWS,
+    cut: bool = True,
 ) -> DataFrame:
     """Add ``ema_<fast>``, ``ema_<slow>``, ``macd`` and ``macd_signal``, first-value seeds.
 
@@ -235,7 +237,7 @@ def macd(
     """
     keys, order = list(keys), list(order)
     f, s, g = _Ema(fast), _Ema(slow), _Ema(signal)
-    rows = _numbered(df, keys, order, width, min_rows)
+    rows = _numbered(df, keys, order, width, min_rows, cut)
     w = _block_window(keys, order)
     i = F.col("_i")
     rows = rows.withColumns(
@@ -284,6 +286,7 @@ def running_max_before(
     order: str,
     width: int,
     min_rows: int = MIN_ROWS,
+    cut: bool = True,
 ) -> DataFrame:
     """Add the maximum of ``value`` over all rows of the series with a smaller ``order``.
 
@@ -291,6 +294,9 @@ def running_max_before(
     maximum of all earlier slices, chained over the slice summaries, and a frame inside the slice.
     """
     keys = list(keys)
+    if not cut:
+        before = Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(name, F.max(value).over(before))
     rows = with_slices(df, keys, order, width, min_rows)
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     prefix = (

@@ -45,10 +45,8 @@ def cut_table(
     per_bucket = df.groupBy(*keys, bucket_start(time, width).alias("_b")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    limit = F.greatest(
-        F.lit(min_rows).cast("long"),
-        F.ceil(df.select(F.count(F.lit(1)).alias("n")).scalar() / F.lit(MAX_PARTS)),
-    )
+    total = per_bucket.agg(F.sum("_n").alias("n")).scalar()
+    limit = F.greatest(F.lit(min_rows).cast("long"), F.ceil(total / F.lit(MAX_PARTS)))
     heavy = F.when(
         F.col("_n") > F.col("_limit"),
         F.struct(F.col("_b"), F.ceil(F.col("_n") / F.col("_limit")).cast("long").alias("_k")),
@@ -78,9 +76,16 @@ def slice_start(time: Column | str, width: int) -> Column:
 
 
 def with_slices(
-    df: DataFrame, keys: Sequence[str], time: str, width: int = DAY_MS, min_rows: int = MIN_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    width: int = DAY_MS,
+    min_rows: int = MIN_ROWS,
+    cut: bool = True,
 ) -> DataFrame:
     """Add ``_slice``; rows of one (keys, _slice) are contiguous in ``time``."""
+    if not cut:
+        return df.withColumn(SLICE, F.lit(0).cast("long"))
     cuts = cut_table(df, keys, time, width, min_rows)
     joined = df.join(F.broadcast(cuts), list(keys), "left")
     return joined.withColumn(SLICE, slice_start(time, width)).drop("_parts")
@@ -136,7 +141,8 @@ def map_series(
     keys: Sequence[str] = ("symbol",),
     order: Sequence[str] = ("openTime",),
     width: int = DAY_MS,
-    min_rows: int | None = None,
+    min_rows: int = MIN_ROWS,
+    cut: bool = True,
 ) -> DataFrame:
     """Apply window expressions that look at most ``before`` rows back and ``after`` rows ahead.
 
@@ -144,9 +150,15 @@ def map_series(
     ``order``). ``order`` must be a total order within a series and start with an integer time.
     Chained expressions need the sum of their look-backs. The result equals
     ``fn(df, Window.partitionBy(keys).orderBy(order))`` row for row.
+
+    Deciding the cut reads ``df`` a second time, which is cheap for a scan but not for the result
+    of an aggregation. Pass ``cut=False`` where a series is bounded by construction, such as one
+    row per time bucket; that is the plain window.
     """
     keys, order = list(keys), list(order)
-    cuts = cut_table(df, keys, order[0], width, MIN_ROWS if min_rows is None else min_rows)
+    if not cut:
+        return fn(df, Window.partitionBy(*keys).orderBy(*order))
+    cuts = cut_table(df, keys, order[0], width, min_rows)
     rows = (
         df.join(F.broadcast(cuts), keys, "left")
         .withColumn(SLICE, slice_start(order[0], width))

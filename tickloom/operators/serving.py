@@ -8,9 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import _c
+from tickloom.operators.recurrence import running_max_before
 from tickloom.sources.tables import first_per_key, scan_candles
 
 
+# Arrival numbers per slice if a list of first arrivals is cut.
+SEQ_WIDTH = 1 << 24
+
+
 def _limit(n: int, most: int) -> int:
     if not 1 <= n <= most:
         raise ValueError(f"limit must be between 1 and {most}")
@@ -86,15 +91,14 @@ def merge_live(
     """Candle list after live updates: replaced by openTime, newest ``keep`` per symbol.
 
     With ``drop_late`` a new openTime older than one already shown is ignored, which is decided
-    on the first arrival of each openTime against all earlier arrivals.
+    on the first arrival of each openTime against all earlier arrivals (one row per openTime, so
+    a series bounded by time).
     """
-    from tickloom.operators.recurrence import running_max_before
-    from tickloom.operators.book import SEQ_WIDTH
-
     if drop_late:
         firsts = candles.groupBy("symbol", "openTime").agg(F.min(arrival).alias("_first"))
         shown = running_max_before(
-            firsts, "openTime", "_shown", keys=["symbol"], order="_first", width=SEQ_WIDTH, **series
+            firsts, "openTime", "_shown", keys=["symbol"], order="_first", width=SEQ_WIDTH,
+            **{"cut": False, **series},
         )
         in_time = shown.filter(F.col("_shown").isNull() | (F.col("openTime") >= F.col("_shown")))
         candles = candles.join(in_time.select("symbol", "openTime"), ["symbol", "openTime"], "left_semi")

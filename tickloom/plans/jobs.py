@@ -13,7 +13,8 @@ from tickloom.operators.features import drop_null_features, feature_table
 from tickloom.operators.indicators import indicator_table
 from tickloom.operators.rollup import job_window, rollup_ohlc
 from tickloom.operators.serving import latest_prediction, served_prediction
-from tickloom.schemas import DAY_MS, DEFAULT_SYMBOLS
+from tickloom.schemas import DAY_MS, DEFAULT_SYMBOLS, FEATURES
+from tickloom.session import run_dir
 from tickloom.sources.tables import (
     insert_if_absent, latest_k_per_symbol, latest_view, recent_or_latest_k, scan_candles, upsert,
 )
@@ -59,8 +60,16 @@ def training_rows(
 
 
 def train(rows: DataFrame) -> tuple[object, ml.ModelParams]:
-    """Fit on four fifths of the keys, evaluate on both folds, and keep the numbers with the model."""
-    folds = rows.withColumn("fold", ml.hash_fold("symbol", "openTime"))
+    """Fit on four fifths of the keys, evaluate on both folds, and keep the numbers with the model.
+
+    Scaling, solving and evaluating each pass over the rows, so the features are computed once and
+    stored in the shared folder, where they also survive the loss of an executor.
+    """
+    spark = rows.sparkSession
+    path = run_dir(spark, "training")
+    kept = rows.select("symbol", "openTime", "target", *FEATURES)
+    kept.withColumn("fold", ml.hash_fold("symbol", "openTime")).write.parquet(path)
+    folds = spark.read.parquet(path)
     model = ml.fit(folds.filter(F.col("fold") == "train"))
     params = ml.model_params(model)
     for r in ml.evaluate(ml.score(folds, params), by=("fold",)).collect():
@@ -78,10 +87,10 @@ def predict(
     interval: str = "5m",
     symbols: Sequence[str] | None = DEFAULT_SYMBOLS,
 ) -> DataFrame:
-    """One forecast per symbol from its newest candle."""
+    """One forecast per symbol from its newest candle; the candles read per symbol are few."""
     source = scan_candles(candles, symbols, interval)
     recent = recent_or_latest_k(source, now, periods)
-    newest = latest_k_per_symbol(feature_table(recent, with_target=False), 1)
+    newest = latest_k_per_symbol(feature_table(recent, with_target=False, cut=False), 1)
     scored = ml.score(drop_null_features(newest), params)
     return ml.forecast_columns(scored, run_time, interval)
 

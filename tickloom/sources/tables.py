@@ -157,13 +157,20 @@ def read_candles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert_into(spark: SparkSession, path: str, incoming: DataFrame, arrival: str | None = None) -> None:
-    """Upsert into a candle table, rewriting only the (interval, date) partitions touched."""
+    """Upsert into a candle table, reading and rewriting only the (interval, date) partitions touched.
+
+    The list of touched partitions is fetched first: a literal filter is certain to prune the scan
+    of a large table, a join on the partition columns is not.
+    """
     incoming = with_date(incoming)
-    touched = incoming.select("interval", "date").distinct()
-    existing = spark.read.parquet(path)
-    existing = existing.withColumn("date", F.col("date").cast("string")).join(
-        touched, ["interval", "date"], "left_semi"
-    )
+    touched = incoming.groupBy("interval").agg(F.collect_set("date").alias("dates")).collect()
+    if not touched:
+        return
+    hit = F.lit(False)
+    for row in touched:
+        hit = hit | ((F.col("interval") == row.interval) & F.col("date").cast("string").isin(row.dates))
+    existing = spark.read.parquet(path).filter(hit)
+    existing = existing.withColumn("date", F.col("date").cast("string"))
     (
         upsert(existing, incoming, KEY, arrival)
         .select(*existing.columns)
