@@ -102,7 +102,7 @@ def indicator_table(df: DataFrame, value: str = "close", **series) -> DataFrame:
         return rows.withColumn("rsi_14", _full(sma14, 14, rsi, value)).drop("_gain", "_loss")
 
     bounded = map_series(df, add, before=19, **series)
-    return macd(bounded, value, 12, 26, 9, **series)
+    return macd(bounded, value, 12, 26, 9, like=df, **series)
 
 
 __all__ = ["bollinger", "ema", "indicator_table", "lags", "macd", "rsi_price", "sma"]

@@ -45,8 +45,8 @@ class _Ema:
         return F.lit(self.alpha) * self.power(i) * weighted
 
 
-def _numbered(df, keys, order, width, min_rows, cut) -> DataFrame:
-    rows = with_slices(df, keys, order[0], width, min_rows, cut)
+def _numbered(df, keys, order, width, min_rows, cut, like) -> DataFrame:
+    rows = with_slices(df, keys, order[0], width, min_rows, cut, like)
     position = F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*order)) - 1
     return (
         rows.withColumn("_i", position)
@@ -156,19 +156,20 @@ def ema(
     width: int = DAY_MS,
     min_rows: int = MIN_ROWS,
     cut: bool = True,
+    like: DataFrame | None = None,
 ) -> DataFrame:
     """Add one exponential average per entry of ``spans`` (column name -> span).
 
     ``seed='first'`` starts at the first value. ``seed='sma'`` is null before row n, equals the
     mean of the first n values there and recurs from it; a series shorter than n is all null.
-    ``value`` must not be null. ``cut`` as in ``series.map_series``.
+    ``value`` must not be null. ``cut`` and ``like`` as in ``series.py``.
     """
     if seed not in ("first", "sma"):
         raise ValueError("seed must be 'first' or 'sma'")
     keys, order = list(keys), list(order)
     names = list(spans)
     emas = {n: _Ema(k) for n, k in spans.items()}
-    rows = _numbered(df, keys, order, width, min_rows, cut)
+    rows = _numbered(df, keys, order, width, min_rows, cut, like)
     w = _block_window(keys, order)
     rows = rows.withColumns(
         {f"_z_{n}": e.from_zero(F.col(value), F.col("_i"), w) for n, e in emas.items()}
@@ -229,6 +230,7 @@ def macd(
     width: int = DAY_MS,
     min_rows: int = MIN_ROWS,
     cut: bool = True,
+    like: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``ema_<fast>``, ``ema_<slow>``, ``macd`` and ``macd_signal``, first-value seeds.
 
@@ -237,7 +239,7 @@ def macd(
     """
     keys, order = list(keys), list(order)
     f, s, g = _Ema(fast), _Ema(slow), _Ema(signal)
-    rows = _numbered(df, keys, order, width, min_rows, cut)
+    rows = _numbered(df, keys, order, width, min_rows, cut, like)
     w = _block_window(keys, order)
     i = F.col("_i")
     rows = rows.withColumns(

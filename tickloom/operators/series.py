@@ -82,11 +82,15 @@ def with_slices(
     width: int = DAY_MS,
     min_rows: int = MIN_ROWS,
     cut: bool = True,
+    like: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``_slice``; rows of one (keys, _slice) are contiguous in ``time``."""
+    """Add ``_slice``; rows of one (keys, _slice) are contiguous in ``time``.
+
+    ``like`` is a frame with the same keys and times that is cheaper to count than ``df``.
+    """
     if not cut:
         return df.withColumn(SLICE, F.lit(0).cast("long"))
-    cuts = cut_table(df, keys, time, width, min_rows)
+    cuts = cut_table(like or df, keys, time, width, min_rows)
     joined = df.join(F.broadcast(cuts), list(keys), "left")
     return joined.withColumn(SLICE, slice_start(time, width)).drop("_parts")
 

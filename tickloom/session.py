@@ -19,6 +19,8 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, **conf: st
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TICKLOOM_DRIVER_MEMORY", "6g"))
         .config("spark.ui.showConsoleProgress", "false")
+        # Local tables are small; the default minimum of 1 MB would leave one task per stage.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
