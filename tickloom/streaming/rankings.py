@@ -27,7 +27,7 @@ RANKING_SCHEMA = (
 PRICES_SCHEMA = "symbol STRING, latest_price DOUBLE, trade_count BIGINT, updated_at TIMESTAMP"
 
 
-def _windows(stream: DataFrame, time: str, width: str, late: str) -> DataFrame:
+def _event_time(stream: DataFrame, time: str, late: str) -> DataFrame:
     return stream.withColumn("event_ts", ms_to_ts(time)).withWatermark("event_ts", late)
 
 
@@ -57,7 +57,7 @@ def stream_window_close(stream: DataFrame, width: str = "1 minute", late: str =
     """Last close and quote volume per event-time window; the watermark bounds the state."""
     last = F.max(F.struct("openTime", "close", "quoteVolume"))
     return (
-        _windows(stream, "openTime", width, late)
+        _event_time(stream, "openTime", late)
         .groupBy(F.window("event_ts", width), "symbol")
         .agg(last.alias("_last"), F.sum("quoteVolume").alias("volume"))
         .select(
@@ -77,7 +77,7 @@ def stream_window_gain(
     point = F.struct(time, price)
     first, last = F.col(f"_first.{price}"), F.col(f"_last.{price}")
     return (
-        _windows(stream, time, width, late)
+        _event_time(stream, time, late)
         .groupBy(F.window("event_ts", width), "symbol")
         .agg(F.min(point).alias("_first"), F.max(point).alias("_last"), F.count("symbol").alias("trade_count"))
         .select(
