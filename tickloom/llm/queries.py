@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, mixing, quality_rules, simhash
+from tickloom.llm import chat, html_text, licenses, mixing, quality_rules, simhash
 from tickloom.llm.sql import SQL  # noqa: F401
 
 
@@ -44,9 +44,25 @@ def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns))
 
 
+def html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def license_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = lambda c: F.array_join(c, ",").alias
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        joined("base")("base_labels"), joined("labels")("labels"), F.round("score", 9).alias("score"),
+    )
+
+
 QUERIES = {
     "op2_quality_rules": quality_rules_query,
     "op3_mixing": mixing_query,
     "op6_simhash": simhash_query,
     "op8_chat_format": chat_query,
+    "op9_html_text": html_query,
+    "op10_licenses": license_query,
 }

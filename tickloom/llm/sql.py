@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.llm import chat, mixing, quality_rules
+from tickloom.llm import chat, licenses, mixing, quality_rules
 
 # White space of the word contract, as a character class of DuckDB's regular expressions.
 SPACE = r"[\x20\x09-\x0D]"
@@ -103,8 +103,49 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id"""
 
 
+def _licenses() -> str:
+    k = licenses.K
+    rows = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(licenses.TEMPLATES))
+    phrases = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in licenses.PHRASES)
+    run = lambda n: "array_to_string(w[i:i + " + str(n) + " - 1], ' ')"
+    return f"""
+WITH templates(template, label, body) AS (VALUES {rows}),
+phrases(phrase, label, n) AS (VALUES {phrases}),
+texts AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+places AS (SELECT k, w, unnest(range(1, len(w) + 1)) AS i FROM texts),
+base AS (
+  SELECT k, i - 1 AS pos, label
+  FROM (SELECT k, i, {run(2)} AS two, {run(3)} AS three FROM places) JOIN phrases ON phrase = CASE n WHEN 2 THEN two ELSE three END),
+bases AS (SELECT k, count(*) AS n, min(pos) AS a, max(pos) AS b, list(DISTINCT label) AS labels FROM base GROUP BY k),
+grams AS (SELECT k, i - 1 AS p, {run(k)} AS g FROM places WHERE i + {k} - 1 <= len(w)),
+template_grams AS (
+  SELECT template, len(w) AS length, i - 1 AS t, {run(k)} AS g
+  FROM (SELECT template, w, unnest(range(1, len(w) - {k} + 2)) AS i FROM (SELECT template, string_split(body, ' ') AS w FROM templates))),
+hits AS (SELECT k, template, length, p, t, p - t AS diagonal FROM grams JOIN template_grams USING (g)),
+marked AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w <= {licenses.GAP} THEN 0 ELSE 1 END AS new
+  FROM (SELECT DISTINCT k, template, diagonal FROM hits) WINDOW w AS (PARTITION BY k, template ORDER BY diagonal)),
+clusters AS (SELECT *, sum(new) OVER (PARTITION BY k, template ORDER BY diagonal) AS span FROM marked),
+spans AS (
+  SELECT k, template, span, count(DISTINCT t + d) / any_value(length) AS coverage
+  FROM hits JOIN clusters USING (k, template, diagonal), range({k}) r(d) GROUP BY k, template, span),
+scored AS (
+  SELECT k, max(coverage) AS score, list(DISTINCT label) FILTER (coverage >= {licenses.VERIFIED}) AS labels
+  FROM spans JOIN templates USING (template) GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word,
+       coalesce(array_to_string(list_sort(bases.labels), ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(coalesce(bases.labels, []) || coalesce(scored.labels, []))), ',') AS labels,
+       round(coalesce(score, 0.0), 9) AS score
+FROM texts LEFT JOIN bases USING (k) LEFT JOIN scored USING (k)"""
+
+
 SQL = {
     "op2_quality_rules": _quality_rules(),
     "op3_mixing": _mixing(),
     "op8_chat_format": _chat(),
+    "op10_licenses": _licenses(),
 }
