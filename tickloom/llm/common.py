@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.session import run_dir
@@ -71,3 +73,26 @@ def crc_fold(doc_id: Column, parts: int) -> Column:
 def hash_order(doc_id: Column, seed: str) -> Column:
     """A pseudo-random order of documents that does not depend on where the rows lie."""
     return F.xxhash64(F.lit(seed), doc_id)
+
+
+def balanced_sample(rows: DataFrame, label: str, per_class: int, seed: str) -> DataFrame:
+    """At most ``per_class`` rows of each label, in hash order of their doc_id; null labels are left out.
+
+    Labels are counted first, so that all but about twice the wanted rows are filtered where they lie;
+    the window then ranks a bounded number of rows, however many one label has.
+    """
+    rows = rows.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    counts = {r[0]: r[1] for r in rows.groupBy(label).agg(F.count("*")).collect()}
+    order = hash_order(F.col("doc_id"), seed)
+    share = F.lit(0.0)
+    for value, n in counts.items():
+        share = F.when(F.col(label) == value, F.lit(min(1.0, 2.0 * per_class / n + 50.0 / n))).otherwise(share)
+    drawn = F.pmod(F.shiftright(order, 20), F.lit(1 << 20)) < share * float(1 << 20)
+    ranked = Window.partitionBy(label).orderBy(order, "doc_id")
+    return rows.where(drawn).withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= per_class).drop("place")
+
+
+def shipped(spark: SparkSession, value):
+    """A function that returns ``value`` inside a task; sent once per executor, by value."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)

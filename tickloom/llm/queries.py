@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, html_text, licenses, mixing, quality_rules, simhash
+from tickloom.llm import chat, html_text, language, licenses, mixing, quality_cnn, quality_rules, simhash
+from tickloom.llm.common import crc_fold
 from tickloom.llm.sql import SQL  # noqa: F401
 
 
@@ -58,9 +59,39 @@ def license_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_fold(F.col("doc_id"), 3) == 1
+    model = language.train(docs.where(~held_out))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"), F.col("language.accepted").alias("accepted"),
+    )
+
+
+def scored(found: DataFrame, held_out, score: str) -> DataFrame:
+    return found.select(
+        "doc_id", held_out.alias("held_out"), F.col(score).alias("score"), (F.col(score) >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality_cnn.Model:
+    labels = table(spark, sf_dir, "labels")
+    return quality_cnn.train(table(spark, sf_dir, "documents"), labels.where(crc_fold(F.col("doc_id"), 3) != 1))
+
+
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality_cnn.score(docs, quality_model(spark, sf_dir))
+    return scored(found, crc_fold(F.col("doc_id"), 3) == 1, "quality_score")
+
+
 QUERIES = {
+    "op1_language": language_query,
     "op2_quality_rules": quality_rules_query,
     "op3_mixing": mixing_query,
+    "op5_quality_cnn": quality_query,
     "op6_simhash": simhash_query,
     "op8_chat_format": chat_query,
     "op9_html_text": html_query,
