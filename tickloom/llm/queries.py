@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, html_text, language, licenses, mixing, quality_cnn, quality_rules, simhash
+from tickloom.llm import chat, html_text, language, licenses, mixing, quality_cnn, quality_rules, simhash, toxicity
 from tickloom.llm.common import crc_fold
 from tickloom.llm.sql import SQL  # noqa: F401
 
@@ -87,10 +87,18 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(found, crc_fold(F.col("doc_id"), 3) == 1, "quality_score")
 
 
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    held_out = crc_fold(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs, labels.where(crc_fold(F.col("doc_id"), 5) != 0))
+    return scored(toxicity.score(docs, model), held_out, "toxicity")
+
+
 QUERIES = {
     "op1_language": language_query,
     "op2_quality_rules": quality_rules_query,
     "op3_mixing": mixing_query,
+    "op4_toxicity": toxicity_query,
     "op5_quality_cnn": quality_query,
     "op6_simhash": simhash_query,
     "op8_chat_format": chat_query,
