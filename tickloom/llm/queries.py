@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, html_text, language, licenses, mixing, quality_cnn, quality_rules, simhash, toxicity
+from tickloom.llm import chat, decontaminate, html_text, language, licenses, mixing, quality_cnn, quality_rules, simhash, toxicity
 from tickloom.llm.common import crc_fold
 from tickloom.llm.sql import SQL  # noqa: F401
 
@@ -94,6 +94,11 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(toxicity.score(docs, model), held_out, "toxicity")
 
 
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents only, one row per benchmark item that was found in them."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_language": language_query,
     "op2_quality_rules": quality_rules_query,
@@ -101,6 +106,7 @@ QUERIES = {
     "op4_toxicity": toxicity_query,
     "op5_quality_cnn": quality_query,
     "op6_simhash": simhash_query,
+    "op7_decontamination": decontamination_query,
     "op8_chat_format": chat_query,
     "op9_html_text": html_query,
     "op10_licenses": license_query,
