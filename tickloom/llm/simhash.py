@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import small_batches, stored
+from tickloom.llm.common import free_name, small_batches, stored
 
 BITS = 64
 WORDS = 3  # per shingle
@@ -63,7 +63,7 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", words: int = WORDS) -> DataFrame:
-    """doc_id, fp: the fingerprint's bits as a signed long."""
+    """doc_id, text_hash, fp: the fingerprint's bits as a signed long."""
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("long")
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, text: str = "text", words: int = WORDS) -> Dat
         for batch in texts:
             yield pd.Series(np.array([fingerprint(t, words) for t in batch], np.uint64).astype(np.int64))
 
-    return docs.select("doc_id", of(F.col(text)).alias("fp"))
+    return docs.select("doc_id", F.xxhash64(text).alias("text_hash"), of(F.col(text)).alias("fp"))
 
 
 @dataclass(frozen=True)
@@ -233,20 +233,47 @@ def roots(pairs: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, text: str = "text", words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp, component_id: the least doc_id reachable over links, the document's own included."""
+    """doc_id, text_hash, fp, component_id, kept: one row per document.
+
+    ``component_id`` is the least doc_id reachable over links, the document's own included. ``kept``
+    marks the component's representative: the least id (nulls last), then the least text hash.
+    """
     marked = stored(fingerprints(docs, text, words), "fingerprints")
-    distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    distinct = stored(marked.groupBy("fp").agg(F.min(first).alias("least")), "distinct")
     total = distinct.count()
     rows = distinct.select("fp").orderBy(F.xxhash64(F.lit("plan"), "fp")).limit(SAMPLE).collect()
     plan = make_plan(np.array([r.fp for r in rows], np.int64).astype(np.uint64), total, max_bits)
     found = roots(links(distinct.select("fp"), plan, max_bits))
     linked = (
         distinct.join(found, distinct["fp"] == found["node"], "left")
-        .select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+        .select("fp", "least", F.coalesce("root", "fp").alias("root"))
     )
-    named = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    component = linked.join(named, "root").select(F.col("fp").alias("of"), "component_id")
-    return marked.join(component, marked["fp"] == component["of"], "left").select("doc_id", "fp", "component_id")
+    named = linked.groupBy("root").agg(F.min("least").alias("first"))
+    component = linked.join(named, "root").select(F.col("fp").alias("of"), "first")
+    return marked.join(component, marked["fp"] == component["of"], "left").select(
+        "doc_id", "text_hash", "fp", F.col("first.doc_id").alias("component_id"),
+        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))).alias("kept"),
+    )
+
+
+def deduplicate(docs: DataFrame, text: str = "text", words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` that represent their component, each once."""
+    found = stored(groups(docs, text, words, max_bits), "groups")
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")).distinct()
+    # Repeated rows of a representative are told apart by nothing; usually there are none.
+    again = found.where("kept").groupBy("doc_id", "text_hash").count().where("count > 1")
+    again = stored(again.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")), "repeated")
+
+    def same(x: DataFrame):
+        return F.col("doc_id").eqNullSafe(x["of_id"]) & (F.xxhash64(text) == x["of_hash"])
+
+    left = docs.join(gone, same(gone), "left_anti")
+    if again.isEmpty():
+        return left
+    key = free_name(docs, "text_hash")
+    once = left.join(again, same(again), "left_semi").withColumn(key, F.xxhash64(text)).dropDuplicates(["doc_id", key]).drop(key)
+    return left.join(again, same(again), "left_anti").unionByName(once)
 
 
 def hex_digits(fp: Column) -> Column:
