@@ -43,6 +43,8 @@ FURNITURE = set("nav footer aside form head button dialog menu input label legen
 OUTER_FURNITURE = {"header"}  # only outside of an article
 CONTAINERS = set("div section ul ol dl table figure details center".split())
 NEVER = set("html body article main".split())
+# Elements that can be part of a template as a whole; inline elements, list items and cells are too small to tell.
+COUNTED = CONTAINERS | FURNITURE | OUTER_FURNITURE | {"p"}
 # An opening tag of the first kind ends an open element of the second.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
@@ -194,9 +196,9 @@ class Page:
         found = []
         for e in range(1, len(self.tags)):
             tag = self.tags[e]
-            if tag in NEVER or tag == "head" or self._holds_root(e):
+            if tag not in COUNTED or self._holds_root(e):
                 continue
-            if not self.inside[e] or tag in CONTAINERS and e not in self.roots:
+            if not self.inside[e] or tag in CONTAINERS:
                 found.append((e, _hash(self.html[self.starts[e] : self.ends[e]]), not self.dropped[e]))
         return found
 
