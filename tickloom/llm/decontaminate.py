@@ -5,6 +5,8 @@
    Its passes over the passages run in Spark; the driver sees sums the size of the vocabulary only.
 3. Every window of ``2 * BLOCK`` words of every text is projected, and items within cosine ``NEAR`` are
    candidates. Windows overlap by half, so one of them holds at least half a window of any passage.
+   Words that the benchmark doesn't have count in no length, so that what a paraphrase puts in between
+   does not hide it.
 4. Around each run of candidate windows the longest common subsequence of words is taken, in regions a
    little longer than the item. An item counts as found if it covers ``SAME`` of the item, or ``ALIKE``
    and the answer, the item's last sentence, is there as well.
@@ -202,7 +204,7 @@ class Items:
     vectors: np.ndarray
     index: np.ndarray  # bucket -> row of ``space``, whose last row is zero
     space: np.ndarray  # projection times inverse document frequency
-    squares: np.ndarray  # squared inverse document frequency of every bucket
+    squares: np.ndarray  # squared inverse document frequency of the benchmark's buckets, 0 for others
 
     def windows(self, hashes: np.ndarray) -> list[tuple[int, int, float]]:
         """(item, window, cosine): every window near an item; window i starts at word i * BLOCK."""
@@ -217,7 +219,7 @@ class Items:
             length = np.add.reduceat(self.squares[part], starts)
             if len(starts) > 1:
                 sums, length = sums[:-1] + sums[1:], length[:-1] + length[1:]
-            cosines = (sums / np.sqrt(length)[:, None]) @ self.vectors
+            cosines = (sums / np.sqrt(np.maximum(length, 1e-9))[:, None]) @ self.vectors
             window, item = np.nonzero(cosines >= NEAR)
             found += zip(item.tolist(), (window + at).tolist(), cosines[window, item].tolist(), strict=True)
         return found
@@ -341,7 +343,7 @@ def blocks_of(benchmark: DataFrame, docs: DataFrame, text: str = "text", bench_t
             latent[i] = v / max(float(np.sqrt((v * v).sum())), 1e-9)
         yield Items(
             [r.item_id for r in chosen], words, [_answer_start(r.text) for r in chosen], np.ascontiguousarray(latent.T),
-            index, space, (idf * idf).astype(np.float32),
+            index, space, np.where(index < len(held), idf * idf, 0).astype(np.float32),
         )
 
 

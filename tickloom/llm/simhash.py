@@ -206,7 +206,7 @@ def links(distinct: DataFrame, plan: Plan, max_bits: int = MAX_BITS) -> DataFram
 
 
 def roots(pairs: DataFrame) -> DataFrame:
-    """node, root: every node of the pairs with the least node of its component.
+    """node, root: every node of the pairs but the roots, with the least node of its component.
 
     Alternating large-star and small-star steps. Each round is a table in the shared folder, and two
     equal rounds end it; only counts and check sums reach the driver.
