@@ -59,6 +59,39 @@ def replay_book_from_messages(spark, d):
     return bk.replay_book(ms.parse_depth(td.depth_messages(td.ticks(spark, d)), keep=["seq"]))
 
 
+# Messages of several levels, some of them full books, which move the id but no level.
+MIXED = f"""{TICKS}, messages AS (
+  SELECT upper(symbol) AS symbol, "tradeId" AS seq, "time", CAST(quantity AS BIGINT) AS k,
+         "tradeId" + CAST(quantity AS BIGINT) AS u, "tradeId" % 7 = 0 AS full_book, floor(price) AS p,
+         CASE WHEN "isBuyerMaker" THEN 'bid' ELSE 'ask' END AS own,
+         CASE WHEN "isBuyerMaker" THEN 'ask' ELSE 'bid' END AS other FROM ticks),
+ids AS (SELECT *, max(u) OVER (PARTITION BY symbol ORDER BY seq
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM messages),
+applied AS (SELECT * FROM ids WHERE top IS NULL OR u > top),
+levels AS (
+  SELECT symbol, seq, own AS side, 0 AS pos, p AS price, CAST(k % 10 AS DOUBLE) AS qty FROM applied WHERE NOT full_book
+  UNION ALL SELECT symbol, seq, own, 1, p + 1, CAST((k + 3) % 10 AS DOUBLE) FROM applied WHERE NOT full_book
+  UNION ALL SELECT symbol, seq, other, 0, p + 5, CAST((k + 1) % 10 AS DOUBLE) FROM applied WHERE NOT full_book),
+mixed_book AS (SELECT symbol, side, price, arg_max(qty, ROW(seq, pos)) AS qty FROM levels GROUP BY 1, 2, 3
+  HAVING arg_max(qty, ROW(seq, pos)) <> 0)"""
+
+
+def mixed_updates(ticks):
+    return ms.parse_depth(td.mixed_depth_messages(ticks), keep=["seq"])
+
+
+@register("replay_mixed_book", f"WITH {MIXED} SELECT symbol, side, price, qty FROM mixed_book")
+def replay_mixed_book(spark, d):
+    """Diffs of several levels between full-book messages and deletions."""
+    return bk.replay_book(mixed_updates(td.ticks(spark, d)))
+
+
+@register("replay_mixed_book_cut", f"WITH {MIXED} SELECT symbol, side, price, qty FROM mixed_book")
+def replay_mixed_book_cut(spark, d):
+    """The same with every symbol cut into slices of a few hundred messages."""
+    return bk.replay_book(mixed_updates(td.ticks(spark, d)), min_rows=200)
+
+
 # Snapshot: five units bid at every price level, at an id that makes the first updates stale.
 _SNAP = f"""{UPDATES}, ids AS (SELECT symbol, min(u) + 100 AS u0 FROM updates GROUP BY 1),
 snap AS (SELECT u.symbol, 'bid' AS side, u.price, 5.0::DOUBLE AS qty, ids.u0 AS u FROM updates u

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.base import CANDLES, TICKS, r, register, rounded
-from catalog.books import _PARSED
+from catalog.books import _PARSED, MIXED, mixed_updates
 from catalog.rankings import SHOWN, _show, change_sql, ranked_sql
 from tickloom.schemas import DAY_MS, HOUR_MS
 from tickloom.session import run_dir
@@ -58,7 +58,7 @@ def stream_max_price(spark, d):
            {r('(close_price - open_price) / nullif(open_price, 0) * 100', 'percent_change')} FROM g""",
 )
 def stream_window_gain(spark, d):
-    q, table = sr.gains_job(tick_stream(spark, d), run_dir(spark, "gains"), "1 hour", part_ms=7 * DAY_MS)
+    q, table = sr.gains_job(tick_stream(spark, d), run_dir(spark, "gains"), "1 hour", part_ms=7 * DAY_MS, retention_ms=None)
     drain(q)
     return rounded(sr.ranked_gains(table.read()), "percent_change")
 
@@ -145,10 +145,44 @@ def stream_changed_only(spark, d):
     return out.read()
 
 
-@register("stream_stateful_book")
+@register("stream_mixed_book", f"WITH {MIXED} SELECT symbol, side, price, qty FROM mixed_book")
+def stream_mixed_book(spark, d):
+    q, books, _ = sb.book_job(mixed_updates(tick_stream(spark, d)), run_dir(spark, "books"))
+    drain(q)
+    return books.read()
+
+
+# Publications as a fold over the applied messages: two clocks, and no book with an empty side.
+_PUBLISHED = f"""{MIXED}, ends AS (
+  SELECT symbol, seq, side, price, arg_max(qty, pos) <> 0 AS held FROM levels GROUP BY ALL),
+steps AS (
+  SELECT symbol, seq, side, CAST(held AS INT) - CAST(coalesce(lag(held) OVER (
+    PARTITION BY symbol, side, price ORDER BY seq), false) AS INT) AS step FROM ends),
+sizes AS (
+  SELECT symbol, seq, coalesce(sum(step) FILTER (side = 'bid'), 0) AS bid_step,
+         coalesce(sum(step) FILTER (side = 'ask'), 0) AS ask_step FROM steps GROUP BY ALL),
+moments AS MATERIALIZED (
+  SELECT a.symbol, a.u, a."time" AS t, row_number() OVER w AS rn,
+         sum(coalesce(bid_step, 0)) OVER w > 0 AND sum(coalesce(ask_step, 0)) OVER w > 0 AS whole
+  FROM applied a LEFT JOIN sizes s ON a.symbol = s.symbol AND a.seq = s.seq
+  WINDOW w AS (PARTITION BY a.symbol ORDER BY a.seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+walk AS (
+  SELECT symbol, rn, t AS pushed, t AS forced, true AS due, u, whole FROM moments WHERE rn = 1
+  UNION ALL
+  SELECT m.symbol, m.rn, CASE WHEN m.t - w.pushed >= 100 THEN m.t ELSE w.pushed END,
+         CASE WHEN m.t - w.pushed < 100 AND m.t - w.forced >= 1000 THEN m.t ELSE w.forced END,
+         m.t - w.pushed >= 100 OR m.t - w.forced >= 1000, m.u, m.whole
+  FROM walk w JOIN moments m ON m.symbol = w.symbol AND m.rn = w.rn + 1)"""
+
+
+@register(
+    "stream_stateful_book",
+    f"""WITH RECURSIVE {_PUBLISHED} SELECT symbol, count(*) AS publications, max(u) AS "lastUpdateId"
+    FROM walk WHERE due AND whole GROUP BY 1""",
+)
 def stream_stateful_book(spark, d):
     """Message by message with per-symbol state; number of publications and the last id per symbol."""
-    messages = ms.read_depth(td.depth_messages(tick_stream(spark, d)), keep=["seq"])
+    messages = ms.read_depth(td.mixed_depth_messages(tick_stream(spark, d)), keep=["seq"])
     emitted = sb.stateful_books(messages)
     base = run_dir(spark, "emitted")
     q = (

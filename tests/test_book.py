@@ -63,6 +63,24 @@ def test_replay_on_snapshot(spark):
     assert collected(got) == fold(rows, snapshot)
 
 
+def test_full_books_move_the_id_only(spark):
+    rows = [
+        ("A", "bid", 0, 5.0, 1.0, 10, 0, "diff"), ("A", "bid", 0, 7.0, 1.0, 20, 1, "snapshot"),
+        ("A", "ask", 0, 8.0, 1.0, 20, 1, "snapshot"), ("A", "ask", 0, 9.0, 1.0, 15, 2, "diff"),
+        ("A", "ask", 0, None, 1.0, 30, 3, "diff"), ("A", "ask", 1, 6.0, None, 30, 3, "diff"),
+    ]
+    df = spark.createDataFrame(rows, LEVELS + ", kind string")
+    assert collected(bk.replay_book(df)) == [("A", "bid", 5.0, 1.0)]
+
+
+def test_arrival_numbers_have_no_limit(spark):
+    rows = [
+        ("A", "bid", 70_000, 1.0, 3.0, 1, 1), ("A", "bid", 0, 1.0, 4.0, 2, 2),
+        ("B", "bid", 0, 1.0, 5.0, 1, 2**62 - 1), ("B", "bid", 0, 1.0, 6.0, 2, 2**62 + 5),
+    ]
+    assert collected(bk.replay_book(spark.createDataFrame(rows, LEVELS))) == [("A", "bid", 1.0, 4.0), ("B", "bid", 1.0, 6.0)]
+
+
 def test_deleting_a_missing_level(spark):
     df = spark.createDataFrame([("A", "bid", 0, 1.0, 0.0, 1, 0)], LEVELS)
     assert bk.replay_book(df).count() == 0

@@ -84,7 +84,7 @@ def test_rollup_job_reads_half_open_and_replaces(spark, day):
     stale = five.withColumn("close", F.lit(-1.0))
     assert jobs.rollup_job(day, "5m", now, stale, symbols=None).first().close == bar.close
     assert jobs.rollup_job(day, "5m", now, stale, symbols=None, replace=False).count() == 0
-    assert jobs.rollup_job(day, "5m", now).count() == 0  # not one of the default pairs
+    assert jobs.rollup_job(day, "5m", now).count() == 1  # no list of symbols means all of them
 
 
 def test_symbol_summary(spark):

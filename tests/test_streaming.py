@@ -225,7 +225,7 @@ def sequential_book(messages, every=100, force=1000):
             continue
         before = (len(book["b"]), len(book["a"]), last)
         for side in ("b", "a"):
-            for price, qty in m.get(side) or []:
+            for price, qty in [x for x in m.get(side) or [] if len(x) == 2 and x[0] != "broken"]:
                 if float(qty) == 0:
                     book[side].pop(price, None)
                 else:
@@ -243,15 +243,27 @@ def sequential_book(messages, every=100, force=1000):
             forced = now
         else:
             continue
-        out.append((now, last, len(book["b"]), len(book["a"])))
+        if book["b"] and book["a"]:
+            out.append((now, last, len(book["b"]), len(book["a"])))
     return out
 
 
+def published(spark, tmp_path, emitted):
+    q = (
+        emitted.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    drain(q)
+    return spark.read.parquet(str(tmp_path / "out")).orderBy("time").collect()
+
+
 def test_stateful_book_with_escapes(spark, tmp_path):
     rng, t, messages = random.Random(11), T0, []
     for i in range(160):
         t += rng.choice([10, 60, 130])
-        m = {"s": "A", "received_at": t, "b": [[str(rng.randint(1, 9)), str(rng.choice([0, 1, 2]))]], "a": []}
+        levels = [[str(rng.randint(1, 9)), str(rng.choice([0, 1, 2]))], ["broken", "1"], ["7"]]
+        asks = [[str(rng.randint(10, 12)), str(rng.choice([0, 1]))]] if rng.random() < 0.4 else []
+        m = {"s": "A", "received_at": t, "b": levels, "a": asks}
         kind = rng.random()
         if kind < 0.6:
             m["u"] = 100_000 + i * 3 + rng.randint(-9, 9)
@@ -264,13 +276,31 @@ def test_stateful_book_with_escapes(spark, tmp_path):
     folder = json_files(tmp_path / "in", [messages[:80], messages[80:]])
     raw = st.file_messages(spark, folder, 1).withColumn("seq", F.get_json_object("value", "$.received_at").cast("long"))
     emitted = sb.stateful_books(ms.read_depth(raw, keep=["seq"]))
-    q = (
-        emitted.writeStream.format("parquet").option("path", str(tmp_path / "out"))
-        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    )
-    drain(q)
-    got = [
-        (r.time, r.lastUpdateId, len(r.bids), len(r.asks))
-        for r in spark.read.parquet(str(tmp_path / "out")).orderBy("time").collect()
+    got = [(r.time, r.lastUpdateId, len(r.bids), len(r.asks)) for r in published(spark, tmp_path, emitted)]
+    want = sequential_book(plain)
+    assert got == want and 0 < len(want) < len(messages)
+
+
+DEPTH_ROW = "symbol string, seq long, u long, kind string, bids array<array<string>>, asks array<array<string>>, received_at long"
+
+
+def test_books_wait_for_their_baseline(spark, tmp_path):
+    def m(seq, u, kind, bid, ask, symbol="A"):
+        level = lambda p: [] if p is None else [[str(p), "1"]]
+        return (symbol, seq, u, kind, level(bid), level(ask), T0 + 1000 * seq)
+
+    batches = [
+        [m(1, 10, "diff", 1, None), m(2, 20, "diff", 2, 8)],  # held back
+        [m(3, 15, "baseline", 5, 9), m(4, 25, "diff", 3, None), m(5, 24, "diff", 4, None)],  # 24 is stale
+        [m(6, 26, "snapshot", 7, 7), m(7, 30, "baseline", 6, 6), m(1, 5, "diff", 1, 2, "B")],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, DEPTH_ROW).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = st.parquet_stream(spark, str(tmp_path / "in"), DEPTH_ROW, "*.parquet", 1)
+    got = published(spark, tmp_path, sb.stateful_books(stream, every_ms=0, wait=True))
+    # In arrival order: the baseline, what was held back and is newer, then the rest.
+    assert sorted((r.lastUpdateId, [p for p, _ in r.bids], [p for p, _ in r.asks]) for r in got if r.symbol == "A") == [
+        (15, [5.0], [9.0]), (20, [5.0, 2.0], [8.0, 9.0]), (25, [5.0, 3.0, 2.0], [8.0, 9.0]),
+        (26, [5.0, 3.0, 2.0], [8.0, 9.0]), (30, [6.0], [6.0]),
     ]
-    assert got == sequential_book(plain)
+    assert not [r for r in got if r.symbol == "B"]

@@ -32,19 +32,24 @@ def replay_book(updates: DataFrame, snapshot: DataFrame | None = None, min_rows:
     """Final book levels after applying diff updates in arrival order.
 
     ``updates``: symbol, side, pos, price, qty, u, seq (``seq`` the arrival number of the message,
-    not negative). ``snapshot``: symbol, side, price, qty, u. Each update sets a level to an
+    not negative) and optionally ``kind``: only messages of kind 'diff' change levels, all others
+    just advance the id. ``snapshot``: symbol, side, price, qty, u. Each update sets a level to an
     absolute quantity, so the book is the last current quantity per level, minus zeros. The
-    snapshot is simply the earliest message; updates not newer than it are stale.
+    snapshot is simply the earliest message; updates not newer than it are stale. A level without a
+    readable price or quantity changes nothing.
     """
-    cols = ["symbol", "side", "pos", "price", "qty", "u", "seq"]
-    rows = updates.select(*cols)
+    cols = ["symbol", "side", "pos", "price", "qty", "u", "seq", "kind"]
+    rows = updates if "kind" in updates.columns else updates.withColumn("kind", F.lit("diff"))
+    rows = rows.select(*cols)
     if snapshot is not None:
-        base = snapshot.withColumns({"pos": F.lit(0), "seq": F.lit(-1).cast("long")})
+        base = snapshot.withColumns({"pos": F.lit(0), "seq": F.lit(-1).cast("long"), "kind": F.lit("diff")})
         rows = base.select(*cols).unionByName(rows)
-    # One sortable number per (message, position) keeps this a hash aggregate with map-side partials.
-    turn = F.shiftleft(F.col("seq"), 16) + F.col("pos")
+    # One sortable number per (message, position) keeps this a hash aggregate with map-side
+    # partials. A decimal has room for any two longs, so no arrival number can overflow it.
+    turn = F.col("seq").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
     return (
         current_updates(rows, min_rows)
+        .filter((F.col("kind") == "diff") & F.col("price").isNotNull() & F.col("qty").isNotNull())
         .groupBy("symbol", "side", "price")
         .agg(F.max_by("qty", turn).alias("qty"))
         .filter(F.col("qty") != 0)

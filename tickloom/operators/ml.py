@@ -148,15 +148,15 @@ def forecast_columns(scored: DataFrame, run_time: str | None = None, interval: s
 
 
 def evaluate(scored: DataFrame, label: str = "target", by: tuple[str, ...] = ()) -> DataFrame:
-    """RMSE, MAE and R2, in one aggregate pass after the label's mean."""
+    """RMSE, MAE and R2 in one aggregate pass; the spread is a running variance, which doesn't cancel."""
     y, p = F.col(label), F.col("prediction")
-    n, sy, syy = F.count(F.lit(1)), F.sum(y), F.sum(y * y)
+    n = F.count(F.lit(1))
     sse = F.sum((y - p) * (y - p))
     return scored.groupBy(*by).agg(
         n.alias("rows"),
         F.sqrt(sse / n).alias("rmse"),
         (F.sum(F.abs(y - p)) / n).alias("mae"),
-        (1 - F.try_divide(sse, syy - sy * sy / n)).alias("r2"),
+        (1 - F.try_divide(sse, F.var_pop(y) * n)).alias("r2"),
     )
 
 

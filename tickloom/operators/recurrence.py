@@ -2,9 +2,10 @@
 
 A recurrence has no ROWS frame, but it can still be computed in parallel over time. An exponential
 average maps the state before a block of rows affinely to the state after it, so each block is
-first run from state zero, the few block summaries are chained, and each row adds its block's
-incoming state scaled by the decay. Blocks are at most ``BLOCK`` rows; chains run per slice and
-then per symbol over the slices (see ``series.py``), so no task sees a whole symbol's rows.
+first run from state zero, the block summaries are chained, and each row adds its block's incoming
+state scaled by the decay. Blocks are at most ``BLOCK`` rows; chains run over runs of blocks, then per
+slice, then per symbol over the slices (see ``series.py``), so no task sees a whole symbol's rows, and
+the work is linear in the rows.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from tickloom.schemas import DAY_MS
 
 # Rows per block. decay ** -BLOCK must stay a finite double: 3 ** 512 is about 1e244.
 BLOCK = 512
+# Blocks whose states are handed down together.
+RUN = 256
 
 
 @dataclass(frozen=True)
@@ -69,72 +72,63 @@ def _chained(
     state_type = "struct<" + ",".join(f"{n}:double" for n in names) + ",offset:bigint>"
     zero = F.struct(*[F.lit(0.0).alias(n) for n in names], F.lit(0).cast("long").alias("offset"))
 
-    def step(state: Column, block: Column) -> Column:
-        moved = advance(state, block["n"], block)
-        return F.struct(
-            *[moved[n].alias(n) for n in names], (state["offset"] + block["n"]).alias("offset")
-        )
+    def step(state: Column, child: Column) -> Column:
+        moved = advance(state, child["n"], child)
+        return F.struct(*[moved[n].alias(n) for n in names], (state["offset"] + child["n"]).alias("offset"))
 
-    def walk(blocks: Column, start: Column, label: str, label_type: str) -> Column:
-        """Array of (label, state before the element) along ``blocks``."""
-        entry = f"array<struct<{label}:{label_type},st:{state_type}>>"
+    def walk(children: Column, start: Column) -> Column:
+        """Array of (at, state before the child) along ``children``."""
+        entry = f"array<struct<at:bigint,st:{state_type}>>"
         return F.aggregate(
-            blocks,
+            children,
             F.struct(start.alias("st"), F.array().cast(entry).alias("seen")),
-            lambda acc, b: F.struct(
-                step(acc["st"], b).alias("st"),
-                F.concat(
-                    acc["seen"], F.array(F.struct(b[label].alias(label), acc["st"].alias("st")))
-                ).alias("seen"),
+            lambda acc, c: F.struct(
+                step(acc["st"], c).alias("st"),
+                F.concat(acc["seen"], F.array(F.struct(c["at"].alias("at"), acc["st"].alias("st")))).alias("seen"),
             ),
             lambda acc: acc["seen"],
         )
 
-    blocks = rows.groupBy(*keys, SLICE, "_blk").agg(
+    def folded(children: DataFrame, path: Sequence[str], at: str) -> DataFrame:
+        """One row per ``path``: its children in order, and what they amount to from state zero."""
+        child = F.struct(F.col(at).cast("long").alias("at"), "n", "first", *names)
+        return (
+            children.groupBy(*path).agg(F.array_sort(F.collect_list(child)).alias("children"))
+            .withColumn("end", F.aggregate("children", zero, step))
+            .select(
+                *path, "children", F.col("end.offset").alias("n"), F.col("children")[0]["first"].alias("first"),
+                *[F.col(f"end.{n}").alias(n) for n in names],
+            )
+        )
+
+    def spread(parents: DataFrame, path: Sequence[str], at: str) -> DataFrame:
+        """The state ``_st`` of each parent handed to its children: one row per child."""
+        return parents.select(*path, *extra, F.explode(walk(F.col("children"), F.col("_st"))).alias("e")).select(
+            *path, *extra, F.col("e.at").alias(at), F.col("e.st").alias("_st")
+        )
+
+    # No level holds more than a bounded number of children per row of the next: blocks in runs of RUN,
+    # runs in slices, slices (at most MAX_PARTS) in a series. Rows meet one state each, by an equi join.
+    in_slice, in_run = [*keys, SLICE], [*keys, SLICE, "_run"]
+    blocks = rows.groupBy(*in_slice, "_blk").agg(
         F.count(F.lit(1)).alias("n"),
         F.min_by(value, "_i").alias("first"),
         *[F.max_by(f"_z_{n}", "_i").alias(n) for n in names],
     )
-    slices = (
-        blocks.groupBy(*keys, SLICE)
-        .agg(F.array_sort(F.collect_list(F.struct("_blk", "n", "first", *names))).alias("blocks"))
-        .withColumn("end", F.aggregate("blocks", zero, step))
-    )
-    chain = (
-        slices.groupBy(*keys)
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        F.col(SLICE).alias("slice"),
-                        F.col("end.offset").alias("n"),
-                        F.col("blocks")[0]["first"].alias("first"),
-                        *[F.col(f"end.{n}").alias(n) for n in names],
-                    )
-                )
-            ).alias("slices")
-        )
-        .withColumn("first", F.col("slices")[0]["first"])
-    )
-    start = initial(F.col("first"))
-    begin = F.struct(
-        *[start[n].cast("double").alias(n) for n in names], F.lit(0).cast("long").alias("offset")
-    )
+    runs = folded(blocks.withColumn("_run", F.floor(F.col("_blk") / RUN)), in_run, "_blk")
+    slices = folded(runs, in_slice, "_run")
+    series = folded(slices, keys, SLICE)
     extra: list[str] = []
     if per_key is not None:
         extra = [c for c in per_key.columns if c not in keys]
-        chain = chain.join(per_key, keys, "left")
-    entering = chain.select(
-        *keys, *extra, F.explode(walk(F.col("slices"), begin, "slice", "bigint")).alias("e")
-    ).select(*keys, *extra, F.col("e.slice").alias(SLICE), F.col("e.st").alias("_st"))
-    states = slices.join(entering, keys + [SLICE]).select(
-        *keys, *extra, SLICE, walk(F.col("blocks"), F.col("_st"), "_blk", "int").alias("_states")
-    )
-    return (
-        rows.join(states, keys + [SLICE])
-        .withColumn("_in", F.element_at("_states", F.col("_blk") + 1)["st"])
-        .drop("_states")
-    )
+        series = series.join(per_key, keys, "left")
+    start = initial(F.col("first"))
+    begin = F.struct(*[start[n].cast("double").alias(n) for n in names], F.lit(0).cast("long").alias("offset"))
+    to_slices = spread(series.withColumn("_st", begin), keys, SLICE)
+    to_runs = spread(slices.select(*in_slice, "children").join(to_slices, in_slice), in_slice, "_run")
+    to_blocks = spread(runs.select(*in_run, "children").join(to_runs, in_run), in_run, "_blk")
+    states = to_blocks.select(*in_slice, F.col("_blk").cast("int").alias("_blk"), *extra, F.col("_st").alias("_in"))
+    return rows.join(states, [*in_slice, "_blk"])
 
 
 def _block_window(keys, order):

@@ -101,39 +101,35 @@ def max_price(df: DataFrame, price: str = "price") -> DataFrame:
 def window_close(df: DataFrame, width: int = MINUTE_MS) -> DataFrame:
     """Last close and total quote volume per (window, symbol) of closed candles.
 
-    Candles with the same time are ranked by close and then quote volume, largest last.
+    Of candles with the same time the one with the largest close is the last.
     """
-    last = F.max(F.struct("openTime", "close", "quoteVolume"))
-    return (
-        df.groupBy("symbol", bucket_start("openTime", width).alias("window_start"))
-        .agg(last.alias("_last"), F.sum("quoteVolume").alias("volume"))
-        .select(
-            "symbol",
-            "window_start",
-            F.col("_last.close").alias("close_price"),
-            F.col("_last.openTime").alias("timestamp"),
-            "volume",
-        )
+    # Ties in time are settled first, so that both steps are hash aggregates over plain numbers.
+    points = df.groupBy("symbol", bucket_start("openTime", width).alias("window_start"), "openTime").agg(
+        F.max("close").alias("close"), F.sum("quoteVolume").alias("quoteVolume")
+    )
+    return points.groupBy("symbol", "window_start").agg(
+        F.max_by("close", "openTime").alias("close_price"),
+        F.max("openTime").alias("timestamp"),
+        F.sum("quoteVolume").alias("volume"),
     )
 
 
 def window_gain(df: DataFrame, width: int = MINUTE_MS, price: str = "price", time: str = "time") -> DataFrame:
     """First and last price, percentage change and trade count per (window, symbol)."""
-    point = F.struct(time, price)
+    # Ties in time are settled first, so that both steps are hash aggregates over plain numbers.
+    points = df.groupBy("symbol", bucket_start(time, width).alias("window_start"), F.col(time).alias("_t")).agg(
+        F.min(price).alias("_low"), F.max(price).alias("_high"), F.count("symbol").alias("_n")
+    )
     return (
-        df.groupBy("symbol", bucket_start(time, width).alias("window_start"))
+        points.groupBy("symbol", "window_start")
         .agg(
-            F.min(point).alias("_first"),
-            F.max(point).alias("_last"),
-            F.count("symbol").alias("trade_count"),
+            F.min_by("_low", "_t").alias("open_price"),
+            F.max_by("_high", "_t").alias("close_price"),
+            F.sum("_n").alias("trade_count"),
         )
         .select(
-            "symbol",
-            "window_start",
-            F.col(f"_first.{price}").alias("open_price"),
-            F.col(f"_last.{price}").alias("close_price"),
-            change_pct(F.col(f"_last.{price}"), F.col(f"_first.{price}")).alias("percent_change"),
-            "trade_count",
+            "symbol", "window_start", "open_price", "close_price",
+            change_pct("close_price", "open_price").alias("percent_change"), "trade_count",
         )
     )
 

@@ -13,7 +13,7 @@ from tickloom.operators.features import drop_null_features, feature_table
 from tickloom.operators.indicators import indicator_table
 from tickloom.operators.rollup import job_window, rollup_ohlc
 from tickloom.operators.serving import latest_prediction, served_prediction
-from tickloom.schemas import DAY_MS, DEFAULT_SYMBOLS, FEATURES
+from tickloom.schemas import DAY_MS, FEATURES
 from tickloom.session import run_dir
 from tickloom.sources.tables import (
     insert_if_absent, latest_k_per_symbol, latest_view, recent_or_latest_k, scan_candles, upsert,
@@ -28,7 +28,7 @@ def rollup_job(
     interval: str,
     now: datetime,
     existing: DataFrame | None = None,
-    symbols: Sequence[str] | None = DEFAULT_SYMBOLS,
+    symbols: Sequence[str] | None = None,
     replace: bool = True,
 ) -> DataFrame:
     """Bars of the last complete window before ``now``.
@@ -52,7 +52,7 @@ def backfill_rollup(candles: DataFrame, interval: str, start: int, end: int, sym
 
 
 def training_rows(
-    candles: DataFrame, now: int, days: int = 30, symbols: Sequence[str] | None = DEFAULT_SYMBOLS, **series
+    candles: DataFrame, now: int, days: int = 30, symbols: Sequence[str] | None = None, **series
 ) -> DataFrame:
     """Complete feature rows with target of the last ``days`` days, both ends included."""
     recent = scan_candles(candles, symbols, "5m", now - days * DAY_MS, now, end_inclusive=True)
@@ -85,7 +85,7 @@ def predict(
     periods: int = 40,
     run_time: str | None = None,
     interval: str = "5m",
-    symbols: Sequence[str] | None = DEFAULT_SYMBOLS,
+    symbols: Sequence[str] | None = None,
 ) -> DataFrame:
     """One forecast per symbol from its newest candle; the candles read per symbol are few."""
     source = scan_candles(candles, symbols, interval)

@@ -46,5 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder name under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh folder name under the shared folder, for what is of no use after the session.
+
+    The folder is deleted when the session's driver ends.
+    """
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path

@@ -222,14 +222,8 @@ def route(df: DataFrame, received_at: Column | str, value: str = "value", keep:
     stream, data = F.col("stream"), F.col("data")
     symbol = F.upper(F.get_json_object(data, "$.s"))
     body = F.substring(data, F.lit(1), F.length(data) - 1)
-    enriched = F.concat(
-        body,
-        F.lit(',"stream":"'),
-        stream,
-        F.lit('","received_at":'),
-        F.col("received_at").cast("string"),
-        F.lit("}"),
-    )
+    added = F.to_json(F.struct("stream", "received_at"))
+    enriched = F.concat(body, F.lit(","), F.substring(added, F.lit(2), F.length(added)))
     return (
         df.select(
             *keep, F.json_tuple(json, "stream", "data").alias("stream", "data"), arrived.alias("received_at")

@@ -106,13 +106,44 @@ def depth_messages(trades: DataFrame) -> DataFrame:
     return trades.select(F.col("tradeId").alias("seq"), F.to_json(message).alias("value"))
 
 
+def mixed_depth_messages(trades: DataFrame) -> DataFrame:
+    """Book messages of several levels: diffs with deletions, and every seventh one a full book.
+
+    A trade sets two neighbouring levels of its side and one of the other; ids are the arrival number
+    plus k, so that some messages are stale.
+    """
+    k = F.col("quantity").cast("int")
+    level = lambda add, plus: F.array((F.floor("price") + add).cast("string"), F.pmod(k + plus, F.lit(10)).cast("string"))
+    own, other = F.array(level(0, 0), level(1, 3)), F.array(level(5, 1))
+    bids = F.when(F.col("isBuyerMaker"), own).otherwise(other)
+    asks = F.when(F.col("isBuyerMaker"), other).otherwise(own)
+    full = F.col("tradeId") % 7 == 0
+    u = F.col("tradeId") + k
+    message = F.struct(
+        F.col("symbol").alias("s"),
+        F.when(~full, u).alias("u"), F.when(~full, bids).alias("b"), F.when(~full, asks).alias("a"),
+        F.when(full, u).alias("lastUpdateId"), F.when(full, asks).alias("bids"), F.when(full, bids).alias("asks"),
+        F.col("time").alias("received_at"),
+    )
+    return trades.select(F.col("tradeId").alias("seq"), F.to_json(message).alias("value"))
+
+
 def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales per supplier as trades; ``seq`` orders the sales of a day."""
+    """Sales per supplier as trades; ``seq`` orders the sales of a day.
+
+    ``seq`` is one number made of order, line, part and price in cents, so that aggregates ordered
+    by it stay hash aggregates.
+    """
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    digits = lambda c, n: F.lpad(c.cast("bigint").cast("string"), n, "0")
+    sale = F.concat(
+        digits(F.col("l_orderkey"), 12), digits(F.col("l_linenumber"), 3), digits(F.col("l_partkey"), 11),
+        digits(F.round(F.col("l_extendedprice") * 100), 12),
+    ).cast("decimal(38,0)")
     return li.select(
         F.col("l_suppkey").cast("string").alias("symbol"),
         utc_millis("l_shipdate").alias("time"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("seq"),
+        sale.alias("seq"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("quantity"),
     )

@@ -2,13 +2,16 @@
 
 :func:`book_job` is relational: a batch is replayed on the stored book with the batch operator, so
 a busy symbol is spread over tasks. :func:`stateful_books` follows one message after the other per
-symbol and therefore also knows the two rules that depend on the previous decision: messages
-without an id, and ids on another scale. Its groups are bounded by the source's per-trigger limit.
+symbol and therefore also knows the rules that depend on the previous decision: messages without an
+id, ids on another scale, and waiting for a baseline. Its groups are bounded by the source's
+per-trigger limit.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -80,16 +83,36 @@ class BookProcessor(StatefulProcessor):
     id, if its id is below 1 % of the current one (another numbering), or if its id is above the
     current one. Full-book messages move the id but no level. A change in the number of levels or
     in the id is published at most every ``every_ms``; a second clock lets one more through every
-    ``force_ms``.
+    ``force_ms``. A book with an empty side is not published, though its turn is used up.
+
+    A message of kind 'baseline' replaces the book and sets the id. With ``wait``, messages are held
+    back until the first baseline; then those newer than it are applied and the others dropped.
     """
 
-    def __init__(self, limit: int = 100, every_ms: int = 100, force_ms: int = 1000):
-        self.limit, self.every_ms, self.force_ms = limit, every_ms, force_ms
+    def __init__(self, limit: int = 100, every_ms: int = 100, force_ms: int = 1000, wait: bool = False):
+        self.limit, self.every_ms, self.force_ms, self.wait = limit, every_ms, force_ms, wait
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.levels = handle.getMapState("levels", "side string, price double", "qty double")
-        self.clock = handle.getValueState("clock", "id long, pushed long, forced long")
+        self.clock = handle.getValueState("clock", "id long, pushed long, forced long, synced boolean")
+        self.held = handle.getListState("held", "message string")
+
+    def _due(self, messages: pd.DataFrame, synced: bool) -> tuple[list, bool]:
+        """The messages to apply now, in order, and whether a baseline has been seen."""
+        found = [_Message(m.seq, _id(m.u), m.kind, _levels(m.bids), _levels(m.asks), int(m.received_at)) for m in messages.itertuples()]
+        first = next((i for i, m in enumerate(found) if m.kind == "baseline"), None)
+        if synced or not self.wait:
+            return found, synced or first is not None
+        if first is None:
+            for m in found:
+                self.held.appendValue((json.dumps(m),))
+            return [], False
+        early = [_Message(*json.loads(text)) for (text,) in self.held.get()] if self.held.exists() else []
+        self.held.clear()
+        baseline = found.pop(first)
+        newer = [m for m in [*early, *found] if m.u is None or m.u > (baseline.u or 0)]
+        return [baseline, *newer], True
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         messages = pd.concat(list(rows)).sort_values("seq")
@@ -97,39 +120,45 @@ class BookProcessor(StatefulProcessor):
         for (side, price), (qty,) in self.levels.iterator():
             book[side][price] = qty
         held = self.clock.get() if self.clock.exists() else None
-        last, pushed, forced = held or (0, 0, int(messages.iloc[0].received_at))
+        last, pushed, forced, synced = held or (0, 0, int(messages.iloc[0].received_at), False)
+        due, synced = self._due(messages, synced)
         touched: set[tuple[str, float]] = set()
         out = []
-        for m in messages.itertuples():
-            update = None if pd.isna(m.u) else int(m.u)
-            if not (_some(m.bids) or _some(m.asks)):
+        for m in due:
+            baseline = m.kind == "baseline"
+            if not (m.bids or m.asks or baseline):
                 continue
-            if update is not None and 0 < last and 0.01 * last <= update <= last:
+            if not baseline and m.u is not None and 0 < last and 0.01 * last <= m.u <= last:
                 continue
             before = (len(book["bid"]), len(book["ask"]), last)
-            if m.kind == "diff":
+            if baseline:
+                touched |= {(side, price) for side in book for price in book[side]}
+                book = {"bid": {}, "ask": {}}
+            if baseline or m.kind == "diff":
                 for side, levels in (("bid", m.bids), ("ask", m.asks)):
                     touched |= _set_levels(book[side], side, levels)
-            if update is not None:
-                last = update
+            if m.u is not None:
+                last = m.u
             elif last != 0:
                 last += 1
             if (len(book["bid"]), len(book["ask"]), last) == before:
                 continue
-            now = int(m.received_at)
+            now = m.received_at
             if now - pushed >= self.every_ms:
                 pushed = now
             elif now - forced >= self.force_ms:
                 forced = now
             else:
                 continue
+            if not (book["bid"] and book["ask"]):
+                continue
             out.append((key[0], now, last, self._best(book["bid"], True), self._best(book["ask"], False)))
         for side, price in touched:
             if price in book[side]:
                 self.levels.updateValue((side, price), (book[side][price],))
             elif self.levels.containsKey((side, price)):
                 self.levels.removeKey((side, price))
-        self.clock.update((last, pushed, forced))
+        self.clock.update((last, pushed, forced, synced))
         yield pd.DataFrame(out, columns=["symbol", "time", "lastUpdateId", "bids", "asks"])
 
     def _best(self, side: dict[float, float], descending: bool) -> list[dict]:
@@ -140,17 +169,40 @@ class BookProcessor(StatefulProcessor):
         pass
 
 
-def _some(levels) -> bool:
-    return levels is not None and len(levels) > 0
+class _Message(NamedTuple):
+    seq: int
+    u: int | None
+    kind: str
+    bids: list
+    asks: list
+    received_at: int
+
+
+def _id(u) -> int | None:
+    return None if pd.isna(u) else int(u)
+
+
+def _levels(levels) -> list[list[str]]:
+    return [] if levels is None else [list(level) for level in levels]
 
 
-def _set_levels(side: dict[float, float], name: str, levels) -> set[tuple[str, float]]:
-    """Set each level to its quantity, zero removing it; returns the levels touched."""
+def _number(text) -> float | None:
+    try:
+        return float(text)
+    except (TypeError, ValueError):
+        return None
+
+
+def _set_levels(side: dict[float, float], name: str, levels: list[list[str]]) -> set[tuple[str, float]]:
+    """Set each level to its quantity, zero removing it; returns the levels touched.
+
+    A level without a readable price or quantity changes nothing.
+    """
     touched = set()
-    for level in levels if levels is not None else ():
-        if len(level) < 2:
+    for level in levels:
+        price, qty = (_number(x) for x in level[:2]) if len(level) >= 2 else (None, None)
+        if price is None or qty is None:
             continue
-        price, qty = float(level[0]), float(level[1])
         touched.add((name, price))
         if qty == 0:
             side.pop(price, None)
@@ -159,12 +211,17 @@ def _set_levels(side: dict[float, float], name: str, levels) -> set[tuple[str, f
     return touched
 
 
-def stateful_books(messages: DataFrame, limit: int = 100, every_ms: int = 100, force_ms: int = 1000) -> DataFrame:
-    """Published books from a stream of ``read_depth`` rows (with ``seq``)."""
+def stateful_books(
+    messages: DataFrame, limit: int = 100, every_ms: int = 100, force_ms: int = 1000, wait: bool = False
+) -> DataFrame:
+    """Published books from a stream of ``read_depth`` rows (with ``seq``).
+
+    With ``wait`` a symbol's messages are held back until a row of kind 'baseline' arrives for it.
+    """
     use_rocksdb(messages.sparkSession)
     rows = messages.select("symbol", "seq", "u", "kind", "bids", "asks", "received_at")
     return rows.groupBy("symbol").transformWithStateInPandas(
-        statefulProcessor=BookProcessor(limit, every_ms, force_ms),
+        statefulProcessor=BookProcessor(limit, every_ms, force_ms, wait),
         outputStructType=EMISSION,
         outputMode="append",
         timeMode="none",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,6 +31,16 @@ def _event_time(stream: DataFrame, time: str, late: str) -> DataFrame:
     return stream.withColumn("event_ts", ms_to_ts(time)).withWatermark("event_ts", late)
 
 
+def _turn(time: str, price: str) -> Column:
+    """Orders rows by time and, at one time, by price, as one number.
+
+    A single number keeps the stateful aggregates hash aggregates. Prices count to a billionth and up
+    to a billion, which holds any quoted price; times have 19 digits.
+    """
+    scaled = F.greatest(F.least(F.col(price), F.lit(1e9)), F.lit(-1e9)).cast("decimal(20,9)")
+    return (F.col(time).cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)")).cast("decimal(29,0)") + scaled
+
+
 def stream_latest_price(stream: DataFrame, price: str = "price", time: str = "time") -> DataFrame:
     """Newest price and count per symbol, for complete mode; state is one row per symbol."""
     return (
@@ -55,18 +65,15 @@ def stream_max_price(stream: DataFrame, price: str = "price") -> DataFrame:
 
 def stream_window_close(stream: DataFrame, width: str = "1 minute", late: str = "2 minutes") -> DataFrame:
     """Last close and quote volume per event-time window; the watermark bounds the state."""
-    last = F.max(F.struct("openTime", "close", "quoteVolume"))
     return (
         _event_time(stream, "openTime", late)
         .groupBy(F.window("event_ts", width), "symbol")
-        .agg(last.alias("_last"), F.sum("quoteVolume").alias("volume"))
-        .select(
-            "symbol",
-            F.unix_millis("window.start").alias("window_start"),
-            F.col("_last.close").alias("close_price"),
-            F.col("_last.openTime").alias("timestamp"),
-            "volume",
+        .agg(
+            F.max_by("close", _turn("openTime", "close")).alias("close_price"),
+            F.max("openTime").alias("timestamp"),
+            F.sum("quoteVolume").alias("volume"),
         )
+        .select("symbol", F.unix_millis("window.start").alias("window_start"), "close_price", "timestamp", "volume")
     )
 
 
@@ -74,18 +81,21 @@ def stream_window_gain(
     stream: DataFrame, width: str = "1 minute", late: str = "2 minutes", price: str = "price", time: str = "time"
 ) -> DataFrame:
     """First and last price, change and count per event-time window."""
-    point = F.struct(time, price)
-    first, last = F.col(f"_first.{price}"), F.col(f"_last.{price}")
+    turn = _turn(time, price)
     return (
         _event_time(stream, time, late)
         .groupBy(F.window("event_ts", width), "symbol")
-        .agg(F.min(point).alias("_first"), F.max(point).alias("_last"), F.count("symbol").alias("trade_count"))
+        .agg(
+            F.min_by(price, turn).alias("open_price"),
+            F.max_by(price, turn).alias("close_price"),
+            F.count("symbol").alias("trade_count"),
+        )
         .select(
             "symbol",
             F.unix_millis("window.start").alias("window_start"),
-            first.alias("open_price"),
-            last.alias("close_price"),
-            change_pct(last, first).alias("percent_change"),
+            "open_price",
+            "close_price",
+            change_pct("close_price", "open_price").alias("percent_change"),
             "trade_count",
         )
     )
@@ -101,15 +111,20 @@ def _upserted(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def gains_job(
     stream: DataFrame, base: str, width: str = "1 minute", late: str = "2 minutes", part_ms: int = HOUR_MS,
-    checkpoint: str | None = None, every: str | None = None,
+    retention_ms: int | None = DAY_MS, checkpoint: str | None = None, every: str | None = None,
 ) -> tuple[StreamingQuery, StateTable]:
-    """Window gains in update mode, kept in a table by time."""
+    """Window gains in update mode, kept in a table by time; windows older than the retention are dropped."""
     spark = stream.sparkSession
     table = StateTable(spark, base, GAINS_SCHEMA, bucket_start("window_start", part_ms))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         table.merge(batch, batch_id, _upserted)
-        table.prune(batch_id)
+        oldest = None
+        if retention_ms is not None:
+            oldest = batch.agg(F.max("window_start")).first()[0] - retention_ms - part_ms
+        table.prune(batch_id, oldest)
 
     return start(stream_window_gain(stream, width, late), on_batch, "update", checkpoint, every), table
 
