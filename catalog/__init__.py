@@ -3,4 +3,5 @@
 from catalog import (  # noqa: F401
     bars, books, flows, forecasts, indicators, ingest, jobs, monitoring, rankings, serving, upkeep,
 )
+from catalog import cuts  # noqa: F401
 from catalog.base import QUERIES, SQL  # noqa: F401

@@ -3,13 +3,14 @@
 from pyspark.sql import functions as F
 
 from catalog.bars import tick_bars
-from catalog.base import CANDLES, aligned_cte, bars_cte, r, register, rounded
+from catalog.base import CANDLES, MID_MONTH, aligned_cte, bars_cte, r, register, rounded
 from catalog.indicators import ORDER, feature_sql
 from tickloom.operators import ml
 from tickloom.operators import serving as sv
 from tickloom.operators.features import drop_null_features, feature_table
 from tickloom.plans import jobs
 from tickloom.schemas import FEATURES, HOUR_MS
+from tickloom.session import run_dir
 from tickloom.sources import tables as tb
 from tickloom.sources import testdata as td
 
@@ -245,26 +246,88 @@ def _training_rows(spark, d):
     return drop_null_features(feature_table(td.tick_candles(td.ticks(spark, d)), order=ORDER), True)
 
 
-@register("fitted_model_params")
+_TRAINING = f"""WITH {CANDLES}, {feature_sql()}, rows_ AS (
+  SELECT *, {FOLD} AS fold FROM features WHERE target IS NOT NULL AND {USABLE})"""
+_SCALERS = " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, {r(f'avg({f})', 'mean')}, {r(f'stddev_samp({f})', 'std')}, "
+    f"{r('avg(target)', 'intercept', 4)}, 0.0::DOUBLE AS residual FROM rows_ WHERE fold = 'train'"
+    for f in FEATURES
+)
+
+
+@register("fitted_model_params", f"{_TRAINING} {_SCALERS}")
 def fitted_model_params(spark, d):
-    """Training on the hash fold; rows only, the solver has no SQL twin."""
-    _, params = jobs.train(_training_rows(spark, d))
-    return rounded(params.frame(spark), "coefficient", "mean", "std", "intercept")
+    """Training on the hash fold: scalers, intercept, and how far the coefficients are from solving it.
+
+    The residual of the ridge's normal equation of each feature, in deviations of the label, is zero
+    for the solution and for nothing else.
+    """
+    rows = _training_rows(spark, d)
+    _, params = jobs.train(rows)
+    train = ml.score(rows.withColumn("fold", ml.hash_fold("symbol", "openTime")), params).filter("fold = 'train'")
+    miss = F.col("prediction") - F.col("target")
+    # A feature that never changes has no deviation and no equation.
+    z = {f: (F.col(f) - params.scaler_mean[f]) / (params.scaler_std[f] or float("inf")) for f in FEATURES}
+    deviation = F.stddev_samp("target")
+    equations = train.agg(
+        *[((F.avg(z[f] * miss) + 0.1 * params.coefficients[f] / deviation) / deviation).alias(f) for f in FEATURES]
+    )
+    residual = equations.unpivot([], FEATURES, "feature", "residual")
+    out = params.frame(spark).select("feature", "mean", "std", "intercept").join(residual, "feature")
+    out = out.withColumn("residual", F.round("residual", 2) + 0.0)
+    return rounded(rounded(out, "mean", "std"), "intercept", digits=4)
 
 
-@register("fitted_model_quality")
+@register(
+    "fitted_model_quality",
+    f"{_TRAINING} SELECT fold, count(*) AS rows, true AS explains FROM rows_ GROUP BY 1",
+)
 def fitted_model_quality(spark, d):
     """Fit, then score every row by the column expression and evaluate per fold."""
     rows = _training_rows(spark, d)
     _, params = jobs.train(rows)
     folds = rows.withColumn("fold", ml.hash_fold("symbol", "openTime"))
-    return ml.evaluate(ml.score(folds, params), by=("fold",))
+    found = ml.evaluate(ml.score(folds, params), by=("fold",))
+    return found.select("fold", "rows", ((F.col("r2") > 0) & (F.col("r2") <= 1) & (F.col("mae") <= F.col("rmse"))).alias("explains"))
+
+
+@register(
+    "score_by_stored_model",
+    f"WITH {CANDLES}, {feature_sql()} {predictions_cte(300_000)} SELECT {PREDICTION} FROM predictions",
+)
+def score_by_stored_model(spark, d):
+    """The published parameters written, read back and applied to every trade."""
+    path = run_dir(spark, "model")
+    ml.save_model(spark, path, PUBLISHED)
+    features = feature_table(td.tick_candles(td.ticks(spark, d)), False, order=ORDER)
+    scored = ml.score(drop_null_features(features), ml.load_params(spark, path))
+    return rounded(ml.forecast_columns(scored, RUN_TIME), *ROUNDED)
+
+
+@register(
+    "time_split",
+    f"""{HOURLY} SELECT CASE WHEN "openTime" < {MID_MONTH} THEN 'train' ELSE 'test' END AS fold, count(*) AS rows,
+    min("openTime") AS first, max("openTime") AS last FROM features WHERE target IS NOT NULL AND {USABLE} GROUP BY 1""",
+)
+def time_split(spark, d):
+    rows = drop_null_features(feature_table(bars(spark, d), cut=False), True)
+    train, test = ml.split_time(rows, MID_MONTH)
+    sides = train.withColumn("fold", F.lit("train")).unionByName(test.withColumn("fold", F.lit("test")))
+    return sides.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("openTime").alias("first"), F.max("openTime").alias("last")
+    )
 
 
-@register("sample_predictions")
+@register(
+    "sample_predictions",
+    f"""{HOURLY}, s AS (SELECT symbol, close, target, {score_sql()} AS p FROM features WHERE {USABLE})
+    SELECT symbol, close, {r('target', 'target')}, {r('p', 'prediction')} FROM s
+    ORDER BY symbol NULLS FIRST, close NULLS FIRST, target NULLS FIRST, p NULLS FIRST LIMIT 10""",
+)
 def sample_predictions(spark, d):
     scored = ml.score(hourly_features(spark, d), PUBLISHED)
-    return sv.sample_predictions(scored.select("symbol", "close", "target", "prediction"))
+    out = sv.sample_predictions(scored.select("symbol", "close", "target", "prediction"))
+    return rounded(out, "target", "prediction")
 
 
 @register(

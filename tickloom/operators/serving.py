@@ -137,7 +137,8 @@ def served_prediction(predictions: DataFrame) -> DataFrame:
 
 
 def sample_predictions(scored: DataFrame, n: int = 10) -> DataFrame:
-    return scored.limit(n)
+    """The first ``n`` rows by all columns, nulls first: the same sample in every run."""
+    return scored.orderBy(*scored.columns).limit(n)
 
 
 def direction_counts(predictions: DataFrame) -> DataFrame:
