@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -40,7 +40,7 @@ NEAR = 0.3
 SAME, ALIKE, ANSWER = 0.7, 0.5, 0.6
 SHORT = 8
 ITEMS = 20_000  # items sent to the executors at a time
-SLICE = 1 << 12  # blocks projected together
+SLICE = 64  # blocks projected together; their vectors stay in the processor's cache
 
 # Bytes that belong to words: digits, a-z, and everything beyond ASCII.
 WORD_BYTE = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -205,19 +205,23 @@ class Items:
     index: np.ndarray  # bucket -> row of ``space``, whose last row is zero
     space: np.ndarray  # projection times inverse document frequency
     squares: np.ndarray  # squared inverse document frequency of the benchmark's buckets, 0 for others
+    masks: dict = field(default_factory=dict, repr=False)  # item -> word -> bits of its places; filled in tasks
 
     def windows(self, hashes: np.ndarray) -> list[tuple[int, int, float]]:
         """(item, window, cosine): every window near an item; window i starts at word i * BLOCK."""
         found = []
         blocks = max(-(-len(hashes) // BLOCK), 1)
+        buffer = np.empty((min(blocks, SLICE + 1) * BLOCK, self.space.shape[1]), np.float32)
         for at in range(0, max(blocks - 1, 1), SLICE):
             part = buckets(hashes[at * BLOCK : (at + SLICE + 1) * BLOCK])
             if not len(part):
                 break
-            starts = np.arange(0, len(part), BLOCK)
-            sums = np.add.reduceat(self.space.take(self.index[part], axis=0), starts, axis=0)
-            length = np.add.reduceat(self.squares[part], starts)
-            if len(starts) > 1:
+            whole = -(-len(part) // BLOCK)
+            np.take(self.space, self.index[part], axis=0, mode="clip", out=buffer[: len(part)])
+            buffer[len(part) : whole * BLOCK] = 0
+            sums = np.einsum("bwk->bk", buffer[: whole * BLOCK].reshape(whole, BLOCK, -1))
+            length = np.add.reduceat(self.squares[part], np.arange(0, len(part), BLOCK))
+            if whole > 1:
                 sums, length = sums[:-1] + sums[1:], length[:-1] + length[1:]
             cosines = (sums / np.sqrt(np.maximum(length, 1e-9))[:, None]) @ self.vectors
             window, item = np.nonzero(cosines >= NEAR)
@@ -245,25 +249,25 @@ class Items:
 
     def check(self, item: int, hashes: np.ndarray, start: int, stop: int) -> tuple[float, bool, int] | None:
         """(covered, answered, first word) of the best region between two words, if it passes."""
-        words = self.words[item]
-        n = len(words)
+        n = len(self.words[item])
+        masks = self.masks.get(item)
+        if masks is None:
+            masks = self.masks[item] = {}
+            for i, w in enumerate(self.words[item].tolist()):
+                masks[w] = masks.get(w, 0) | 1 << i
         span = n + max(n // 2, BLOCK)
         start, stop = max(start - n, 0), min(stop + n, len(hashes))
-        masks: dict[int, int] = {}
-        for i, w in enumerate(words.tolist()):
-            masks[w] = masks.get(w, 0) | 1 << i
-        # Without this many words in common no region can pass.
-        shared = np.isin(hashes[start:stop], words).cumsum()
+        region_words = hashes[start:stop].tolist()
         best = None
         for at in range(start, max(stop - span, start) + BLOCK, BLOCK):
-            end = min(at + span, stop)
-            if end <= at or shared[end - start - 1] - (shared[at - start - 1] if at > start else 0) < ALIKE * n:
+            region = region_words[at - start : at - start + span]
+            # Words of the item that occur at all bound the common subsequence from above.
+            if sum(masks[w].bit_count() for w in masks.keys() & set(region)) < ALIKE * n:
                 continue
-            region = hashes[at:end].tolist()
             matched = common(masks, n, region)
             covered = matched.bit_count() / n
             if n < SHORT:
-                ok, answered = _contains(region, words.tolist()), True
+                ok, answered = _contains(region, self.words[item].tolist()), True
             else:
                 tail = n - self.answers[item]
                 answered = (matched >> self.answers[item]).bit_count() >= ANSWER * tail
@@ -328,9 +332,9 @@ def blocks_of(benchmark: DataFrame, docs: DataFrame, text: str = "text", bench_t
     frequency, total = document_frequencies(docs, text)
     idf = inverse_frequencies(frequency, total)
     held, vectors = latent_space(stored(passages(items, idf), "passages"))
-    index = np.full(BUCKETS, len(held), np.int32)
+    index = np.full(BUCKETS, len(held), np.int64)
     index[held] = np.arange(len(held))
-    space = np.concatenate([vectors * idf[held, None], np.zeros((1, vectors.shape[1]))]).astype(np.float32)
+    space = np.ascontiguousarray(np.concatenate([vectors * idf[held, None], np.zeros((1, vectors.shape[1]))]), np.float32)
     count = math.ceil(number / ITEMS)
     for block in range(count):
         chosen = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block).collect()
