@@ -205,6 +205,20 @@ def choose_landmarks(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
     return chosen
 
 
+def _nearest(harmless: list[str], chosen: list[str]) -> list[str]:
+    """The ``NEAR`` harmless pieces most like each chosen one; some thousands are compared at a time."""
+    table = landmark_table(chosen)
+    best: list[list[tuple[float, int]]] = [[] for _ in chosen]
+    for at in range(0, len(harmless), 8192):
+        likeness = apply(harmless[at : at + 8192], table)
+        top = np.argsort(-likeness, axis=0, kind="stable")[:NEAR]
+        for j, held in enumerate(best):
+            held += [(-float(likeness[i, j]), at + int(i)) for i in top[:, j]]
+            held[:] = sorted(held)[:NEAR]
+    near = [harmless[held[r][1]] for r in range(NEAR) for held in best if r < len(held)]
+    return [p for p in dict.fromkeys(near) if p not in chosen]
+
+
 def _disguised(piece: str, rng) -> str:
     """The piece with one letter put in between."""
     at = int(rng.integers(2, max(len(piece) - 1, 3)))
@@ -213,8 +227,10 @@ def _disguised(piece: str, rng) -> str:
 
 def fit(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     """Train on documents; their labels pass to the sentences that hold a chosen beginning, or to all if harmless."""
-    split = [[words_of(s) for s in SENTENCE.split(t.lower())] for t in texts]
-    whole = [set().union(*doc) for doc in split]
+    pool: dict[str, str] = {}  # one object per different word, whatever the number of its texts
+    shared = lambda words: {pool.setdefault(w, w) for w in words}
+    split = [[shared(words_of(s)) for s in SENTENCE.split(t.lower())] if y else None for t, y in zip(texts, labels, strict=True)]
+    whole = [shared(words_of(t.lower())) if doc is None else set().union(*doc) for t, doc in zip(texts, split, strict=True)]
     toxic, clean = ([w for w, y in zip(whole, labels, strict=True) if bool(y) == kind] for kind in (True, False))
     chosen = choose_landmarks(toxic, clean) if toxic and clean else []
     if not chosen:
@@ -222,10 +238,9 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     rng = np.random.default_rng(seed)
     begin = tuple(chosen)
     witness = Counter()
-    for doc, label in zip(split, labels, strict=True):
-        if label:
-            for sentence in doc:
-                witness.update(f"^{w}$"[:PIECE] for w in sentence if f"^{w}$".startswith(begin))
+    for doc in split:
+        for sentence in doc or ():
+            witness.update(f"^{w}$"[:PIECE] for w in sentence if f"^{w}$".startswith(begin))
     # A piece counts once, with a weight that grows with the square root of its number.
     weights = {p: float(np.sqrt(n)) for p, n in sorted(witness.items())}
     weights.update({_disguised(p, rng): n / 3 for p, n in list(weights.items()) if p.endswith("$")})
@@ -235,9 +250,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     draw = rng.permutation(len(harmless))[: 2 * HARD]
     negative = [harmless[i] for i in draw]
     # Harmless landmarks: for each toxic one the harmless pieces most like it, later the worst of each round.
-    likeness = apply(harmless, landmark_table(chosen))
-    near = np.argsort(-likeness, axis=0, kind="stable")[:NEAR].ravel()
-    landmarks = [*chosen, *dict.fromkeys(harmless[i] for i in near if harmless[i] not in chosen)]
+    landmarks = [*chosen, *_nearest(harmless, chosen)]
     negative = sorted(set(negative) | set(landmarks[len(chosen) :]))
     for _ in range(ROUNDS):
         rows = landmark_table(landmarks)
