@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import count_words, free_name
+from tickloom.llm.common import count_words, free_name, stored
 
 WEIGHTS = (1, 2, 3)
 MOST = 3  # a source's target stops at so many times its size
@@ -38,8 +38,8 @@ def coins(doc_id: Column) -> Column:
 
 
 def sizes(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, source, size: all the mix needs of a document."""
-    return docs.select("doc_id", F.col(source).alias("source"), count_words(F.col(text)).alias("size"))
+    """doc_id, source, size: all the mix needs of a document, as a slim table that texts are read for once."""
+    return stored(docs.select("doc_id", F.col(source).alias("source"), count_words(F.col(text)).alias("size")), "sizes")
 
 
 def targets(sized: DataFrame) -> DataFrame:
@@ -84,8 +84,12 @@ def copies(rate: Column, coin: Column) -> Column:
 
 
 def plan(sized: DataFrame) -> DataFrame:
-    """source, source_size, target, rate, seed: one row per source."""
-    goal = targets(sized).withColumnRenamed("source", "goal_source")
+    """source, source_size, target, rate, seed: one row per source.
+
+    This and the targets are stored tables, so Spark knows their size before it joins documents with
+    them: a few sources are broadcast and no document moves, very many are met by a skew-proof join.
+    """
+    goal = stored(targets(sized), "targets").withColumnRenamed("source", "goal_source")
     # One partial sum per source and task: a source with a third of all rows is combined before it moves.
     tried = (
         sized.join(goal, F.col("source").eqNullSafe(F.col("goal_source")), "inner")
@@ -97,7 +101,7 @@ def plan(sized: DataFrame) -> DataFrame:
         )
     )
     misses = F.array(*[F.struct(F.abs(F.col(f"taken_{i}") - F.col("target")).alias("miss"), F.lit(i).alias("seed")) for i in range(SEEDS)])
-    return tried.select("source", "source_size", "target", "rate", F.array_min(misses)["seed"].alias("seed"))
+    return stored(tried.select("source", "source_size", "target", "rate", F.array_min(misses)["seed"].alias("seed")), "plan")
 
 
 def taken(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:

@@ -260,7 +260,8 @@ def groups(docs: DataFrame, text: str = "text", words: int = WORDS, max_bits: in
 def deduplicate(docs: DataFrame, text: str = "text", words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that represent their component, each once."""
     found = stored(groups(docs, text, words, max_bits), "groups")
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")).distinct()
+    # Stored, so that Spark knows the size: few removed documents are broadcast, and no text moves.
+    gone = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")).distinct(), "removed")
     # Repeated rows of a representative are told apart by nothing; usually there are none.
     again = found.where("kept").groupBy("doc_id", "text_hash").count().where("count > 1")
     again = stored(again.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")), "repeated")
