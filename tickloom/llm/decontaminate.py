@@ -362,7 +362,8 @@ def _finder(load):
         for batch in texts:
             yield pd.Series([[dict(zip(FIELDS, h, strict=True)) for h in own.hits(t)] for t in batch], dtype=object)
 
-    return hits
+    # Else the filter that Spark infers below an explode would evaluate it a second time.
+    return hits.asNondeterministic()
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "hits") -> DataFrame:
