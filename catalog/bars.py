@@ -94,8 +94,9 @@ def rollup_1d_by_supplier(spark, d):
         F.col("quantity").alias("volume"),
         (F.col("price") * F.col("quantity")).alias("quoteVolume"),
         F.lit(1).alias("trades"),
-        F.struct("time", "seq").alias("seq"),
+        "seq",
     )
+    # A bar holds one day here, so the number of the sale orders its rows.
     bars = ru.rollup_ohlc(candles, "1d", order="seq").drop("interval", "openTime", "closeTime")
     return rounded(bars, "quoteVolume", digits=2)
 

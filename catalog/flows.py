@@ -20,6 +20,21 @@ def tick_stream(spark, d):
     return td.ticks_of(st.parquet_stream(spark, d, td.EVENTS_SCHEMA, "events.parquet"))
 
 
+def tick_batches(spark, d, batches=4):
+    """The same trades in ``batches`` files of equal numbers of ids, read one per micro-batch."""
+    folder = run_dir(spark, "split")
+    events = td.events(spark, d)
+    top = events.agg(F.max("event_id")).first()[0]
+    for i in range(batches):
+        part = events.filter(F.floor(F.col("event_id") * batches / (top + 1)) == i)
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", 1))
+
+
+def kline_batches(spark, d):
+    return ms.parse_klines(td.kline_messages(tick_batches(spark, d)), keep=["seq"])
+
+
 def kline_stream(spark, d):
     return ms.parse_klines(td.kline_messages(tick_stream(spark, d)), keep=["seq"])
 
@@ -140,9 +155,9 @@ def stream_changed_only(spark, d):
     emissions = tick_stream(spark, d).select(
         "symbol", "time", F.col("tradeId").alias("seq"), F.floor("price").cast("bigint").alias("lastUpdateId")
     )
-    q, out, _ = ss.changed_only_job(emissions, run_dir(spark, "changed"), 7 * DAY_MS)
+    q, out, _ = ss.changed_only_job(emissions, run_dir(spark, "changed"))
     drain(q)
-    return out.read()
+    return out.read().drop("batch")
 
 
 @register("stream_mixed_book", f"WITH {MIXED} SELECT symbol, side, price, qty FROM mixed_book")
@@ -195,3 +210,93 @@ def stream_stateful_book(spark, d):
     return out.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("publications"), F.max("lastUpdateId").alias("lastUpdateId")
     )
+
+
+# ---- several micro-batches ---------------------------------------------------------------------
+
+_RECENT = f"""WITH {CANDLES} {change_sql(60_000, 'WHERE volume >= 10')}""".replace(
+    "lagged AS (", f"kept AS (SELECT * FROM windows WHERE window_start > (SELECT max(window_start) FROM windows) - {2 * DAY_MS}),\nlagged AS ("
+).replace("FROM windows WINDOW w", "FROM kept WINDOW w")
+
+
+@register("stream_top_gainers_batches", f"{_RECENT} {ranked_sql(DAY_MS)} SELECT {SHOWN} FROM ranked")
+def stream_top_gainers_batches(spark, d):
+    """The served ranking over four micro-batches, with the 24-hour horizon and what it drops."""
+    q, table = sr.top_gainers_job(kline_batches(spark, d), run_dir(spark, "gainers"), part_ms=DAY_MS)
+    drain(q)
+    return _show(table.read().drop("expires_at"))
+
+
+@register("stream_mixed_book_batches", f"WITH {MIXED} SELECT symbol, side, price, qty FROM mixed_book")
+def stream_mixed_book_batches(spark, d):
+    q, books, _ = sb.book_job(mixed_updates(tick_batches(spark, d)), run_dir(spark, "books"))
+    drain(q)
+    return books.read()
+
+
+@register(
+    "stream_candle_store_batches",
+    f"""WITH {CANDLES}, c AS (SELECT symbol, "openTime", arg_max(close, seq) AS close, max(seq) AS seq
+      FROM candles WHERE volume >= 10 GROUP BY 1, 2)
+    SELECT * FROM c WHERE "openTime" > (SELECT max("openTime") FROM c) - {DAY_MS}""",
+)
+def stream_candle_store_batches(spark, d):
+    """Candles merged over four micro-batches and kept for a day."""
+    q, candles, _ = ss.candle_store_job(kline_batches(spark, d), run_dir(spark, "store"), part_ms=DAY_MS)
+    drain(q)
+    rows = candles.read()
+    newest = rows.select(F.max("openTime").alias("t")).scalar()
+    return ss.retained(rows, newest).select("symbol", "openTime", "close", "seq")
+
+
+@register(
+    "stream_trade_tape_batches",
+    f"""WITH {TICKS} SELECT symbol, price, quantity, "time", "isBuyerMaker", "tradeId" FROM ticks
+    QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "time" DESC, "tradeId" DESC) <= 100""",
+)
+def stream_trade_tape_batches(spark, d):
+    q, tape = ss.trade_tape_job(ms.parse_trades(td.trade_messages(tick_batches(spark, d))), run_dir(spark, "tape"))
+    drain(q)
+    return tape.read()
+
+
+@register(
+    "stream_changed_only_batches",
+    f"""WITH {TICKS}, e AS (SELECT symbol, "time", "tradeId" AS seq, floor(price) AS id FROM ticks
+      WHERE floor(price) <> 0),
+    l AS (SELECT *, lag(id) OVER (PARTITION BY symbol ORDER BY "time", seq) AS prev FROM e)
+    SELECT symbol, "time", seq, CAST(id AS BIGINT) AS "lastUpdateId" FROM l
+    WHERE prev IS NULL OR prev <> id""",
+)
+def stream_changed_only_batches(spark, d):
+    emissions = tick_batches(spark, d).select(
+        "symbol", "time", F.col("tradeId").alias("seq"), F.floor("price").cast("bigint").alias("lastUpdateId")
+    )
+    q, out, _ = ss.changed_only_job(emissions, run_dir(spark, "changed"))
+    drain(q)
+    return out.read().drop("batch")
+
+
+# Rows of the first hour of the table come again at its end, when their windows are closed.
+LATE = 3_600_000
+
+
+@register(
+    "stream_late_rows",
+    f"""WITH {TICKS}, g AS (
+      SELECT symbol, "time" - "time" % {HOUR_MS} AS window_start, count(*) AS trade_count FROM ticks GROUP BY 1, 2)
+    SELECT * FROM g""",
+)
+def stream_late_rows(spark, d):
+    """Window counts do not change when rows older than the watermark arrive once more."""
+    folder = run_dir(spark, "late")
+    events = td.events(spark, d)
+    first = events.agg(F.min("ts")).first()[0]
+    late = events.filter(F.unix_micros(F.col("ts").cast("timestamp")) < F.unix_micros(F.lit(first).cast("timestamp")) + LATE * 1000)
+    # The watermark moves after a batch, so the late rows come two batches after the last one.
+    for part in (events, events.orderBy(F.desc("event_id")).limit(1).filter("false"), late):
+        part.coalesce(1).write.mode("append").parquet(folder)
+    stream = td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", 1))
+    q, table = sr.gains_job(stream, run_dir(spark, "gains"), "1 hour", part_ms=7 * DAY_MS, retention_ms=None)
+    drain(q)
+    return table.read().select("symbol", "window_start", "trade_count")

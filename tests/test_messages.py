@@ -105,3 +105,10 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "latest",
         "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000",
     }
+
+
+def test_routed_streams_are_escaped(spark):
+    stream = 'a"b\\@trade'
+    df = spark.createDataFrame([(json.dumps({"stream": stream, "data": {"s": "x"}}),)], "value string")
+    row = ms.route(df, F.lit(1)).first()
+    assert json.loads(row.value) == {"s": "x", "stream": stream, "received_at": 1}

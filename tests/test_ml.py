@@ -112,3 +112,11 @@ def test_ranking(spark):
     assert [r.symbol for r in top_losers(ranking(df), 1).collect()] == ["DOWN"]
     assert [r.symbol for r in top_gainers(ranking(df), 1).collect()] == ["UP"]
     assert [(r.symbol, r.position) for r in rank_position(ranking(df), 5, "losers").orderBy("position").collect()] == [("DOWN", 1), ("UP", 2)]
+
+
+def test_r2_of_large_values_does_not_cancel(spark):
+    y = [1e9 + i * 0.01 for i in range(1000)]
+    p = [v + (0.001 if i % 2 else -0.001) for i, v in enumerate(y)]
+    df = spark.createDataFrame(list(zip(y, p)), "target double, prediction double")
+    got = ml.evaluate(df).first().r2
+    assert got == pytest.approx(1 - sum((a - b) ** 2 for a, b in zip(y, p)) / (np.var(y) * len(y)), abs=1e-6) and got <= 1

@@ -68,3 +68,15 @@ def test_no_python_in_the_batch_operators(spark, sf_dir):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("name", ["window_close", "window_gain", "top_gainers", "rollup_1d_by_supplier", "replay_mixed_book"])
+def test_hash_aggregates_only(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+@pytest.mark.parametrize("name", ["feature_table", "tick_change_pct", "counter_rate"])
+def test_series_without_heavy_symbols_are_plain_windows(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert text.count("Scan parquet") == 1 and "Join" not in text

@@ -162,3 +162,21 @@ def test_running_max_sees_earlier_orders_only(frame, min_rows, cut):
         for row in group.itertuples():
             earlier = group[group.openTime < row.openTime].close
             assert (np.isnan(row.top) and earlier.empty) or row.top == earlier.max()
+
+
+def test_a_burst_is_cut_too(spark):
+    """Nine tenths of a symbol's rows lie in one second."""
+    rng = random.Random(3)
+    t0 = 1_700_000_000_000
+    times = [t0 + rng.randrange(DAY_MS) for _ in range(4000)] + [t0 + 5 * HOUR_MS + rng.randrange(1000) for _ in range(36_000)]
+    df = spark.createDataFrame([("A", t, i) for i, t in enumerate(times)], "symbol string, openTime long, seq long")
+    limit = 700
+    slices = with_slices(df, ["symbol"], "openTime", min_rows=limit).groupBy("_slice").agg(
+        F.count("*").alias("n"), F.min("openTime").alias("a"), F.max("openTime").alias("b")
+    ).orderBy("a").collect()
+    assert max(r.n for r in slices) <= 2 * limit and sum(r.n for r in slices) == 40_000
+    assert all(x.b < y.a and x["_slice"] < y["_slice"] for x, y in zip(slices, slices[1:]))
+    add = lambda f, w: f.withColumn("back", F.lag("seq", 7).over(w)).withColumn("n", F.count("seq").over(w.rowsBetween(-30, 0)))
+    whole = map_series(df, add, before=30, order=ORDER, cut=False)
+    cut = map_series(df, add, before=30, order=ORDER, min_rows=limit)
+    assert sorted(cut.collect()) == sorted(whole.collect())

@@ -304,3 +304,31 @@ def test_books_wait_for_their_baseline(spark, tmp_path):
         (26, [5.0, 3.0, 2.0], [8.0, 9.0]), (30, [6.0], [6.0]),
     ]
     assert not [r for r in got if r.symbol == "B"]
+
+
+def folders(path):
+    return sorted(p.name for p in path.iterdir() if p.name.startswith("batch="))
+
+
+def test_one_symbol_rewrites_one_part_and_folders_stay_few(spark, tmp_path):
+    trade = lambda s, i: {"s": s, "p": "1", "q": "1", "T": T0 + i, "m": True, "t": i}
+    symbols = [f"S{i}" for i in range(40)]
+    batches = [[trade(s, i) for i, s in enumerate(symbols)]] + [[trade("S7", 100 + i)] for i in range(20)]
+    folder = json_files(tmp_path / "in", batches)
+    q, tape = ss.trade_tape_job(ms.parse_trades(st.file_messages(spark, folder, 1)), str(tmp_path / "out"), 5)
+    drain(q)
+    names = folders(tmp_path / "out")
+    assert len(names) <= 3 and names[0] == "batch=0"
+    newest = tmp_path / "out" / max(names, key=lambda n: int(n.split("=")[1]))
+    assert len([p for p in newest.iterdir() if p.name.startswith("part=")]) == 1
+    rows = tape.read().groupBy("symbol").count().collect()
+    assert {r.symbol: r["count"] for r in rows} == {s: 5 if s == "S7" else 1 for s in symbols}
+
+
+def test_gains_keep_a_retention(spark, tmp_path):
+    rows = [{"symbol": "A", "price": 1.0, "time": T0 + d * DAY_MS} for d in range(6)]
+    folder = json_files(tmp_path / "in", [rows[:2], rows[2:4], rows[4:]])
+    stream = st.file_messages(spark, folder, 1).select(F.inline(F.array(F.from_json("value", "symbol string, price double, time long"))))
+    q, table = sr.gains_job(stream, str(tmp_path / "out"), retention_ms=DAY_MS)
+    drain(q)
+    assert min(r.window_start for r in table.read().collect()) >= T0 + 3 * DAY_MS

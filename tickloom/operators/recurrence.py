@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.series import MIN_ROWS, SLICE, with_slices
+from tickloom.operators.series import MIN_ROWS, SLICE, decided, sliced, with_slices
 from tickloom.schemas import DAY_MS
 
 # Rows per block. decay ** -BLOCK must stay a finite double: 3 ** 512 is about 1e244.
@@ -290,10 +290,11 @@ def running_max_before(
     maximum of all earlier slices, chained over the slice summaries, and a frame inside the slice.
     """
     keys = list(keys)
-    if not cut:
+    cuts = decided(df, keys, order, width, min_rows) if cut else None
+    if cuts is None:
         before = Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
         return df.withColumn(name, F.max(value).over(before))
-    rows = with_slices(df, keys, order, width, min_rows)
+    rows = sliced(df, cuts, keys, order, width)
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     prefix = (
         rows.groupBy(*keys, SLICE)

@@ -29,17 +29,16 @@ def rollup_ohlc(
     with ``align`` the bounds of the bucket. ``interval`` is a name or any width in milliseconds.
     """
     width = INTERVAL_MS[interval] if isinstance(interval, str) else interval
-    first, last = F.min_by, F.max_by
     out = df.groupBy("symbol", bucket_start("openTime", width).alias("window_start")).agg(
-        first("open", order).alias("open"),
+        F.min_by("open", order).alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        last("close", order).alias("close"),
+        F.max_by("close", order).alias("close"),
         F.sum("volume").alias("volume"),
         F.sum("quoteVolume").alias("quoteVolume"),
         F.sum("trades").alias("trades"),
         F.min("openTime").alias("openTime"),
-        last("closeTime", order).alias("closeTime"),
+        F.max_by("closeTime", order).alias("closeTime"),
     )
     if align:
         out = out.withColumns(

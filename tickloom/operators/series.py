@@ -9,8 +9,10 @@ slices are then reconnected exactly:
   n after it; :func:`map_series` copies just those rows across the cut;
 * a recurrence (EMA, running maximum) needs one small state per slice, see ``recurrence.py``.
 
-The cut depends only on row counts, so it is the same in every branch of a plan and after the loss
-of an executor.
+The cut is decided first, by a job that counts rows per symbol and bucket in one pruned,
+pre-aggregated scan. Its result is a bounded table that the plan then holds as a constant, so every
+branch and every recomputed task sees the same cut, and data without heavy symbols gets the plain
+window and nothing else.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, MapType, StructField, StructType
 
 from tickloom.functions.scalars import bucket_start
 from tickloom.schemas import DAY_MS
@@ -31,6 +34,8 @@ HALO = "_halo"
 MAX_PARTS = 65_536
 # Groups below this size are never cut.
 MIN_ROWS = 1_000_000
+# A sub-bucket that is still above the limit, as in a burst, is cut at this many quantiles of its times.
+BURST_PARTS = 64
 
 
 def cut_table(
@@ -60,19 +65,53 @@ def cut_table(
             F.map_from_entries(F.collect_list(heavy)).alias("_parts"),
         )
         .filter(F.col("_rows") > F.col("_limit"))
-        .select(*keys, "_parts")
+        .select(*keys, "_parts", "_limit")
     )
 
 
+def decided(df: DataFrame, keys: Sequence[str], time: str, width: int, min_rows: int = MIN_ROWS) -> DataFrame | None:
+    """The cut table as a constant, ``keys, _parts, _bursts``; None if no symbol is to be cut.
+
+    Sub-buckets even in time leave a burst whole. Those still above the limit get ``_bursts``, a map
+    from the sub-bucket to the times at which it is cut, quantiles of its rows. Rows of one time stay
+    together.
+    """
+    keys = list(keys)
+    found = cut_table(df, keys, time, width, min_rows).collect()
+    if not found:
+        return None
+    spark = df.sparkSession
+    plain = spark.createDataFrame(found, StructType([*df.select(*keys).schema, *_CUT]))
+    split = [i / BURST_PARTS for i in range(1, BURST_PARTS)]
+    none = F.map_from_arrays(F.array().cast("array<bigint>"), F.array().cast("array<array<bigint>>"))
+    bursts = (
+        df.select(*keys, time).join(F.broadcast(plain.withColumn("_bursts", none)), keys)
+        .withColumn(SLICE, slice_start(time, width))
+        .groupBy(*keys, SLICE)
+        .agg(F.count(F.lit(1)).alias("_n"), F.max("_limit").alias("_limit"), F.percentile_approx(time, split, 10_000).alias("_at"))
+        .filter(F.col("_n") > F.col("_limit"))
+        .groupBy(*keys)
+        .agg(F.map_from_entries(F.collect_list(F.struct(SLICE, F.array_distinct("_at")))).alias("_bursts"))
+        .collect()
+    )
+    at = {tuple(r[k] for k in keys): r["_bursts"] for r in bursts}
+    rows = [(*(r[k] for k in keys), r["_parts"], at.get(tuple(r[k] for k in keys), {})) for r in found]
+    return spark.createDataFrame(rows, StructType([*df.select(*keys).schema, _CUT[0], _BURSTS]))
+
+
+_CUT = [StructField("_parts", MapType(LongType(), LongType())), StructField("_limit", LongType())]
+_BURSTS = StructField("_bursts", MapType(LongType(), ArrayType(LongType())))
+
+
 def slice_start(time: Column | str, width: int) -> Column:
     """Slice id of a row joined to the cut table: 0 for an uncut symbol."""
     t = F.col(time) if isinstance(time, str) else time
     start = bucket_start(t, width)
     parts = F.coalesce(F.try_element_at("_parts", start), F.lit(1).cast("long"))
     sub = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(width) / parts))
-    return F.when(F.col("_parts").isNull(), F.lit(0).cast("long")).otherwise(
-        start + bucket_start(t - start, sub)
-    )
+    even = start + bucket_start(t - start, sub)
+    burst = F.array_max(F.filter(F.try_element_at("_bursts", even), lambda cut: cut <= t))
+    return F.when(F.col("_parts").isNull(), F.lit(0).cast("long")).otherwise(F.coalesce(F.greatest(burst, even), even))
 
 
 def with_slices(
@@ -88,11 +127,15 @@ def with_slices(
 
     ``like`` is a frame with the same keys and times that is cheaper to count than ``df``.
     """
-    if not cut:
+    cuts = decided(like or df, keys, time, width, min_rows) if cut else None
+    if cuts is None:
         return df.withColumn(SLICE, F.lit(0).cast("long"))
-    cuts = cut_table(like or df, keys, time, width, min_rows)
-    joined = df.join(F.broadcast(cuts), list(keys), "left")
-    return joined.withColumn(SLICE, slice_start(time, width)).drop("_parts")
+    return sliced(df, cuts, keys, time, width)
+
+
+def sliced(df: DataFrame, cuts: DataFrame, keys: Sequence[str], time: str, width: int, how: str = "left") -> DataFrame:
+    joined = df.join(F.broadcast(cuts), list(keys), how)
+    return joined.withColumn(SLICE, slice_start(time, width)).drop("_parts", "_bursts")
 
 
 def _edge_rows(
@@ -112,7 +155,7 @@ def _edge_rows(
     the hand-over an equi join on (symbol, position), in which no key is heavy.
     """
     keys = list(keys)
-    rows = df.join(F.broadcast(cuts), keys).withColumn(SLICE, slice_start(order[0], width)).drop("_parts")
+    rows = sliced(df, cuts, keys, order[0], width, "inner")
     outward = [F.col(c).desc() if last else F.col(c).asc() for c in order]
     along = F.col(SLICE).asc() if last else F.col(SLICE).desc()
     sizes = rows.groupBy(*keys, SLICE).agg(F.least(F.count(F.lit(1)), F.lit(n)).alias("_size"))
@@ -155,20 +198,15 @@ def map_series(
     Chained expressions need the sum of their look-backs. The result equals
     ``fn(df, Window.partitionBy(keys).orderBy(order))`` row for row.
 
-    Deciding the cut reads ``df`` a second time, which is cheap for a scan but not for the result
+    Deciding the cut runs a job that counts ``df``, which is cheap for a scan but not for the result
     of an aggregation. Pass ``cut=False`` where a series is bounded by construction, such as one
     row per time bucket; that is the plain window.
     """
     keys, order = list(keys), list(order)
-    if not cut:
+    cuts = decided(df, keys, order[0], width, min_rows) if cut else None
+    if cuts is None:
         return fn(df, Window.partitionBy(*keys).orderBy(*order))
-    cuts = cut_table(df, keys, order[0], width, min_rows)
-    rows = (
-        df.join(F.broadcast(cuts), keys, "left")
-        .withColumn(SLICE, slice_start(order[0], width))
-        .drop("_parts")
-        .withColumn(HALO, F.lit(False))
-    )
+    rows = sliced(df, cuts, keys, order[0], width).withColumn(HALO, F.lit(False))
     for n, last in ((before, True), (after, False)):
         if n:
             edge = _edge_rows(df, cuts, keys, order, width, n, last)

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from tickloom.operators.book import last_update_id, replay_book
 from tickloom.streaming.run import start, use_rocksdb
-from tickloom.streaming.state import StateTable
+from tickloom.streaming.state import StateTable, by_symbol
 
 BOOK_SCHEMA = "symbol STRING, side STRING, price DOUBLE, qty DOUBLE"
 IDS_SCHEMA = "symbol STRING, lastUpdateId BIGINT"
@@ -52,18 +52,20 @@ def book_job(
 ) -> tuple[StreamingQuery, StateTable, StateTable]:
     """Maintain all books. ``updates`` as for ``replay_book``; ``snapshot`` seeds the state once."""
     spark = updates.sparkSession
-    books = StateTable(spark, f"{base}/books", BOOK_SCHEMA)
-    ids = StateTable(spark, f"{base}/ids", IDS_SCHEMA)
+    books = StateTable(spark, f"{base}/books", BOOK_SCHEMA, by_symbol())
+    ids = StateTable(spark, f"{base}/ids", IDS_SCHEMA, by_symbol())
     if snapshot is not None:
-        books.write(snapshot.select("symbol", "side", "price", "qty").filter("qty <> 0"), -1, [0])
-        ids.write(last_update_id(snapshot), -1, [0])
+        parts = ids.touched(snapshot)
+        books.write(snapshot.select("symbol", "side", "price", "qty").filter("qty <> 0"), -1, parts)
+        ids.write(last_update_id(snapshot), -1, parts)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        book, newest = apply_updates(books.read(batch_id), ids.read(batch_id), batch)
-        books.write(book, batch_id, [0])
-        ids.write(newest, batch_id, [0])
+        parts = ids.touched(batch)
+        book, newest = apply_updates(books.read(batch_id, parts), ids.read(batch_id, parts), batch)
+        books.write(book, batch_id, parts)
+        ids.write(newest, batch_id, parts)
         books.prune(batch_id)
         ids.prune(batch_id)
 

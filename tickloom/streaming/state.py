@@ -15,6 +15,14 @@ from pyspark.sql import functions as F
 MARKER = "_parts"
 
 
+# Parts of tables that are kept by symbol: an update of one symbol rewrites one of them.
+SYMBOL_PARTS = 64
+
+
+def by_symbol() -> Column:
+    return F.pmod(F.xxhash64("symbol"), F.lit(SYMBOL_PARTS))
+
+
 class StateTable:
     """``part`` maps a row to the integer part that is rewritten as a unit."""
 

@@ -17,7 +17,7 @@ from tickloom.schemas import DAY_MS, HOUR_MS
 from tickloom.sources.messages import closed_only, valid_tick
 from tickloom.sources.tables import dedup_last, first_per_key, upsert
 from tickloom.streaming.run import start
-from tickloom.streaming.state import StateTable
+from tickloom.streaming.state import StateTable, by_symbol
 
 CANDLES_SCHEMA = (
     "symbol STRING, interval STRING, openTime BIGINT, closeTime BIGINT, open DOUBLE, high DOUBLE, "
@@ -43,7 +43,7 @@ def candle_store_job(
     """
     spark = klines.sparkSession
     candles = StateTable(spark, f"{base}/candles", CANDLES_SCHEMA, bucket_start("openTime", part_ms))
-    latest = StateTable(spark, f"{base}/latest", CANDLES_SCHEMA + ", expires_at BIGINT")
+    latest = StateTable(spark, f"{base}/latest", CANDLES_SCHEMA + ", expires_at BIGINT", by_symbol())
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -71,13 +71,12 @@ def trade_tape_job(
     trades: DataFrame, base: str, k: int = 100, checkpoint: str | None = None, every: str | None = None
 ) -> tuple[StreamingQuery, StateTable]:
     """The newest k trades per symbol. State is at most k rows per symbol."""
-    tape = StateTable(trades.sparkSession, base, TAPE_SCHEMA)
+    tape = StateTable(trades.sparkSession, base, TAPE_SCHEMA, by_symbol())
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        rows = tape.read(batch_id).unionByName(batch)
-        tape.write(retain_last(rows, k), batch_id, [0])
+        tape.merge(batch, batch_id, lambda old, new: retain_last(old.unionByName(new), k))
         tape.prune(batch_id)
 
     return start(trades, on_batch, "append", checkpoint, every), tape
@@ -95,14 +94,15 @@ def live_candles_job(
     klines: DataFrame, base: str, keep: int = 200, checkpoint: str | None = None, every: str | None = None
 ) -> tuple[StreamingQuery, StateTable]:
     """Forming and closed candles as a chart shows them: replaced by openTime, newest ``keep``."""
-    table = StateTable(klines.sparkSession, base, CANDLES_SCHEMA)
+    table = StateTable(klines.sparkSession, base, CANDLES_SCHEMA, by_symbol())
+
+    def newest(old: DataFrame, new: DataFrame) -> DataFrame:
+        return first_per_key(upsert(old, new, CANDLE_KEY, "seq"), ["symbol"], [F.col("openTime").desc()], keep)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        merged = upsert(table.read(batch_id), batch, CANDLE_KEY, "seq")
-        newest = first_per_key(merged, ["symbol"], [F.col("openTime").desc()], keep)
-        table.write(newest, batch_id, [0])
+        table.merge(batch, batch_id, newest)
         table.prune(batch_id)
 
     return start(valid_tick(klines), on_batch, "append", checkpoint, every), table
@@ -111,31 +111,32 @@ def live_candles_job(
 def changed_only_job(
     emissions: DataFrame,
     base: str,
-    part_ms: int = HOUR_MS,
     checkpoint: str | None = None,
     every: str | None = None,
 ) -> tuple[StreamingQuery, StateTable, StateTable]:
     """Emissions (symbol, time, seq, lastUpdateId) whose id differs from the previous one.
 
-    Only the last id per symbol is carried from batch to batch, as a row before the new ones.
+    Only the last id per symbol is carried from batch to batch, as a row before the new ones. What
+    passed is never revised, so each batch adds a part of its own to ``out``, which a replay replaces.
     """
     spark = emissions.sparkSession
     schema = "symbol STRING, time BIGINT, seq BIGINT, lastUpdateId BIGINT"
-    last = StateTable(spark, f"{base}/last", schema)
-    out = StateTable(spark, f"{base}/out", schema, bucket_start("time", part_ms))
+    last = StateTable(spark, f"{base}/last", schema, by_symbol())
+    out = StateTable(spark, f"{base}/out", schema + ", batch BIGINT", F.col("batch"))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        held = last.read(batch_id)
+        parts = last.touched(batch)
+        held = last.read(batch_id, parts)
         marked = held.withColumn("_new", F.lit(False)).unionByName(batch.withColumn("_new", F.lit(True)))
         fresh = changed_only(marked).filter("_new").drop("_new")
-        out.merge(fresh, batch_id, lambda old, new: old.unionByName(new))
+        out.write(fresh.withColumn("batch", F.lit(batch_id).cast("long")), batch_id, [batch_id])
         usable = batch.filter(F.coalesce("lastUpdateId", F.lit(0)) != 0)
         newest = first_per_key(
             held.unionByName(usable), ["symbol"], [F.col("time").desc(), F.col("seq").desc()]
         )
-        last.write(newest, batch_id, [0])
+        last.write(newest, batch_id, parts)
         last.prune(batch_id)
 
     emissions = emissions.select("symbol", "time", "seq", "lastUpdateId")
