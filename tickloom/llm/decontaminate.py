@@ -153,9 +153,10 @@ def latent_space(rows: DataFrame, rank: int = RANK, seed: int = 3) -> tuple[np.n
     spark = rows.sparkSession
     width = rank + EXTRA
     # One pass: A^T (A Q); the last pass gives the small Gram matrix (A Q)^T (A Q).
-    basis = np.random.default_rng(seed).normal(size=(BUCKETS, width)).astype(np.float32)
-    index = np.arange(BUCKETS)
-    q = basis
+    used = sorted(r[0] for r in rows.select(F.explode("buckets")).distinct().collect())  # at most BUCKETS
+    index = np.full(BUCKETS, -1)
+    index[used] = np.arange(len(used))
+    q = np.random.default_rng(seed).normal(size=(len(used), width)).astype(np.float32)
     for _ in range(POWERS + 1):
         held, z = _sums(rows.mapInPandas(_product(shipped(spark, (index, q)), gram=False), "row long, vector array<double>"))
         if not len(held):
