@@ -259,10 +259,13 @@ class Items:
         span = n + max(n // 2, BLOCK)
         start, stop = max(start - n, 0), min(stop + n, len(hashes))
         region_words = hashes[start:stop].tolist()
+        # Places of the item whose words occur at all bound the common subsequence from above: first
+        # over the whole stretch, which clears most candidates, then region by region.
+        if sum(masks[w].bit_count() for w in masks.keys() & set(region_words)) < ALIKE * n:
+            return None
         best = None
         for at in range(start, max(stop - span, start) + BLOCK, BLOCK):
             region = region_words[at - start : at - start + span]
-            # Words of the item that occur at all bound the common subsequence from above.
             if sum(masks[w].bit_count() for w in masks.keys() & set(region)) < ALIKE * n:
                 continue
             matched = common(masks, n, region)
