@@ -154,6 +154,42 @@ def test_exact_and_paraphrased_passages_are_found(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == want
 
 
+def test_a_large_benchmark_loses_no_item(spark):
+    rng = random.Random(14)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    text = lambda n: [vocabulary[int(3000 * rng.random() ** 2)] for _ in range(n)]
+    items = [text(38) for _ in range(2400)]
+    docs, planted = [], set()
+    for i in range(60):
+        k = rng.randrange(2400)
+        copy = [w for j, w in enumerate(items[k]) if i % 2 or j % 5]  # every fifth word is missing, or none
+        planted.add((i, k))
+        docs.append(text(rng.randrange(90)) + copy + text(rng.randrange(90)))
+    found = decontaminate.contaminated(
+        spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(x) + ".") for i, x in enumerate(items)], "item_id long, text string"),
+    )
+    got = {(r.doc_id, r.item_id): r.covered for r in found.collect()}
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = 0
+            for j, y in enumerate(b):
+                before, row[j + 1] = row[j + 1], before + 1 if x == y else max(row[j], row[j + 1])
+        return row[-1]
+
+    want = {}
+    for i, d in enumerate(docs):
+        for k, x in enumerate(items):
+            if sum(w in d for w in x) >= 0.5 * 38:
+                covered = max(longest(x, d[at : at + 57]) / 38 for at in range(0, max(len(d) - 57, 0) + 16, 16))
+                # One sentence is all answer, which takes 0.6 of it.
+                if covered >= 0.6:
+                    want[i, k] = covered
+    assert planted <= want.keys() and got == pytest.approx(want)
+
+
 def test_latent_space_keeps_the_passages(spark):
     rng = np.random.default_rng(9)
     base = rng.normal(size=(6, 40))

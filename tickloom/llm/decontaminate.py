@@ -7,9 +7,13 @@
    candidates. Windows overlap by half, so one of them holds at least half a window of any passage.
    Words that the benchmark doesn't have count in no length, so that what a paraphrase puts in between
    does not hide it.
-4. Around each run of candidate windows the longest common subsequence of words is taken, in regions a
-   little longer than the item. An item counts as found if it covers ``SAME`` of the item, or ``ALIKE``
-   and the answer, the item's last sentence, is there as well.
+4. A fixed rank keeps less of each item as the benchmark grows, so a word search goes beside it: every
+   region that shares enough of an item's rarer words to pass the next step is a candidate, whatever its
+   cosine, and no other can pass. What is found thus depends neither on the rank nor on ``NEAR``; the
+   cosine of a candidate is that of the windows near the item, or else its best one.
+5. Around each run of candidates the longest common subsequence of words is taken, in regions a little
+   longer than the item that start every ``BLOCK`` words. An item counts as found if it covers ``SAME``
+   of the item, or ``ALIKE`` and the answer, the item's last sentence, is there as well.
 
 Texts never move: windows, candidates and checks happen where a text lies, against a block of at most
 ``ITEMS`` items that is sent to the executors; a larger benchmark takes one pass per block.
@@ -23,7 +27,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -41,6 +45,8 @@ SAME, ALIKE, ANSWER = 0.7, 0.5, 0.6
 SHORT = 8
 ITEMS = 20_000  # items sent to the executors at a time
 SLICE = 64  # blocks projected together; their vectors stay in the processor's cache
+PIECE = 1 << 16  # words searched together for shared words
+CHECKED = 50.0  # cost of a check in places of words; only steers which words are searched for
 
 # Bytes that belong to words: digits, a-z, and everything beyond ASCII.
 WORD_BYTE = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -195,6 +201,118 @@ def _product(load, gram: bool):
     return share
 
 
+@dataclass
+class Words:
+    """The words of a block of items that are searched for, and how many of them a region must hold.
+
+    A region passes the check only if it holds ``ALIKE`` of the item's places (all of them below
+    ``SHORT``). Leaving out an item's commonest words and as many places from that number misses none.
+    """
+
+    keys: np.ndarray  # hashes in order
+    starts: np.ndarray  # of each word's entries in the next two
+    items: np.ndarray
+    places: np.ndarray  # of the word in the item
+    needed: np.ndarray  # places per item
+    blocks: np.ndarray  # per item, that a region touches
+    known: np.ndarray  # last 20 bits of ``keys``
+
+    @classmethod
+    def of(cls, items: list[np.ndarray], frequency: np.ndarray, total: int) -> Words:
+        share = np.minimum(frequency / max(total, 1), 0.999)
+        rates = -np.log1p(-share) / max(float(share.sum()), 1.0)  # occurrences per word of text, roughly
+        entries, needed = [], []
+        for i, words in enumerate(items):
+            n = len(words)
+            held, places = np.unique(words, return_counts=True)
+            rate = rates[buckets(held)] * span_of(n)
+            order = np.argsort(-rate, kind="stable")
+            need, expected = least_of(n), float((rate * places).sum())
+            best = (math.inf, need, 0)
+            for left_out, k in enumerate([-1, *order.tolist()]):
+                if k >= 0:
+                    need, expected = need - int(places[k]), expected - float(rate[k] * places[k])
+                    if need < 1:
+                        break
+                likely = min(1.0, math.exp(need - expected - need * math.log(need / expected))) if 0 < expected < need else float(expected > 0)
+                best = min(best, (expected / blocks_in(n) + CHECKED * likely, need, left_out))
+            needed.append(best[1])
+            entries += [(int(held[k]), i, int(places[k])) for k in order[best[2] :]]
+        entries.sort()
+        keys, starts = np.unique(np.array([e[0] for e in entries], np.uint64), return_index=True)
+        known = np.zeros(1 << 20, bool)
+        known[_last_bits(keys)] = True
+        return cls(
+            keys, np.append(starts, len(entries)), np.array([e[1] for e in entries], np.int64), np.array([e[2] for e in entries], np.int64),
+            np.array(needed, np.int64), np.array([blocks_in(len(w)) for w in items], np.int64), known,
+        )
+
+    def search(self, texts: list[np.ndarray]) -> list[dict[int, list[tuple[int, int]]]]:
+        """Per text: item -> (first, last) blocks where regions with enough of its words may start."""
+        found: list[dict[int, list[tuple[int, int]]]] = [{} for _ in texts]
+        if not len(self.keys):
+            return found
+        over = int(self.blocks.max()) * BLOCK
+        pieces, size = [], 0
+        for i, hashes in enumerate(texts):
+            for at in range(0, len(hashes), PIECE):
+                pieces.append((i, at // BLOCK, hashes[at : at + PIECE + over]))
+                size += len(pieces[-1][2])
+                if size >= PIECE:
+                    self._search(pieces, found)
+                    pieces, size = [], 0
+        self._search(pieces, found)
+        return found
+
+    def _search(self, pieces: list[tuple[int, int, np.ndarray]], found: list[dict]) -> None:
+        if not pieces:
+            return
+        hashes = np.concatenate([p[2] for p in pieces])
+        at = np.flatnonzero(self.known[_last_bits(hashes)])
+        word = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
+        same = self.keys[word] == hashes[at]
+        at, word = at[same], word[same]
+        # Blocks are numbered on through all pieces, with a gap that no region crosses.
+        sizes = np.array([len(p[2]) for p in pieces])
+        begins = np.cumsum(sizes) - sizes
+        lengths = -(-sizes // BLOCK) + int(self.blocks.max())
+        base = np.cumsum(lengths) - lengths
+        piece = np.searchsorted(begins, at, "right") - 1
+        block = base[piece] + (at - begins[piece]) // BLOCK
+        many = self.starts[word + 1] - self.starts[word]
+        entry = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many - self.starts[word], many)
+        item = self.items[entry]
+        key = item * int(lengths.sum()) + np.repeat(block, many)
+        order = np.argsort(key, kind="stable")
+        key, item = key[order], item[order]
+        total = np.concatenate([[0], np.cumsum(self.places[entry[order]])])
+        enough = np.flatnonzero(total[np.searchsorted(key, key + self.blocks[item])] - total[:-1] >= self.needed[item])
+        block = np.unique(key[enough])
+        item, block = block // int(lengths.sum()), block % int(lengths.sum())
+        piece = np.searchsorted(base, block, "right") - 1
+        for i, b, p in zip(item.tolist(), (block - base[piece]).tolist(), piece.tolist(), strict=True):
+            text, first, _ = pieces[p]
+            found[text].setdefault(i, []).append((max(first + b - int(self.blocks[i]) + 1, 0), first + b))
+
+
+def span_of(n: int) -> int:
+    """Words in a region for an item of ``n`` words."""
+    return n + max(n // 2, BLOCK)
+
+
+def blocks_in(n: int) -> int:
+    return -(-span_of(n) // BLOCK)
+
+
+def least_of(n: int) -> int:
+    """Places of an item of ``n`` words without which no region passes the check."""
+    return n if n < SHORT else math.ceil(ALIKE * n)
+
+
+def _last_bits(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64((1 << 20) - 1)).astype(np.int64)
+
+
 @dataclass
 class Items:
     """A block of the benchmark: ids, word hashes, where the answer starts, and latent vectors."""
@@ -206,6 +324,7 @@ class Items:
     index: np.ndarray  # bucket -> row of ``space``, whose last row is zero
     space: np.ndarray  # projection times inverse document frequency
     squares: np.ndarray  # squared inverse document frequency of the benchmark's buckets, 0 for others
+    rare: Words
     masks: dict = field(default_factory=dict, repr=False)  # item -> word -> bits of its places; filled in tasks
 
     def windows(self, hashes: np.ndarray) -> list[tuple[int, int, float]]:
@@ -229,44 +348,64 @@ class Items:
             found += zip(item.tolist(), (window + at).tolist(), cosines[window, item].tolist(), strict=True)
         return found
 
-    def hits(self, text: str | None) -> list[tuple]:
-        """(item_id, cosine, covered, answered, first_word) of every item found in a text."""
-        hashes = word_hashes(text)
-        if not len(hashes) or not self.ids:
+    def cosine(self, item: int, hashes: np.ndarray) -> float:
+        """Best cosine of the windows of a region with an item."""
+        part = buckets(hashes)
+        best = -1.0
+        for at in range(0, max(len(part) - BLOCK, 1), BLOCK):
+            window = part[at : at + 2 * BLOCK]
+            length = math.sqrt(max(float(self.squares[window].sum()), 1e-9))
+            best = max(best, float(self.space[self.index[window]].sum(axis=0) @ self.vectors[:, item]) / length)
+        return best
+
+    def hits(self, texts: Iterable[str | None]) -> list[list[tuple]]:
+        """Per text: (item_id, cosine, covered, answered, first_word) of every item found in it."""
+        hashed = [word_hashes(t) for t in texts]
+        if not self.ids:
+            return [[] for _ in hashed]
+        return [self.confirmed(hashes, shared) for hashes, shared in zip(hashed, self.rare.search(hashed), strict=True)]
+
+    def confirmed(self, hashes: np.ndarray, shared: dict[int, list[tuple[int, int]]]) -> list[tuple]:
+        if not shared:
             return []
         near: dict[int, list[tuple[int, float]]] = {}
         for item, window, cosine in self.windows(hashes):
             near.setdefault(item, []).append((window, cosine))
         found = []
-        for item, places in sorted(near.items()):
+        for item, places in sorted(shared.items()):
             best = None
-            for first, last, cosine in _runs(places):
-                got = self.check(item, hashes, first * BLOCK, (last + 2) * BLOCK)
-                if got and (best is None or got[0] > best[1]):
-                    best = (cosine, *got)
+            for first, last in _runs(places):
+                got = self.check(item, hashes, first, last)
+                if got and (best is None or got[0] > best[0][0]):
+                    best = (got, first, last)
             if best:
-                found.append((self.ids[item], *best))
+                got, first, last = best
+                known = [c for w, c in near.get(item, ()) if first <= w < last + blocks_in(len(self.words[item]))]
+                cosine = max(known) if known else self.cosine(item, hashes[got[2] : got[2] + span_of(len(self.words[item]))])
+                found.append((self.ids[item], cosine, *got))
         return found
 
-    def check(self, item: int, hashes: np.ndarray, start: int, stop: int) -> tuple[float, bool, int] | None:
-        """(covered, answered, first word) of the best region between two words, if it passes."""
+    def check(self, item: int, hashes: np.ndarray, first: int, last: int) -> tuple[float, bool, int] | None:
+        """(covered, answered, first word) of the best region that starts in these blocks, if it passes."""
         n = len(self.words[item])
         masks = self.masks.get(item)
         if masks is None:
             masks = self.masks[item] = {}
             for i, w in enumerate(self.words[item].tolist()):
                 masks[w] = masks.get(w, 0) | 1 << i
-        span = n + max(n // 2, BLOCK)
-        start, stop = max(start - n, 0), min(stop + n, len(hashes))
-        region_words = hashes[start:stop].tolist()
+        span = span_of(n)
+        ending = -(-max(len(hashes) - span, 0) // BLOCK)  # the first region that reaches the end holds all later ones
+        start, stop = min(first, ending) * BLOCK, min(last, ending) * BLOCK
+        region_words = hashes[start : stop + span].tolist()
         # Places of the item whose words occur at all bound the common subsequence from above: first
         # over the whole stretch, which clears most candidates, then region by region.
-        if sum(masks[w].bit_count() for w in masks.keys() & set(region_words)) < ALIKE * n:
+        least = least_of(n)
+        if sum(masks[w].bit_count() for w in masks.keys() & set(region_words)) < least:
             return None
         best = None
-        for at in range(start, max(stop - span, start) + BLOCK, BLOCK):
+        for at in range(start, stop + 1, BLOCK):
             region = region_words[at - start : at - start + span]
-            if sum(masks[w].bit_count() for w in masks.keys() & set(region)) < ALIKE * n:
+            if sum(masks[w].bit_count() for w in masks.keys() & set(region)) < least:
                 continue
             matched = common(masks, n, region)
             covered = matched.bit_count() / n
@@ -281,19 +420,16 @@ class Items:
         return best
 
 
-def _runs(places: list[tuple[int, float]]) -> Iterator[tuple[int, int, float]]:
-    """Runs of neighbouring windows: first, last, best cosine."""
-    first = last = None
-    best = 0.0
-    for window, cosine in sorted(places):
-        if last is not None and window <= last + 1:
-            last, best = window, max(best, cosine)
-            continue
-        if last is not None:
-            yield first, last, best
-        first, last, best = window, window, cosine
-    if last is not None:
-        yield first, last, best
+def _runs(places: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Touching stretches as one: first and last block."""
+    run = None
+    for first, last in sorted(places):
+        if run is not None and first > run[1] + 1:
+            yield run
+            run = None
+        run = (first, last) if run is None else (run[0], max(run[1], last))
+    if run is not None:
+        yield run
 
 
 def _contains(region: list[int], words: list[int]) -> bool:
@@ -351,7 +487,7 @@ def blocks_of(benchmark: DataFrame, docs: DataFrame, text: str = "text", bench_t
             latent[i] = v / max(float(np.sqrt((v * v).sum())), 1e-9)
         yield Items(
             [r.item_id for r in chosen], words, [_answer_start(r.text) for r in chosen], np.ascontiguousarray(latent.T),
-            index, space, np.where(index < len(held), idf * idf, 0).astype(np.float32),
+            index, space, np.where(index < len(held), idf * idf, 0).astype(np.float32), Words.of(words, frequency, total),
         )
 
 
@@ -364,7 +500,7 @@ def _finder(load):
     def hits(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = load()
         for batch in texts:
-            yield pd.Series([[dict(zip(FIELDS, h, strict=True)) for h in own.hits(t)] for t in batch], dtype=object)
+            yield pd.Series([[dict(zip(FIELDS, h, strict=True)) for h in found] for found in own.hits(batch)], dtype=object)
 
     # Else the filter that Spark infers below an explode would evaluate it a second time.
     return hits.asNondeterministic()
