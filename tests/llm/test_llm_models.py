@@ -190,6 +190,19 @@ def test_a_large_benchmark_loses_no_item(spark):
     assert planted <= want.keys() and got == pytest.approx(want)
 
 
+def test_long_items_are_near_their_copies(spark):
+    rng = random.Random(15)
+    text = lambda n: " ".join(f"w{rng.randrange(4000)}" for _ in range(n))
+    items = [text(n) for n in (20, 64, 65, 450, 600, 1000, 1000)]
+    docs = spark.createDataFrame([(i, f"{text(50 + i)} {x} {text(50)}") for i, x in enumerate(items)], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    [block] = decontaminate.blocks_of(bench, docs)
+    for r in docs.collect():
+        assert r.doc_id in {block.ids[i] for i, _, _ in block.windows(decontaminate.word_hashes(r.text))}
+    got = [(r.doc_id, r.item_id, r.covered) for r in decontaminate.contaminated(docs, bench).collect()]
+    assert sorted(got) == [(i, i, 1.0) for i in range(len(items))]
+
+
 def test_latent_space_keeps_the_passages(spark):
     rng = np.random.default_rng(9)
     base = rng.normal(size=(6, 40))

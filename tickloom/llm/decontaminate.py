@@ -1,10 +1,12 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Document frequencies of all hashed words, over the whole corpus, give the TF-IDF weights.
-2. A randomised singular value decomposition of the benchmark's TF-IDF passages gives the latent space.
+2. Items of more than ``PASSAGE`` words are cut into overlapping passages of that length, so that a window
+   is never compared with an item many times its length. A randomised singular value decomposition of
+   the benchmark's TF-IDF passages gives the latent space.
    Its passes over the passages run in Spark; the driver sees sums the size of the vocabulary only.
-3. Every window of ``2 * BLOCK`` words of every text is projected, and items within cosine ``NEAR`` are
-   candidates. Windows overlap by half, so one of them holds at least half a window of any passage.
+3. Every window of ``2 * BLOCK`` words of a text is projected, and items with a passage within cosine
+   ``NEAR`` are near it. Windows overlap by half, so one of them holds at least half a window of any passage.
    Words that the benchmark doesn't have count in no length, so that what a paraphrase puts in between
    does not hide it.
 4. A fixed rank keeps less of each item as the benchmark grows, so a word search goes beside it: every
@@ -40,6 +42,7 @@ from tickloom.llm.common import shipped, small_batches, stored
 BUCKETS = 1 << 16  # hashed vocabulary
 RANK, EXTRA, POWERS = 128, 16, 2  # of the decomposition
 BLOCK = 16  # words
+PASSAGE = 4 * BLOCK
 NEAR = 0.3
 SAME, ALIKE, ANSWER = 0.7, 0.5, 0.6
 SHORT = 8
@@ -123,8 +126,16 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
     return frequency, total
 
 
+def cut(words: np.ndarray) -> list[np.ndarray]:
+    """The passages of an item: they overlap by half or more, and the last one is whole; none without a word."""
+    last = len(words) - PASSAGE
+    if last <= 0:
+        return [words] if len(words) else []
+    return [words[at : at + PASSAGE] for at in [*range(0, last, PASSAGE // 2), last]]
+
+
 def passages(benchmark: DataFrame, idf: np.ndarray, text: str = "text") -> DataFrame:
-    """buckets, weights: the TF-IDF row of each item that has a word, at unit length."""
+    """buckets, weights: the TF-IDF row of each passage of each item, at unit length."""
     load = shipped(benchmark.sparkSession, idf)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,9 +143,9 @@ def passages(benchmark: DataFrame, idf: np.ndarray, text: str = "text") -> DataF
         for batch in batches:
             out = []
             for t in batch["text"]:
-                b, n = np.unique(buckets(word_hashes(t)), return_counts=True)
-                w = n * own[b]
-                if len(b):
+                for passage in cut(buckets(word_hashes(t))):
+                    b, n = np.unique(passage, return_counts=True)
+                    w = n * own[b]
                     out.append((b.tolist(), (w / np.sqrt((w * w).sum())).tolist()))
             yield pd.DataFrame(out, columns=["buckets", "weights"])
 
@@ -315,12 +326,13 @@ def _last_bits(hashes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Items:
-    """A block of the benchmark: ids, word hashes, where the answer starts, and latent vectors."""
+    """A block of the benchmark: ids, word hashes, where the answer starts, and latent vectors of passages."""
 
     ids: list
     words: list[np.ndarray]
     answers: list[int]
     vectors: np.ndarray
+    owners: np.ndarray  # item of each vector
     index: np.ndarray  # bucket -> row of ``space``, whose last row is zero
     space: np.ndarray  # projection times inverse document frequency
     squares: np.ndarray  # squared inverse document frequency of the benchmark's buckets, 0 for others
@@ -344,18 +356,18 @@ class Items:
             if whole > 1:
                 sums, length = sums[:-1] + sums[1:], length[:-1] + length[1:]
             cosines = (sums / np.sqrt(np.maximum(length, 1e-9))[:, None]) @ self.vectors
-            window, item = np.nonzero(cosines >= NEAR)
-            found += zip(item.tolist(), (window + at).tolist(), cosines[window, item].tolist(), strict=True)
+            window, passage = np.nonzero(cosines >= NEAR)
+            found += zip(self.owners[passage].tolist(), (window + at).tolist(), cosines[window, passage].tolist(), strict=True)
         return found
 
     def cosine(self, item: int, hashes: np.ndarray) -> float:
         """Best cosine of the windows of a region with an item."""
-        part = buckets(hashes)
+        part, own = buckets(hashes), self.vectors[:, self.owners == item]
         best = -1.0
         for at in range(0, max(len(part) - BLOCK, 1), BLOCK):
             window = part[at : at + 2 * BLOCK]
             length = math.sqrt(max(float(self.squares[window].sum()), 1e-9))
-            best = max(best, float(self.space[self.index[window]].sum(axis=0) @ self.vectors[:, item]) / length)
+            best = max(best, float((self.space[self.index[window]].sum(axis=0) @ own).max()) / length)
         return best
 
     def hits(self, texts: Iterable[str | None]) -> list[list[tuple]]:
@@ -481,13 +493,14 @@ def blocks_of(benchmark: DataFrame, docs: DataFrame, text: str = "text", bench_t
         chosen = sorted((r for r in chosen if r.text), key=lambda r: (r.item_id is None, r.item_id or 0, r.text))
         words = [word_hashes(r.text) for r in chosen]
         chosen, words = [r for r, w in zip(chosen, words, strict=True) if len(w)], [w for w in words if len(w)]
-        latent = np.zeros((len(chosen), space.shape[1]), np.float32)
-        for i, w in enumerate(words):
-            v = space[index[buckets(w)]].sum(axis=0)
+        owned = [(i, passage) for i, w in enumerate(words) for passage in cut(buckets(w))]
+        latent = np.zeros((len(owned), space.shape[1]), np.float32)
+        for i, (_, passage) in enumerate(owned):
+            v = space[index[passage]].sum(axis=0)
             latent[i] = v / max(float(np.sqrt((v * v).sum())), 1e-9)
         yield Items(
             [r.item_id for r in chosen], words, [_answer_start(r.text) for r in chosen], np.ascontiguousarray(latent.T),
-            index, space, np.where(index < len(held), idf * idf, 0).astype(np.float32), Words.of(words, frequency, total),
+            np.array([i for i, _ in owned], np.int64), index, space, np.where(index < len(held), idf * idf, 0).astype(np.float32), Words.of(words, frequency, total),
         )
 
 
