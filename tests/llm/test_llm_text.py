@@ -164,6 +164,21 @@ def test_markup(html, text):
     assert html_text.parse(html).text() == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<article><svg-icon name=x></svg-icon><select-menu></select-menu><title-bar>t</title-bar><p>a</p></article>", "t\na"),
+        ("<article><p>a <svg viewBox='0 0 1 1' /> b</p><p>c <math/> d</p></article>", "a b\nc d"),
+        ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><canvas>chart</canvas><object data=f>fallback</object></article>", "so x=2 holds\nchartfallback"),
+        ("<article><p>a</p><select><option>o</select><template><p>t</p></template><p>b</p></article>", "a\nb"),
+        ("<article><p>a<svg><title>T</title><path d=x></svg>b</p><svg><p>c</p></article>", "ab\nc"),
+        ("<article><script>var a='</p>'</script ><p>a</p><iframe>i</iframe\n><noscript>n</noscript><p>b</p></article>", "a\nb"),
+    ],
+)
+def test_raw_and_foreign_elements(html, text):
+    assert html_text.parse(html).text() == text
+
+
 def test_given_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     want = {}

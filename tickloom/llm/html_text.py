@@ -32,14 +32,14 @@ from tickloom.llm.common import small_batches, stored
 MIN_PAGES = 5
 
 # Element names by their part in a page.
-RAW = "script style noscript template textarea title svg iframe object canvas math select"
+RAW = "script style noscript textarea title iframe"  # whatever stands in them is no markup
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
     "thead tr ul".split()
 )
-FURNITURE = set("nav footer aside form head button dialog menu input label legend fieldset".split())
+FURNITURE = set("nav footer aside form head button dialog menu input label legend fieldset select template".split())
 OUTER_FURNITURE = {"header"}  # only outside of an article
 CONTAINERS = set("div section ul ol dl table figure details center".split())
 NEVER = set("html body article main".split())
@@ -61,7 +61,7 @@ CONTENT_WORDS = set("article content post entry story main maincontent body text
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(RAW.split())})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{'|'.join(RAW.split())})(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
