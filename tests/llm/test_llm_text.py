@@ -179,6 +179,20 @@ def test_raw_and_foreign_elements(html, text):
     assert html_text.parse(html).text() == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<h1>H</h1><div class=text-center><p>a</p></div><p>b</p>", "H\na\nb"),
+        ("<div class=entry><p>one</p></div><div class=entry><p>two, longer</p></div>", "one\ntwo, longer"),
+        ("<figure class=main-image><figcaption>f</figcaption></figure><div class=main-title>t</div><p>a</p>", "f\nt\na"),
+        ("<p>before</p><div class=x role='main'><p>m</p></div>", "m"),
+        ("<p>before</p><div data-role=mainly role=mainly><p>m</p></div>", "before\nm"),
+    ],
+)
+def test_class_names_choose_no_content(html, text):
+    assert html_text.parse(html).text() == text
+
+
 def test_given_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     want = {}

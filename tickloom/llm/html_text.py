@@ -13,7 +13,8 @@ by a join on its key, and that table is stored, so Spark sees its size before it
 Defined cases: null or empty html gives an empty text; a null or unreadable url has no host, and its
 page is never counted nor trimmed by counts; rows equal in all columns get equal results; broken markup
 is read as browsers do for the usual faults (open paragraphs, list items and inline elements, a
-missing end, quotes in attributes); an empty table gives an empty table.
+missing end, quotes in attributes); a page without article and main elements (or role=main) keeps all
+that is neither furniture nor template, whatever its classes are called; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ COUNTED = CONTAINERS | FURNITURE | OUTER_FURNITURE | {"p"}
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 
-# Words in class, id and role that name page furniture, and such that name the content.
+# Words in class, id and role that name page furniture.
 FURNITURE_WORDS = set(
     "nav navbar navigation menu menus sidebar sidebars footer header masthead topbar breadcrumb breadcrumbs pagination pager "
     "cookie cookies consent gdpr notice notices alert banner banners popup modal overlay ad ads advert adverts advertisement "
@@ -57,7 +58,6 @@ FURNITURE_WORDS = set(
     "recommended teaser teasers newsletter subscribe subscription signup login search searchform widget widgets contentinfo "
     "complementary toolbar skip hidden".split()
 )
-CONTENT_WORDS = set("article content post entry story main maincontent body text".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -67,6 +67,7 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+MAIN = re.compile(r"\brole\s*=\s*[\"']?\s*main(?=[\s\"'/]|\Z)", re.I)
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 
@@ -76,6 +77,7 @@ class Page:
     def __init__(self, html: str):
         self.html = html
         self.tags, self.parents, self.starts, self.ends, self.names = ["#page"], [-1], [0], [len(html)], [frozenset()]
+        self.kinds = [""]  # article, main or other; an element whose role is main counts as one
         self.items: list[tuple[int, str | None]] = []  # (element, text), or (element, None) at a block's edge
         stack, at = [0], 0
         for m in TOKEN.finditer(html):
@@ -112,6 +114,7 @@ class Page:
         words = frozenset(w for f in found for w in SPLIT.split("".join(f).lower()) if w)
         stack.append(len(self.tags))
         self.tags.append(tag)
+        self.kinds.append(tag if tag == "article" else "main" if tag == "main" or attrs and MAIN.search(attrs) else "")
         self.parents.append(stack[-2])
         self.starts.append(start)
         self.ends.append(len(self.html))
@@ -149,11 +152,11 @@ class Page:
         own, in_article, holds = [False] * n, [False] * n, [False] * n
         for e in range(1, n):
             tag, up = self.tags[e], self.parents[e]
-            in_article[e] = in_article[up] or tag in ("article", "main")
+            in_article[e] = in_article[up] or self.kinds[e] != ""
             own[e] = tag in FURNITURE or tag in OUTER_FURNITURE and not in_article[up] or bool(self.names[e] & FURNITURE_WORDS)
             own[e] = own[e] and tag not in ("html", "body")
         self.dropped = self._under(own)
-        whole = [e for e in range(1, n) if self.tags[e] in ("article", "main") and not in_article[self.parents[e]]]
+        whole = [e for e in range(1, n) if self.kinds[e] and not in_article[self.parents[e]]]
         if whole and all(self.dropped[e] for e in whole):
             # Every article stands in something named like furniture: the names mislead here.
             for e in whole:
@@ -173,17 +176,12 @@ class Page:
         return out
 
     def _roots(self) -> set[int]:
+        """The articles, or else the main elements; a page that has neither is content as a whole."""
         live = [e for e in range(1, len(self.tags)) if not self.dropped[e]]
-        for test in (
-            lambda e: self.tags[e] == "article",
-            lambda e: self.tags[e] == "main" or "main" in self.names[e] and self.tags[e] in CONTAINERS,
-        ):
-            found = {e for e in live if test(e)}
+        for kind in ("article", "main"):
+            found = {e for e in live if self.kinds[e] == kind}
             if found:
                 return found
-        named = [e for e in live if self.tags[e] in CONTAINERS and self.names[e] & CONTENT_WORDS]
-        if named:
-            return {max(named, key=lambda e: (self.ends[e] - self.starts[e], -e))}
         return set()
 
     def content_hash(self) -> int:
