@@ -193,6 +193,24 @@ def test_class_names_choose_no_content(html, text):
     assert html_text.parse(html).text() == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<div class='content has-sidebar'><p>a</p></div><div class=no-sidebar><p>b</p></div>", "a\nb"),
+        ("<article><div class=entry-header><h1>H</h1></div><h2 class=section-header>S</h2><p>a</p></article>", "H\nS\na"),
+        ("<article><p class=related-work>r</p><div class=search-results>s</div><p class=hidden-xs>h</p><p class=footer-note>f</p></article>", "r\ns\nh\nf"),
+        ("<main><div class=header><h1>H</h1></div><p class=notice>n</p><div class='x advert'>ad</div></main>", "H\nn"),
+        ("<div class='box sidebar'>s</div><div id=comments>c</div><p>a</p>", "a"),
+        ("<div data-class=ad data-role=main>d</div><p>a</p>", "d\na"),
+        ("<nav>n</nav><div class=alert><p>all there is</p></div>", "all there is"),
+        ("<article><div class=comments><p>all there is</p></div></article>", "all there is"),
+        ("<div class=alert><nav>n</nav></div>", ""),
+    ],
+)
+def test_names_of_furniture(html, text):
+    assert html_text.parse(html).text() == text
+
+
 def test_given_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     want = {}

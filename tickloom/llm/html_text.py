@@ -5,7 +5,8 @@ host, on how many pages with different content each hash stands; a subtree on ``
 belongs to the site's template and is deleted wherever it occurs on that host. Copies of one page do
 not make its text a template, since they have one content. Paragraphs inside an article are never
 counted. What the markup itself names as furniture (``nav``, ``aside``, ``class="cookie-notice"``) goes
-in any case, also on hosts with too few pages to count.
+in any case, also on hosts with too few pages to count. A class, id or role counts as a whole name, inside
+an article only those of ``FOREIGN_NAMES`` do, and no name counts if nothing were left of the page.
 
 Pages are parsed where they lie. Hashes are the only rows that move; the deletions of a page come back
 by a join on its key, and that table is stored, so Spark sees its size before it picks the join.
@@ -50,14 +51,19 @@ COUNTED = CONTAINERS | FURNITURE | OUTER_FURNITURE | {"p"}
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 
-# Words in class, id and role that name page furniture.
-FURNITURE_WORDS = set(
+# Whole names in class, id and role that name page furniture outside the content.
+FURNITURE_NAMES = set(
     "nav navbar navigation menu menus sidebar sidebars footer header masthead topbar breadcrumb breadcrumbs pagination pager "
     "cookie cookies consent gdpr notice notices alert banner banners popup modal overlay ad ads advert adverts advertisement "
     "advertising sponsor sponsored promo promotion comment comments disqus respond reply replies share sharing social related "
     "recommended teaser teasers newsletter subscribe subscription signup login search searchform widget widgets contentinfo "
     "complementary toolbar skip hidden".split()
 )
+# Those that are furniture inside the content too.
+FOREIGN_NAMES = set(
+    "comment comments comment-list comments-area disqus disqus_thread respond ad ads advert adverts advertisement advertising "
+    "sponsored cookie-notice cookie-banner cookie-consent cookie-bar gdpr".split()
+)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -66,9 +72,8 @@ TOKEN = re.compile(
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
-NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-MAIN = re.compile(r"\brole\s*=\s*[\"']?\s*main(?=[\s\"'/]|\Z)", re.I)
-SPLIT = re.compile(r"[^a-z0-9]+")
+NAMES = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+MAIN = re.compile(r"(?<![\w-])role\s*=\s*[\"']?\s*main(?=[\s\"'/]|\Z)", re.I)
 
 
 class Page:
@@ -111,14 +116,14 @@ class Page:
         if tag in VOID or attrs.endswith("/") and tag not in BLOCKS:
             return
         found = NAMES.findall(attrs) if attrs else ()
-        words = frozenset(w for f in found for w in SPLIT.split("".join(f).lower()) if w)
+        names = frozenset(w for f in found for w in "".join(f).lower().split())
         stack.append(len(self.tags))
         self.tags.append(tag)
         self.kinds.append(tag if tag == "article" else "main" if tag == "main" or attrs and MAIN.search(attrs) else "")
         self.parents.append(stack[-2])
         self.starts.append(start)
         self.ends.append(len(self.html))
-        self.names.append(words)
+        self.names.append(names)
 
     def _end_open(self, stack: list[int], tags: set[str], within: set[str], at: int) -> None:
         """End the nearest open element of ``tags``, unless one of ``within`` stands in between."""
@@ -149,20 +154,29 @@ class Page:
     def read(self) -> None:
         """Mark, per element, furniture (``dropped``) and the inside of the content (``inside``)."""
         n = len(self.tags)
-        own, in_article, holds = [False] * n, [False] * n, [False] * n
+        by_tag, by_name, in_article, holds = [False] * n, [False] * n, [False] * n, [False] * n
         for e in range(1, n):
             tag, up = self.tags[e], self.parents[e]
             in_article[e] = in_article[up] or self.kinds[e] != ""
-            own[e] = tag in FURNITURE or tag in OUTER_FURNITURE and not in_article[up] or bool(self.names[e] & FURNITURE_WORDS)
-            own[e] = own[e] and tag not in ("html", "body")
-        self.dropped = self._under(own)
+            if tag not in ("html", "body"):
+                by_tag[e] = tag in FURNITURE or tag in OUTER_FURNITURE and not in_article[up]
+                by_name[e] = bool(self.names[e] & FOREIGN_NAMES) or not in_article[e] and bool(self.names[e] & FURNITURE_NAMES)
+        own = [t or m for t, m in zip(by_tag, by_name, strict=True)]
+        self._drop(own)
         whole = [e for e in range(1, n) if self.kinds[e] and not in_article[self.parents[e]]]
         if whole and all(self.dropped[e] for e in whole):
             # Every article stands in something named like furniture: the names mislead here.
             for e in whole:
                 while e > 0:
                     holds[e], e = True, self.parents[e]
-            self.dropped = self._under([f and not h for f, h in zip(own, holds, strict=True)])
+            self._drop([f and not h for f, h in zip(own, holds, strict=True)])
+        if any(by_name) and not self.text():
+            # All of the content has such names.
+            self._drop([f and not h for f, h in zip(by_tag, holds, strict=True)])
+
+    def _drop(self, marked: list[bool]) -> None:
+        n = len(self.tags)
+        self.dropped = self._under(marked)
         self.roots = self._roots()
         self.inside = [False] * n
         for e in range(n):
