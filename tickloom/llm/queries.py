@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, decontaminate, html_text, language, licenses, mixing, quality_cnn, quality_rules, simhash, toxicity
+from tickloom.llm import (
+    chat, decontaminate, html_text, language, licenses, mixing, periodic, quality_cnn, quality_rules, simhash, toxicity,
+)
 from tickloom.llm.common import crc_fold
 from tickloom.llm.sql import SQL  # noqa: F401
 
@@ -99,6 +101,11 @@ def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def periodic_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.repeated_tails(table(spark, sf_dir, "documents"))
+    return periodic.digests(periodic.collapse(docs))
+
+
 QUERIES = {
     "op1_language": language_query,
     "op2_quality_rules": quality_rules_query,
@@ -110,4 +117,5 @@ QUERIES = {
     "op8_chat_format": chat_query,
     "op9_html_text": html_query,
     "op10_licenses": license_query,
+    "op13_periodic": periodic_query,
 }

@@ -143,9 +143,52 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, a AS
 FROM texts LEFT JOIN bases USING (k) LEFT JOIN scored USING (k)"""
 
 
+def _periodic() -> str:
+    # Six equal words at distance d, joined into stretches: another way than sorted suffixes.
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+         xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+               lambda crc, c: list_reduce(range(8), lambda v, i: xor(v >> 1, (v & 1) * 3988292384), xor(crc, c)),
+               4294967295), 4294967295) AS h
+  FROM documents),
+shaped AS (SELECT *, CAST(len(w) AS BIGINT) AS n, h // 10 AS g FROM docs),
+tails AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM shaped),
+texts AS (
+  SELECT k, doc_id, n,
+         CASE WHEN h % 10 = 0 AND n > 0
+              THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1]
+                     ELSE w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END)
+              ELSE w END AS w
+  FROM tails),
+words AS (SELECT k, unnest(w) AS x, unnest(range(n)) AS i FROM texts),
+-- Words by number, so that windows of six compare as numbers.
+named AS (SELECT k, i, dense_rank() OVER (ORDER BY x) AS x FROM words),
+grams AS (
+  SELECT k, i, [x, lead(x, 1) OVER t, lead(x, 2) OVER t, lead(x, 3) OVER t, lead(x, 4) OVER t, lead(x, 5) OVER t] AS s, lead(x, 5) OVER t AS z
+  FROM named WINDOW t AS (PARTITION BY k ORDER BY i)),
+again AS (SELECT k, i, s FROM grams WHERE z IS NOT NULL QUALIFY count(*) OVER (PARTITION BY k, s) > 1),
+pairs AS (SELECT p.k, p.i, q.i - p.i AS d FROM again p JOIN again q ON p.k = q.k AND p.s = q.s AND p.i < q.i),
+islands AS (SELECT k, d, i, i - row_number() OVER (PARTITION BY k, d ORDER BY i) AS g FROM pairs),
+stretches AS (SELECT k, d, min(i) AS s, CAST(count(*) + 5 + d AS BIGINT) AS l FROM islands GROUP BY k, d, g),
+runs AS (
+  SELECT k, s, l, min(d) AS d FROM stretches WHERE l >= 2 * d AND l >= 12 GROUP BY k, s, l),
+listed AS (
+  SELECT k, count(*) AS n_runs, string_agg(s || ',' || l || ',' || d || chr(10), '' ORDER BY s, d) AS lines,
+         arg_max(struct_pack(s := s, l := l, d := d), struct_pack(l := l, s := -s, d := -d)) AS best
+  FROM runs GROUP BY k),
+gone AS (SELECT DISTINCT k, unnest(range(s + d, s + l)) AS i FROM runs),
+kept AS (SELECT k, string_agg(x, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (k, i) GROUP BY k)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.d AS period,
+       1000 * best.l // best.d AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(t, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (k) LEFT JOIN kept USING (k)"""
+
+
 SQL = {
     "op2_quality_rules": _quality_rules(),
     "op3_mixing": _mixing(),
     "op8_chat_format": _chat(),
     "op10_licenses": _licenses(),
+    "op13_periodic": _periodic(),
 }
