@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
-    chat, decontaminate, html_text, language, licenses, mixing, periodic, quality_cnn, quality_rules, simhash, toxicity,
+    bloom_lm, chat, decontaminate, html_text, language, licenses, mixing, periodic, quality_cnn, quality_rules, simhash, toxicity,
 )
 from tickloom.llm.common import crc_fold
 from tickloom.llm.sql import SQL  # noqa: F401
@@ -101,6 +101,16 @@ def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def lm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_fold(F.col("doc_id"), 10) == 0
+    model = bloom_lm.fit(docs.where(~held_out))
+    return bloom_lm.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lm.n_tokens", "lm.n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        F.col("lm.base").alias("base_score"), "lm.score",
+    )
+
+
 def periodic_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic.repeated_tails(table(spark, sf_dir, "documents"))
     return periodic.digests(periodic.collapse(docs))
@@ -117,5 +127,6 @@ QUERIES = {
     "op8_chat_format": chat_query,
     "op9_html_text": html_query,
     "op10_licenses": license_query,
+    "op11_lm_scoring": lm_query,
     "op13_periodic": periodic_query,
 }
