@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
-    bloom_lm, chat, decontaminate, html_text, language, licenses, mixing, periodic, quality_cnn, quality_rules, simhash, toxicity,
+    bloom_lm, chat, decontaminate, hard_negatives, html_text, language, licenses, mixing, periodic, quality_cnn, quality_rules, simhash, toxicity,
 )
 from tickloom.llm.common import crc_fold
 from tickloom.llm.sql import SQL  # noqa: F401
@@ -111,6 +111,12 @@ def lm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hard_negatives_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def periodic_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic.repeated_tails(table(spark, sf_dir, "documents"))
     return periodic.digests(periodic.collapse(docs))
@@ -128,5 +134,6 @@ QUERIES = {
     "op9_html_text": html_query,
     "op10_licenses": license_query,
     "op11_lm_scoring": lm_query,
+    "op12_hard_negatives": hard_negatives_query,
     "op13_periodic": periodic_query,
 }

