@@ -92,6 +92,114 @@ def replay_mixed_book_cut(spark, d):
     return bk.replay_book(mixed_updates(td.ticks(spark, d)), min_rows=200)
 
 
+# Messages by every rule: some without an id, stretches of ids on another scale, a baseline now and then.
+RULED = f"""{TICKS}, messages AS MATERIALIZED (
+  SELECT upper(symbol) AS symbol, "tradeId" AS seq, CAST(quantity AS BIGINT) AS k, floor(price) AS p,
+         CASE WHEN "tradeId" % 11 = 0 THEN NULL WHEN "tradeId" // 300 % 4 = 3 THEN ("tradeId" + 300) // 300
+              ELSE "tradeId" + 1000 + CAST(quantity AS BIGINT) END AS u,
+         CASE WHEN "tradeId" % 397 = 0 THEN 'baseline' WHEN "tradeId" % 7 = 0 THEN 'snapshot' ELSE 'diff' END AS kind,
+         CASE WHEN "isBuyerMaker" THEN 'bid' ELSE 'ask' END AS own,
+         CASE WHEN "isBuyerMaker" THEN 'ask' ELSE 'bid' END AS other,
+         row_number() OVER (PARTITION BY symbol ORDER BY "tradeId") AS rn FROM ticks),
+decided AS (
+  SELECT symbol, rn, seq, true AS applied, coalesce(u, 0) AS last FROM messages WHERE rn = 1
+  UNION ALL
+  SELECT m.symbol, m.rn, m.seq, m.kind = 'baseline' OR m.u IS NULL OR NOT (d.last > 0 AND m.u <= d.last AND d.last <= 100 * m.u),
+         CASE WHEN m.u IS NULL THEN CASE WHEN d.last = 0 THEN 0 ELSE d.last + 1 END
+              WHEN m.kind <> 'baseline' AND d.last > 0 AND m.u <= d.last AND d.last <= 100 * m.u THEN d.last ELSE m.u END
+  FROM decided d JOIN messages m ON m.symbol = d.symbol AND m.rn = d.rn + 1),
+kept AS (
+  SELECT m.* FROM messages m JOIN decided d ON m.symbol = d.symbol AND m.rn = d.rn
+  LEFT JOIN (SELECT symbol, max(seq) AS b FROM messages WHERE kind = 'baseline' GROUP BY 1) c ON c.symbol = m.symbol
+  WHERE d.applied AND m.kind <> 'snapshot' AND m.seq >= coalesce(c.b, 0)),
+levels AS (
+  SELECT symbol, seq, own AS side, 0 AS pos, p AS price, CAST(k % 10 AS DOUBLE) AS qty FROM kept
+  UNION ALL SELECT symbol, seq, own, 1, p + 1, CAST((k + 3) % 10 AS DOUBLE) FROM kept
+  UNION ALL SELECT symbol, seq, other, 0, p + 5, CAST((k + 1) % 10 AS DOUBLE) FROM kept),
+ruled_book AS (SELECT symbol, side, price, arg_max(qty, ROW(seq, pos)) AS qty FROM levels GROUP BY 1, 2, 3
+  HAVING arg_max(qty, ROW(seq, pos)) <> 0)"""
+
+
+def ruled_updates(t):
+    k, seq = F.col("quantity").cast("bigint"), F.col("tradeId")
+    own, other = (F.when(F.col("isBuyerMaker"), a).otherwise(b) for a, b in (("bid", "ask"), ("ask", "bid")))
+    level = lambda side, pos, add, plus: F.struct(
+        side.alias("side"), F.lit(pos).alias("pos"), (F.floor("price") + add).cast("double").alias("price"),
+        F.pmod(k + plus, F.lit(10)).cast("double").alias("qty"),
+    )
+    hundreds = F.floor(seq / 300)
+    return t.select(
+        F.upper("symbol").alias("symbol"), seq.alias("seq"), "time",
+        F.when(seq % 11 == 0, None).when(hundreds % 4 == 3, hundreds + 1).otherwise(seq + 1000 + k).alias("u"),
+        F.when(seq % 397 == 0, "baseline").when(seq % 7 == 0, "snapshot").otherwise("diff").alias("kind"),
+        F.explode(F.array(level(own, 0, 0, 0), level(own, 1, 1, 3), level(other, 0, 5, 1))).alias("l"),
+    ).select("symbol", "seq", "time", "u", "kind", "l.*")
+
+
+@register("replay_ruled_book", f"WITH RECURSIVE {RULED} SELECT symbol, side, price, qty FROM ruled_book")
+def replay_ruled_book(spark, d):
+    """Books of messages whose ids are missing, on another scale or reset by a baseline."""
+    return bk.replay_book(ruled_updates(td.ticks(spark, d)))
+
+
+@register("replay_ruled_book_cut", f"WITH RECURSIVE {RULED} SELECT symbol, side, price, qty FROM ruled_book")
+def replay_ruled_book_cut(spark, d):
+    """The same with every symbol cut into slices of a few hundred levels."""
+    return bk.replay_book(ruled_updates(td.ticks(spark, d)), min_rows=200)
+
+
+@register(
+    "decided_messages",
+    f"""WITH RECURSIVE {RULED} SELECT symbol, count(*) AS messages, count(*) FILTER (applied) AS applied,
+    arg_max(last, rn) AS "lastUpdateId", CAST(sum(last) AS BIGINT) AS "sumOfIds" FROM decided GROUP BY 1""",
+)
+def decided_messages(spark, d):
+    """How many messages of each symbol are applied, and the last id after each of them."""
+    told = bk.decided_messages(ruled_updates(td.ticks(spark, d)))
+    return told.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("messages"), F.count_if("applied").alias("applied"), F.max_by("last", "at").alias("lastUpdateId"),
+        F.sum("last").alias("sumOfIds"),
+    )
+
+
+# The given trades lie minutes apart; a clock 20,000 times as slow makes the real widths matter.
+def _limited(every: int, force: str) -> str:
+    return f"""WITH RECURSIVE {UPDATES}, moments AS MATERIALIZED (
+      SELECT symbol, "time" // 20000 AS "time", seq, u, row_number() OVER (PARTITION BY symbol ORDER BY "time" // 20000, seq) AS rn
+      FROM updates),
+    walk AS (
+      SELECT symbol, rn, "time" AS pushed, "time" AS forced, true AS due FROM moments WHERE rn = 1
+      UNION ALL
+      SELECT m.symbol, m.rn, CASE WHEN m."time" - w.pushed >= {every} THEN m."time" ELSE w.pushed END,
+             CASE WHEN m."time" - w.pushed < {every} AND m."time" - w.forced >= {force} THEN m."time" ELSE w.forced END,
+             m."time" - w.pushed >= {every} OR m."time" - w.forced >= {force}
+      FROM walk w JOIN moments m ON m.symbol = w.symbol AND m.rn = w.rn + 1)
+    SELECT m.symbol, m."time", m.seq, m.u FROM walk w JOIN moments m ON m.symbol = w.symbol AND m.rn = w.rn WHERE due"""
+
+
+def _slow_updates(spark, d):
+    updates = shifted_updates(spark, d)
+    return updates.select("symbol", F.floor(F.col("time") / 20_000).alias("time"), "seq", "u")
+
+
+@register("rate_limited_books", _limited(100, "1000"))
+def rate_limited_books(spark, d):
+    """At most one book per 100 ms since the last, and one more a second."""
+    return bk.limit_rate(_slow_updates(spark, d), 100, 1000)
+
+
+@register("rate_limited_books_cut", _limited(100, "1000"))
+def rate_limited_books_cut(spark, d):
+    """The same with every symbol cut into slices of about two hundred rows."""
+    return bk.limit_rate(_slow_updates(spark, d), 100, 1000, min_rows=200, width=20_000)
+
+
+@register("rate_limited_books_1s", _limited(1000, "CAST('infinity' AS DOUBLE)"))
+def rate_limited_books_1s(spark, d):
+    """One clock of a second alone."""
+    return bk.limit_rate(_slow_updates(spark, d), 1000, None)
+
+
 # Snapshot: five units bid at every price level, at an id that makes the first updates stale.
 _SNAP = f"""{UPDATES}, ids AS (SELECT symbol, min(u) + 100 AS u0 FROM updates GROUP BY 1),
 snap AS (SELECT u.symbol, 'bid' AS side, u.price, 5.0::DOUBLE AS qty, ids.u0 AS u FROM updates u

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.base import CANDLES, TICKS, r, register, rounded
-from catalog.books import _PARSED, MIXED, mixed_updates
+from catalog.books import _PARSED, MIXED, RULED, mixed_updates, ruled_updates
 from catalog.rankings import SHOWN, _show, change_sql, ranked_sql
 from tickloom.schemas import DAY_MS, HOUR_MS
 from tickloom.session import run_dir
@@ -234,6 +234,14 @@ def stream_mixed_book_batches(spark, d):
     return books.read()
 
 
+@register("stream_ruled_book_batches", f"WITH RECURSIVE {RULED} SELECT symbol, side, price, qty FROM ruled_book")
+def stream_ruled_book_batches(spark, d):
+    """Ids that are missing, on another scale or reset by a baseline, over four micro-batches."""
+    q, books, _ = sb.book_job(ruled_updates(tick_batches(spark, d)), run_dir(spark, "books"))
+    drain(q)
+    return books.read()
+
+
 @register(
     "stream_candle_store_batches",
     f"""WITH {CANDLES}, c AS (SELECT symbol, "openTime", arg_max(close, seq) AS close, max(seq) AS seq

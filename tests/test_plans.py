@@ -80,3 +80,45 @@ def test_hash_aggregates_only(spark, sf_dir, name):
 def test_series_without_heavy_symbols_are_plain_windows(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     assert text.count("Scan parquet") == 1 and "Join" not in text
+
+
+def metric(df, name):
+    """Sum of a metric over the nodes of an executed plan that have it."""
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().get(name)
+        children = node.children()
+        return (own.get().value() if own.isDefined() else 0) + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    df._jdf.queryExecution().executedPlan().executeCollect()
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.mark.parametrize("name", ["window_close", "window_gain"])
+def test_window_prices_combine_before_the_shuffle(spark, name):
+    from pyspark.sql import functions as F
+
+    from tickloom.operators import rollup
+
+    # 40,000 rows of unique times, two symbols, ten windows, four tasks.
+    rows = spark.range(0, 40_000, 1, 4).select(
+        F.concat(F.lit("S"), F.col("id") % 2).alias("symbol"), (F.col("id") * 15).alias("openTime"), (F.col("id") * 15).alias("time"),
+        F.rand(1).alias("close"), F.rand(2).alias("price"), F.rand(3).alias("quoteVolume"),
+    )
+    df = getattr(rollup, name)(rows)
+    text = plan(df)
+    assert text.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in text
+    assert df.count() == 20
+    assert 20 <= metric(df, "shuffleRecordsWritten") <= 4 * 20
+
+
+@pytest.mark.parametrize("now,rows", [(10**9, 2 * 40), (29_700_000, 2 * 11)])
+def test_recent_candles_scan_once(spark, tmp_path, now, rows):
+    path = str(tmp_path / "candles")
+    spark.range(200).selectExpr("concat('S', id % 2) AS symbol", "id div 2 * 300000 AS openTime", "1.0D AS close").write.parquet(path)
+    found = tb.recent_or_latest_k(spark.read.parquet(path), now, 10)
+    assert plan(found).split("== Initial Plan ==")[0].count("FileScan") == 1 and found.count() == rows

@@ -1,3 +1,7 @@
+import math
+import random
+import struct
+import sys
 from datetime import datetime, timezone
 
 import pytest
@@ -7,6 +11,7 @@ from tickloom.functions import scalars as sc
 from tickloom.operators import rollup as ru
 from tickloom.plans import jobs
 from tickloom.schemas import DAY_MS, HOUR_MS, MINUTE_MS
+from tickloom.streaming import rankings as sr
 
 MIDNIGHT = 1_704_067_200_000
 
@@ -136,3 +141,45 @@ def test_utc_text_ignores_session_zone(spark):
         assert spark.range(1).select(sc.utc_text(F.lit(MIDNIGHT))).first()[0] == "2024-01-01 00:00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def bits(x):
+    """The order of doubles as a whole number."""
+    if math.isnan(x):
+        return (2047 << 52) + 1
+    size = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
+    return -size if x < 0 else size
+
+
+def test_total_order_is_that_of_doubles(spark):
+    rng = random.Random(4)
+    xs = [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(3000)]
+    powers = [2.0**e for e in range(-1074, 1024)]
+    xs += [s * v for s in (1, -1) for p in powers for v in (p, math.nextafter(p, 0), math.nextafter(p, math.inf))]
+    xs += [0.0, -0.0, math.inf, -math.inf, math.nan, sys.float_info.max, 5e-324]
+    df = spark.createDataFrame([(x,) for x in [*xs, None]], "x double")
+    got = df.select("x", sc.total_order("x").alias("b"), sc.turn(F.lit(2**62 - 1), "x").alias("t")).collect()
+    assert all(r.b == bits(r.x) and int(r.t) == (2**62 - 1) * 2**64 + bits(r.x) for r in got if r.x is not None)
+    assert [r.b for r in got if r.x is None] == [None] and len(got) == len(xs) + 1
+
+
+EXTREME = [1e300, math.nextafter(1e300, 0), 5e-324, 1e-310, -1e12, math.nextafter(-1e12, 0), 2e9, 2e9 + 1e-6, 3e9]
+
+
+def test_window_prices_at_one_time_are_the_extremes(spark):
+    """Ties between prices of any size are settled the same way in a batch and in a stream."""
+    rows = [("A", 60_000 * w + t, p, p) for w in range(3) for t in (5, 7) for p in EXTREME[w : w + 7]]
+    df = spark.createDataFrame(rows, "symbol string, time long, price double, close double").withColumn("openTime", F.col("time"))
+    df = df.withColumn("quoteVolume", F.lit(1.0)).repartition(4)
+    want = {60_000 * w: (min(EXTREME[w : w + 7]), max(EXTREME[w : w + 7])) for w in range(3)}
+    gains = {r.window_start: (r.open_price, r.close_price) for r in ru.window_gain(df).collect()}
+    closes = {r.window_start: r.close_price for r in ru.window_close(df).collect()}
+    assert gains == want and closes == {w: p[1] for w, p in want.items()}
+    stream = sr.stream_window_gain(df.drop("openTime", "close"))  # the same plan over a bounded table
+    assert {r.window_start: (r.open_price, r.close_price) for r in stream.collect()} == want
+
+
+def test_null_prices_are_none(spark):
+    df = spark.createDataFrame([("A", 1, 2.0), ("A", 2, None), ("B", 3, None)], "symbol string, time long, price double")
+    got = {r.symbol: (r.open_price, r.close_price, r.trade_count) for r in ru.window_gain(df).collect()}
+    assert got == {"A": (2.0, 2.0, 2), "B": (None, None, 1)}

@@ -180,3 +180,21 @@ def test_a_burst_is_cut_too(spark):
     whole = map_series(df, add, before=30, order=ORDER, cut=False)
     cut = map_series(df, add, before=30, order=ORDER, min_rows=limit)
     assert sorted(cut.collect()) == sorted(whole.collect())
+
+
+@pytest.mark.parametrize("span,ties", [(20_000, 0), (3, 0), (400, 9000)])
+def test_bursts_of_any_density_are_cut(spark, span, ties):
+    """Slices stay near the limit however many rows a few milliseconds hold."""
+    limit, t0 = 200, 1_700_000_000_000
+    rng = random.Random(span)
+    times = [t0 + rng.randrange(DAY_MS) for _ in range(2000)] + [t0 + HOUR_MS + rng.randrange(span) for _ in range(38_000 - ties)]
+    times += [t0 + HOUR_MS + 17] * ties
+    df = spark.createDataFrame([("A", t, i) for i, t in enumerate(times)] + [("B", t0, 1)], "symbol string, openTime long, seq long")
+    cut = with_slices(df, ["symbol"], "openTime", min_rows=limit, sub="seq")
+    first, last = F.min(F.struct("openTime", "seq")).alias("a"), F.max(F.struct("openTime", "seq")).alias("b")
+    slices = cut.where("symbol = 'A'").groupBy("_slice").agg(F.count("*").alias("n"), first, last).orderBy("a").collect()
+    assert max(r.n for r in slices) <= 2 * limit and sum(r.n for r in slices) == 40_000
+    assert all(tuple(x.b) < tuple(y.a) and x["_slice"] < y["_slice"] for x, y in zip(slices, slices[1:]))
+    add = lambda f, w: f.withColumn("back", F.lag("seq", 7).over(w)).withColumn("n", F.sum("seq").over(w.rowsBetween(-30, 0)))
+    whole = map_series(df, add, before=30, order=ORDER, cut=False)
+    assert sorted(map_series(df, add, before=30, order=ORDER, min_rows=limit).collect()) == sorted(whole.collect())

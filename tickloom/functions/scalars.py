@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,6 +53,36 @@ def utc_iso(time_ms: Column | str) -> Column:
     )
 
 
+def total_order(x: Column | str) -> Column:
+    """A long that orders doubles exactly: the IEEE bits of the magnitude, with the sign.
+
+    Negative and positive zero are equal, NaN comes last, null stays null. The exponent is estimated by
+    a logarithm and corrected by one; scaling by powers of two is exact, for subnormal numbers too.
+    """
+    v = _c(x).cast("double")
+    size = F.abs(v)
+    guess = F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023))
+    scaled = size / F.pow(F.lit(2.0), guess)
+    up, down = scaled >= 2, (scaled < 1) & (guess > -1022)
+    exponent = guess + F.when(up, 1).when(down, -1).otherwise(0)
+    fraction = F.when(up, scaled / 2).when(down, scaled * 2).otherwise(scaled)
+    bits = (exponent + 1022) * (1 << 52) + (fraction * float(1 << 52)).cast("long")
+    infinite = 2047 << 52
+    magnitude = F.when(F.isnan(v), F.lit(infinite + 1)).when(size == float("inf"), F.lit(infinite)).when(size == 0, F.lit(0)).otherwise(bits)
+    return F.when(v < 0, -magnitude).when(v.isNotNull(), magnitude).cast("long")
+
+
+def turn(position: Column | str, x: Column | str) -> Column:
+    """One number that orders rows by ``position`` and, at one position, by the double ``x``.
+
+    Aggregates ordered by a decimal are hash aggregates, which combine rows before the shuffle; a struct
+    makes them sort every row. 38 digits hold any double beside any position below 2**62, which in
+    milliseconds is more than a timestamp can reach. Null where ``x`` is null.
+    """
+    place = _c(position).cast("decimal(19,0)") * F.lit(Decimal(2**64))
+    return place.cast("decimal(38,0)") + total_order(x).cast("decimal(19,0)")
+
+
 def change_pct(now: Column | str, before: Column | str) -> Column:
     """Percentage change; null where the earlier value is null or zero."""
     b = _c(before)

@@ -4,22 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tickloom.operators.recurrence import running_max_before
-from tickloom.operators.series import map_series
+from tickloom.operators.series import MIN_ROWS, SLICE, map_series, second_of, with_slices
+from tickloom.operators.stepwise import LOW, PIECES, TOP, applied_to, piece, pieces, slice_states, states_before
+from tickloom.schemas import DAY_MS
 from tickloom.sources.tables import first_per_key
 
 # Sequence numbers per slice when a heavy symbol's updates are cut.
 SEQ_WIDTH = 1 << 24
+# An id that is this many times smaller than the last one is of another numbering.
+FAR = 100
 
 
 def current_updates(updates: DataFrame, min_rows: int | None = None) -> DataFrame:
     """Drop the levels of stale messages: an id not above every earlier id of the symbol.
 
     A dropped message has an id at or below the running maximum, so leaving it in the maximum
-    changes nothing and the rule needs no sequential state.
+    changes nothing and the rule needs no sequential state. It takes ids that are all there and of
+    one numbering; :func:`decided_messages` knows the full rule.
     """
     extra = {} if min_rows is None else {"min_rows": min_rows}
     seen = running_max_before(
@@ -28,39 +36,170 @@ def current_updates(updates: DataFrame, min_rows: int | None = None) -> DataFram
     return seen.filter(F.col("_seen").isNull() | (F.col("u") > F.col("_seen"))).drop("_seen")
 
 
-def replay_book(updates: DataFrame, snapshot: DataFrame | None = None, min_rows: int | None = None) -> DataFrame:
-    """Final book levels after applying diff updates in arrival order.
+def _far(u: Column) -> Column:
+    """The largest last id beside which ``u`` still counts as old."""
+    return F.least(F.coalesce(F.try_multiply(u, F.lit(FAR)), F.lit(TOP)), F.lit(TOP))
+
+
+def _next_id(m: Column) -> Column:
+    """The last id after a message as a function of the last id before it; 0 is none."""
+    u = F.greatest(m["u"], F.lit(0))
+    old = pieces(piece(u - 1, False, u), piece(_far(u), True, 0), F.when(_far(u) < TOP, piece(TOP, False, u)))
+    counted = pieces(piece(0, False, 0), piece(TOP, True, 1))
+    return F.when(m["u"].isNull(), counted).when(m["baseline"] | (u == 0), pieces(piece(TOP, False, u))).otherwise(old)
+
+
+def _block_ids(rows: Column) -> Column:
+    """The function of a run of messages, followed as what becomes of none, of low, middling and high last ids.
+
+    Last ids between ``lo`` and ``hi`` are still what they were, plus ``add``. All below have become
+    ``left``, which is also the least of those; those above have met a far smaller id, one of ``right``.
+    """
+    kept = "array<struct<hi:bigint,value:bigint>>"
+    long = lambda x: (x if isinstance(x, Column) else F.lit(x)).cast("bigint")
+    state = lambda zero, lo, hi, add, left, right: F.struct(
+        long(zero).alias("zero"), long(lo).alias("lo"), long(hi).alias("hi"), long(add).alias("add"), long(left).alias("left"),
+        right.cast(kept).alias("right"),
+    )
+    high = lambda hi, value: F.struct(long(hi).alias("hi"), long(value).alias("value"))
+
+    def step(s: Column, entry: Column) -> Column:
+        m = entry["row"]
+        u = F.greatest(m["u"], F.lit(0))
+        counted = lambda v: F.when(v == 0, v).otherwise(v + 1)
+        told = lambda v: F.when((v > 0) & (u <= v) & (v <= _far(u)), v).otherwise(u)
+        each = lambda f: F.transform(s["right"], lambda r: high(r["hi"], f(r["value"])))
+        lo, hi = F.greatest(s["lo"], u - s["add"]), F.least(s["hi"], _far(u) - s["add"])
+        none = hi < lo
+        more = F.when(~none & (hi < s["hi"]), F.array(high(s["hi"], u))).otherwise(F.array().cast(kept))
+        by_id = state(
+            told(s["zero"]), F.when(none, s["hi"] + 1).otherwise(lo), F.when(none, s["hi"]).otherwise(hi), s["add"], told(s["left"]),
+            F.concat(more, each(told)),
+        )
+        return (
+            F.when(m["u"].isNull(), state(counted(s["zero"]), s["lo"], s["hi"], s["add"] + 1, counted(s["left"]), each(counted)))
+            .when(m["baseline"] | (u == 0), state(u, TOP, TOP - 1, 0, u, F.array(high(TOP, u))))
+            .otherwise(by_id)
+        )
+
+    def finished(s: Column) -> Column:
+        low = F.when(s["lo"] > 1, piece(s["lo"] - 1, False, s["left"]))
+        middle = F.when(s["hi"] >= s["lo"], piece(s["hi"], True, s["add"]))
+        return F.concat(pieces(piece(0, False, s["zero"]), low, middle), F.transform(s["right"], lambda r: piece(r["hi"], False, r["value"])))
+
+    return F.aggregate(rows, state(0, 1, TOP, 0, 0, F.array()), step, finished)
+
+
+def decided_messages(
+    updates: DataFrame, start: DataFrame | None = None, wait: bool = False, min_rows: int | None = None
+) -> DataFrame:
+    """symbol, seq, at, baseline, applied, last: each message's decision and the last id after it.
+
+    A message without an id is applied and counts the last id up by one, if there is one. An id at or
+    below the last one is old, unless it is below a hundredth of it, which is another numbering. A
+    message of kind 'baseline' is always applied and sets the id. ``start`` (symbol, u) holds the last
+    ids before the first message. With ``wait`` a symbol's messages up to its first baseline follow it if
+    their ids are newer, or missing, and are dropped otherwise; without a baseline none is decided. ``at``
+    is the place in the order that this makes, ``seq`` but for a first baseline (-1). Ids below zero count
+    as zero, which is none.
+    """
+    baseline = F.coalesce(F.col("kind") == "baseline", F.lit(False)) if "kind" in updates.columns else F.lit(False)
+    messages = updates.groupBy("symbol", "seq").agg(F.max("u").alias("u"), F.max(baseline).alias("baseline"))
+    like = updates.select("symbol", F.col("seq").alias("at"))
+    if wait:
+        firsts = messages.filter("baseline").groupBy("symbol").agg(F.min("seq").alias("_b"), F.min_by("u", "seq").alias("_bu"))
+        held = F.col("seq") < F.col("_b")
+        messages = messages.join(firsts, "symbol").filter(~held | F.col("u").isNull() | (F.col("u") > F.coalesce("_bu", F.lit(0))))
+        messages = messages.withColumn("at", F.when(F.col("seq") == F.col("_b"), F.lit(-1)).otherwise(F.col("seq"))).drop("_b", "_bu")
+    else:
+        messages = messages.withColumn("at", F.col("seq"))
+    extra = {} if min_rows is None else {"min_rows": min_rows}
+    told = states_before(
+        messages, _next_id, start, 0 if start is None else "u", "_last", order=["at"], width=SEQ_WIDTH, like=like, fold=_block_ids, **extra
+    )
+    u, last = F.greatest("u", F.lit(0)), F.col("_last")
+    old = (last > 0) & (u <= last) & (last <= _far(u))
+    return told.select(
+        "symbol", "seq", "at", "baseline", (F.col("baseline") | F.col("u").isNull() | ~old).alias("applied"),
+        applied_to(_next_id(F.struct("u", "baseline")), last).alias("last"),
+    )
+
+
+def _plain_ids(updates: DataFrame) -> bool:
+    """Whether the rule is a running maximum for sure: one pre-aggregated scan.
+
+    So it is if all ids are there, none is a baseline's, and none is below a hundredth of an earlier one.
+    Ids are compared by runs of messages, each with the largest id up to its end.
+    """
+    odd = F.col("u").isNull()
+    if "kind" in updates.columns:
+        odd = odd | F.coalesce(F.col("kind") == "baseline", F.lit(False))
+    # Ids that have grown to a hundred times the first one count as odd only within one run.
+    run = F.floor(F.log2(F.greatest(F.col("seq") + 2, F.lit(1)).cast("double")) * 4).cast("int")
+    ids = updates.groupBy("symbol", run.alias("_run")).agg(F.min("u").alias("lo"), F.max("u").alias("hi"), F.max(odd).alias("odd"))
+    top = F.max("hi").over(Window.partitionBy("symbol").orderBy("_run"))
+    return not ids.select((F.col("odd") | (_far(F.col("lo")) < top)).alias("odd")).agg(F.max("odd")).first()[0]
+
+
+def replay_book(
+    updates: DataFrame, snapshot: DataFrame | None = None, min_rows: int | None = None, wait: bool = False
+) -> DataFrame:
+    """Final book levels after applying updates in arrival order.
 
     ``updates``: symbol, side, pos, price, qty, u, seq (``seq`` the arrival number of the message,
-    not negative) and optionally ``kind``: only messages of kind 'diff' change levels, all others
-    just advance the id. ``snapshot``: symbol, side, price, qty, u. Each update sets a level to an
-    absolute quantity, so the book is the last current quantity per level, minus zeros. The
-    snapshot is simply the earliest message; updates not newer than it are stale. A level without a
-    readable price or quantity changes nothing.
+    not negative) and optionally ``kind``: messages of kind 'diff' set levels, a 'baseline' first
+    clears the symbol's book, all others just advance the id. ``snapshot``: symbol, side, price, qty, u;
+    the book before the first message. Which messages are applied says :func:`decided_messages`; where
+    all ids are there, growing or old, that is a running maximum, which is cheaper. Each update sets a
+    level to an absolute quantity, so the book is the last applied quantity per level, minus zeros. A
+    level without a readable price or quantity changes nothing.
     """
     cols = ["symbol", "side", "pos", "price", "qty", "u", "seq", "kind"]
     rows = updates if "kind" in updates.columns else updates.withColumn("kind", F.lit("diff"))
     rows = rows.select(*cols)
+    base = None
     if snapshot is not None:
-        base = snapshot.withColumns({"pos": F.lit(0), "seq": F.lit(-1).cast("long"), "kind": F.lit("diff")})
-        rows = base.select(*cols).unionByName(rows)
+        base = snapshot.withColumns({"pos": F.lit(0), "seq": F.lit(-1).cast("long"), "kind": F.lit("diff")}).select(*cols)
+    if not wait and _plain_ids(rows if base is None else base.unionByName(rows)):
+        applied = current_updates(rows if base is None else base.unionByName(rows), min_rows).withColumn("at", F.col("seq"))
+    else:
+        decided = decided_messages(rows, None if snapshot is None else _ids(snapshot), wait, min_rows).filter("applied")
+        applied = rows.join(decided.select("symbol", "seq", "at"), ["symbol", "seq"])
+        if base is not None:
+            applied = applied.unionByName(base.withColumn("at", F.lit(-2).cast("long")))
+        cleared = decided.filter("baseline").groupBy("symbol").agg(F.max("at").alias("_cleared"))
+        applied = applied.join(cleared, "symbol", "left").filter(F.col("_cleared").isNull() | (F.col("at") >= F.col("_cleared")))
     # One sortable number per (message, position) keeps this a hash aggregate with map-side
     # partials. A decimal has room for any two longs, so no arrival number can overflow it.
-    turn = F.col("seq").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
+    turn = F.col("at").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
     return (
-        current_updates(rows, min_rows)
-        .filter((F.col("kind") == "diff") & F.col("price").isNotNull() & F.col("qty").isNotNull())
+        applied.filter(F.col("kind").isin("diff", "baseline") & F.col("price").isNotNull() & F.col("qty").isNotNull())
         .groupBy("symbol", "side", "price")
         .agg(F.max_by("qty", turn).alias("qty"))
         .filter(F.col("qty") != 0)
     )
 
 
-def last_update_id(updates: DataFrame, snapshot: DataFrame | None = None) -> DataFrame:
-    rows = updates.select("symbol", "u")
+def _ids(snapshot: DataFrame) -> DataFrame:
+    return snapshot.groupBy("symbol").agg(F.max("u").alias("u"))
+
+
+def last_update_id(updates: DataFrame, snapshot: DataFrame | None = None, wait: bool = False) -> DataFrame:
+    """The last id of every symbol after all updates; of rows without an arrival number, the largest."""
+    if "seq" not in updates.columns:
+        return updates.groupBy("symbol").agg(F.max("u").alias("lastUpdateId"))
+    rows = updates.select("symbol", "seq", "u", *(["kind"] if "kind" in updates.columns else []))
+    ids = rows.select("symbol", "u")
     if snapshot is not None:
-        rows = rows.unionByName(snapshot.select("symbol", "u"))
-    return rows.groupBy("symbol").agg(F.max("u").alias("lastUpdateId"))
+        ids = ids.unionByName(snapshot.select("symbol", "u"))
+    if not wait and _plain_ids(rows) and (snapshot is None or _plain_ids(ids)):
+        return ids.groupBy("symbol").agg(F.max("u").alias("lastUpdateId"))
+    decided = decided_messages(rows, None if snapshot is None else _ids(snapshot), wait)
+    after = decided.groupBy("symbol").agg(F.max_by("last", "at").alias("lastUpdateId"))
+    if snapshot is None:
+        return after
+    before = _ids(snapshot).join(after, "symbol", "left_anti").withColumnRenamed("u", "lastUpdateId")
+    return after.unionByName(before)
 
 
 def _best_first():
@@ -133,6 +272,78 @@ def throttle(emissions: DataFrame, every_ms: int = 100, time: str = "time", seq:
     return first_per_key(emissions.withColumn("slot", slot), ["symbol", "slot"], order)
 
 
+def limit_rate(
+    emissions: DataFrame, every_ms: int = 100, force_ms: int | None = 1000, time: str = "time", seq: Sequence[str] = ("seq",), **series
+) -> DataFrame:
+    """Emissions at least ``every_ms`` after the last one, as a publisher decides them one by one.
+
+    A second clock, which starts at a symbol's first row, lets one more through whenever ``force_ms``
+    have passed since the last one it let through; ``None`` leaves it out. The first clock does not see
+    those of the second, so the two are one chain after the other. ``time`` and ``seq`` are a total order.
+    """
+    told = _greedy(emissions, every_ms, None, time, seq, **series)
+    pushed = told.filter("_due").drop("_due")
+    if force_ms is None:
+        return pushed
+    begin = emissions.groupBy("symbol").agg(F.min(time).alias("_begin"))
+    forced = _greedy(told.filter("NOT _due").drop("_due"), force_ms, begin, time, seq, **series)
+    return pushed.unionByName(forced.filter("_due").drop("_due"))
+
+
+def _pointers(times: np.ndarray, gap: int) -> np.ndarray:
+    """For each sorted time the place of the first one at least ``gap`` later."""
+    return np.searchsorted(times, times + gap)
+
+
+def _greedy(
+    rows: DataFrame, gap: int, begin: DataFrame | None, time: str, seq: Sequence[str], width: int = DAY_MS, min_rows: int = MIN_ROWS
+) -> DataFrame:
+    """``rows`` with ``_due``: whether a row is at least ``gap`` after the last one that is due.
+
+    Each row points at the first one ``gap`` later. What a slice makes of the last due time before it
+    depends on the row it is entered at, one of those within ``gap`` of its start; doubled pointers lead
+    from each to the last one of the slice. These functions are followed slice by slice per symbol, and
+    every slice is then walked once from its own entry. Slices have a bounded number of rows.
+    """
+    order, keys = [time, *seq], ["symbol"]
+    cut = with_slices(rows, keys, time, width, min_rows, True, rows.select("symbol", *order), second_of(rows, order))
+
+    def summary(part: pa.Table) -> pa.Table:
+        times = np.sort(part.column("_t").to_numpy())
+        n, ahead = len(times), _pointers(times, gap)
+        last = np.where(ahead < n, ahead, np.arange(n))
+        while (last[last] != last).any():
+            last = last[last]
+        entries = np.unique(np.searchsorted(times, np.append(times[times < times[0] + gap], times[0] + gap)))
+        entries = entries[entries < n]
+        ends = times[last[entries]]
+        # Entered up to the time less the gap; neighbours that end alike are one.
+        split = np.append(ends[1:] != ends[:-1], True)
+        found = [{"hi": int(t - gap), "keep": False, "value": int(e)} for t, e in zip(times[entries][split], ends[split], strict=True)]
+        found.append({"hi": TOP, "keep": True, "value": 0})
+        return pa.table({"symbol": part.column("symbol")[:1], SLICE: part.column(SLICE)[:1], "_f": pa.array([found], _FUNCTION)})
+
+    def walk(part: pa.Table) -> pa.Table:
+        part = part.sort_by([(c, "ascending") for c in order])
+        times, x = part.column(time).to_numpy(), part.column("_x")[0].as_py()
+        ahead, due = _pointers(times, gap).tolist(), np.zeros(len(times), bool)
+        at = int(np.searchsorted(times, x + gap))
+        while at < len(times):
+            due[at] = True
+            at = ahead[at]
+        return part.drop_columns([SLICE, "_x"]).append_column("_due", pa.array(due))
+
+    told = cut.select("symbol", SLICE, F.col(time).cast("bigint").alias("_t")).groupBy("symbol", SLICE)
+    symbol = dict(rows.dtypes)["symbol"]
+    slices = told.applyInArrow(summary, f"symbol {symbol}, {SLICE} bigint, _f {PIECES}")
+    before = slice_states(slices, begin, LOW + 1 if begin is None else "_begin", keys)
+    out = StructType([*rows.schema, StructField("_due", BooleanType())])
+    return cut.join(before, ["symbol", SLICE]).select(*rows.columns, SLICE, "_x").groupBy("symbol", SLICE).applyInArrow(walk, out)
+
+
+_FUNCTION = pa.list_(pa.struct([("hi", pa.int64()), ("keep", pa.bool_()), ("value", pa.int64())]))
+
+
 def changed_only(emissions: DataFrame, value: str = "lastUpdateId", order: Sequence[str] = ("time", "seq"), **series) -> DataFrame:
     """Emissions whose id differs from the previous one; null and zero ids are never emitted.
 

@@ -49,6 +49,53 @@ def latest_change(changes: DataFrame, as_of: int | Column | None = None, horizon
     )
 
 
+def part_sums(windows: DataFrame, part: Column, since: int | Column | None = None) -> DataFrame:
+    """What a ranking needs of the windows of each (symbol, part), one row each; ``part`` grows with time.
+
+    A part that ``since`` cuts gives two rows; ``counted`` tells the windows after ``since`` from the others.
+    """
+    counted = F.lit(True) if since is None else F.col("window_start") > F.lit(since)
+    rows = windows.withColumns({"part": part.cast("bigint"), "counted": counted})
+    t = "window_start"
+    own = Window.partitionBy("symbol", "part", "counted").orderBy(t)
+    return rows.withColumn("_prev", F.lag("close_price").over(own)).groupBy("symbol", "part", "counted").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum("volume"), F.lit(0.0)).alias("volume"),
+        F.min(t).alias("first_start"),
+        F.coalesce(F.min_by("volume", t), F.lit(0.0)).alias("first_volume"),
+        F.max(t).alias("last_start"),
+        F.max_by("close_price", t).alias("last_close"),
+        F.max_by("_prev", t).alias("before_last"),
+        F.max_by("timestamp", t).alias("timestamp"),
+    )
+
+
+def change_of_parts(sums: DataFrame) -> DataFrame:
+    """:func:`latest_change` of :func:`rolling_window_change`, from part sums instead of windows.
+
+    A symbol's first window has no change and does not count.
+    """
+    own = Window.partitionBy("symbol").orderBy("first_start")
+    rows = sums.withColumn("_last", F.lag("last_close").over(own)).withColumn("_first", F.row_number().over(own) == 1)
+    volume = F.col("volume") - F.when(F.col("_first"), F.col("first_volume")).otherwise(0.0)
+    before = F.when(F.col("n") > 1, F.col("before_last")).otherwise(F.col("_last"))
+    t = "last_start"
+    return (
+        rows.groupBy("symbol")
+        .agg(
+            F.max_by("last_close", t).alias("price"),
+            F.max_by(before, t).alias("_before"),
+            F.coalesce(F.sum(F.when(F.col("counted"), volume)), F.lit(0.0)).alias("volume"),
+            F.max_by("timestamp", t).alias("timestamp"),
+        )
+        .filter(F.col("_before").isNotNull())
+        .select(
+            "symbol", "price", change_pct("price", "_before").alias("percent_change"), "volume",
+            F.lit(None).cast("double").alias("market_cap"), "timestamp",
+        )
+    )
+
+
 def top_gainers(df: DataFrame, n: int = 1000) -> DataFrame:
     return df.orderBy(F.col("percent_change").desc(), "symbol").limit(n)
 

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.series import MIN_ROWS, SLICE, decided, sliced, with_slices
+from tickloom.operators.series import MIN_ROWS, SLICE, decided, second_of, sliced, with_slices
 from tickloom.schemas import DAY_MS
 
 # Rows per block. decay ** -BLOCK must stay a finite double: 3 ** 512 is about 1e244.
@@ -49,7 +49,7 @@ class _Ema:
 
 
 def _numbered(df, keys, order, width, min_rows, cut, like) -> DataFrame:
-    rows = with_slices(df, keys, order[0], width, min_rows, cut, like)
+    rows = with_slices(df, keys, order[0], width, min_rows, cut, like, second_of(df, order))
     position = F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*order)) - 1
     return (
         rows.withColumn("_i", position)

@@ -11,7 +11,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import bucket_start, change_pct
+from tickloom.functions.scalars import bucket_start, change_pct, turn
 from tickloom.schemas import INTERVAL_MS, MINUTE_MS
 
 
@@ -100,31 +100,29 @@ def max_price(df: DataFrame, price: str = "price") -> DataFrame:
 def window_close(df: DataFrame, width: int = MINUTE_MS) -> DataFrame:
     """Last close and total quote volume per (window, symbol) of closed candles.
 
-    Of candles with the same time the one with the largest close is the last.
+    Of candles with the same time the one with the largest close is the last; null closes are none.
     """
-    # Ties in time are settled first, so that both steps are hash aggregates over plain numbers.
-    points = df.groupBy("symbol", bucket_start("openTime", width).alias("window_start"), "openTime").agg(
-        F.max("close").alias("close"), F.sum("quoteVolume").alias("quoteVolume")
-    )
-    return points.groupBy("symbol", "window_start").agg(
-        F.max_by("close", "openTime").alias("close_price"),
+    start = bucket_start("openTime", width)
+    return df.groupBy("symbol", start.alias("window_start")).agg(
+        F.max_by("close", turn(F.col("openTime") - start, "close")).alias("close_price"),
         F.max("openTime").alias("timestamp"),
         F.sum("quoteVolume").alias("volume"),
     )
 
 
 def window_gain(df: DataFrame, width: int = MINUTE_MS, price: str = "price", time: str = "time") -> DataFrame:
-    """First and last price, percentage change and trade count per (window, symbol)."""
-    # Ties in time are settled first, so that both steps are hash aggregates over plain numbers.
-    points = df.groupBy("symbol", bucket_start(time, width).alias("window_start"), F.col(time).alias("_t")).agg(
-        F.min(price).alias("_low"), F.max(price).alias("_high"), F.count("symbol").alias("_n")
-    )
+    """First and last price, percentage change and trade count per (window, symbol).
+
+    At one time the least price is the first and the largest the last; null prices are none.
+    """
+    start = bucket_start(time, width)
+    order = turn(F.col(time) - start, price)
     return (
-        points.groupBy("symbol", "window_start")
+        df.groupBy("symbol", start.alias("window_start"))
         .agg(
-            F.min_by("_low", "_t").alias("open_price"),
-            F.max_by("_high", "_t").alias("close_price"),
-            F.sum("_n").alias("trade_count"),
+            F.min_by(price, order).alias("open_price"),
+            F.max_by(price, order).alias("close_price"),
+            F.count("symbol").alias("trade_count"),
         )
         .select(
             "symbol", "window_start", "open_price", "close_price",

@@ -34,8 +34,8 @@ HALO = "_halo"
 MAX_PARTS = 65_536
 # Groups below this size are never cut.
 MIN_ROWS = 1_000_000
-# A sub-bucket that is still above the limit, as in a burst, is cut at this many quantiles of its times.
-BURST_PARTS = 64
+# Quantiles of a slice that one job looks at; a slice of more than as many limits takes several jobs.
+QUANTILES = 256
 
 
 def cut_table(
@@ -69,49 +69,99 @@ def cut_table(
     )
 
 
-def decided(df: DataFrame, keys: Sequence[str], time: str, width: int, min_rows: int = MIN_ROWS) -> DataFrame | None:
-    """The cut table as a constant, ``keys, _parts, _bursts``; None if no symbol is to be cut.
+def decided(
+    df: DataFrame, keys: Sequence[str], time: str, width: int, min_rows: int = MIN_ROWS, sub: str | None = None
+) -> DataFrame | None:
+    """The cut table as a constant, ``keys, _parts, _bursts, _ties``; None if no symbol is to be cut.
 
-    Sub-buckets even in time leave a burst whole. Those still above the limit get ``_bursts``, a map
-    from the sub-bucket to the times at which it is cut, quantiles of its rows. Rows of one time stay
-    together.
+    Sub-buckets even in time leave a burst whole. Slices still above the limit are cut at as many
+    quantiles of their times as their rows ask for, again and again until none is above it or all its
+    rows have one time. Those are cut at quantiles of the integer column ``sub``, the next one of the
+    order; without it, rows of one time stay together. ``_bursts`` maps an even sub-bucket to the times at
+    which it is cut, ``_ties`` a time to the values of ``sub`` at which its rows are.
     """
     keys = list(keys)
     found = cut_table(df, keys, time, width, min_rows).collect()
     if not found:
         return None
-    spark = df.sparkSession
-    plain = spark.createDataFrame(found, StructType([*df.select(*keys).schema, *_CUT]))
-    split = [i / BURST_PARTS for i in range(1, BURST_PARTS)]
-    none = F.map_from_arrays(F.array().cast("array<bigint>"), F.array().cast("array<array<bigint>>"))
-    bursts = (
-        df.select(*keys, time).join(F.broadcast(plain.withColumn("_bursts", none)), keys)
-        .withColumn(SLICE, slice_start(time, width))
-        .groupBy(*keys, SLICE)
-        .agg(F.count(F.lit(1)).alias("_n"), F.max("_limit").alias("_limit"), F.percentile_approx(time, split, 10_000).alias("_at"))
-        .filter(F.col("_n") > F.col("_limit"))
-        .groupBy(*keys)
-        .agg(F.map_from_entries(F.collect_list(F.struct(SLICE, F.array_distinct("_at")))).alias("_bursts"))
-        .collect()
-    )
-    at = {tuple(r[k] for k in keys): r["_bursts"] for r in bursts}
-    rows = [(*(r[k] for k in keys), r["_parts"], at.get(tuple(r[k] for k in keys), {})) for r in found]
-    return spark.createDataFrame(rows, StructType([*df.select(*keys).schema, _CUT[0], _BURSTS]))
+    limits = {tuple(r[k] for k in keys): r["_limit"] for r in found}
+    bursts: dict[tuple, dict[int, list[int]]] = {k: {} for k in limits}
+    ties: dict[tuple, dict[int, list[int]]] = {k: {} for k in limits}
+    scale = 1
 
+    def table() -> DataFrame:
+        rows = [(*k, r["_parts"], bursts[k], ties[k], scale) for r in found for k in [tuple(r[c] for c in keys)]]
+        return df.sparkSession.createDataFrame(rows, StructType([*df.select(*keys).schema, *_CUT]))
 
-_CUT = [StructField("_parts", MapType(LongType(), LongType())), StructField("_limit", LongType())]
-_BURSTS = StructField("_bursts", MapType(LongType(), ArrayType(LongType())))
+    def heavy(rows: DataFrame, group: Sequence[str], value: str, one_time: bool) -> list:
+        """Slices above the limit with the values of a column that cut them into slices of the limit."""
+        limit = df.sparkSession.createDataFrame([(*k, n) for k, n in limits.items()], StructType([*df.select(*keys).schema, _LIMIT]))
+        split = [i / QUANTILES for i in range(1, QUANTILES)]
+        wanted = F.least(F.lit(QUANTILES), F.ceil(F.col("_n") / F.col("_limit")))
+        sizes = (
+            rows.groupBy(*keys, *group)
+            .agg(
+                F.count(F.lit(1)).alias("_n"), F.min(time).alias("_a"), F.max(time).alias("_z"),
+                F.percentile_approx(value, split, 20 * QUANTILES).alias("_at"),
+            )
+            .join(F.broadcast(limit), keys)
+        )
+        one = F.col("_a") == F.col("_z")
+        # Evenly spaced quantiles of those that were taken, as many as the slice needs.
+        at = F.filter("_at", lambda v, i: F.floor((i + 1) * wanted / QUANTILES) > F.floor(i * wanted / QUANTILES))
+        return sizes.filter((F.col("_n") > F.col("_limit")) & (one if one_time else ~one)).select(*keys, *group, "_a", at.alias("_at")).collect()
 
+    for _ in range(64):
+        rows = df.select(*keys, time).join(F.broadcast(table()), keys)
+        rows = rows.withColumns({"_even": _even_start(F.col(time), width), SLICE: slice_start(time, width)}).drop("_parts", "_bursts", "_ties")
+        dense = heavy(rows, ["_even", SLICE], time, False)
+        if not dense:
+            break
+        for r in dense:
+            own = bursts[tuple(r[k] for k in keys)]
+            # A value that fills a whole quantile is cut off behind too; its slice then has one time.
+            new = {v + d for v in r["_at"] for d in ((0, 1) if r["_at"].count(v) > 1 or v == r["_a"] else (0,))}
+            own[r["_even"]] = sorted({*own.get(r["_even"], []), *new})
+    if sub is not None:
+        rows = df.select(*keys, time, sub).join(F.broadcast(table()), keys).withColumn(SLICE, slice_start(time, width))
+        for r in heavy(rows, [SLICE], sub, True):
+            ties[tuple(r[k] for k in keys)][r["_a"]] = sorted(set(r["_at"]))
+        # Slices are numbered by their first time; those of one time need numbers in between.
+        most = max((len(v) for t in ties.values() for v in t.values()), default=0)
+        last = max((abs(t) for t_ in ties.values() for t in t_), default=0)
+        scale = 1 << most.bit_length()
+        if (last + 2 * width) * scale >= 1 << 62:
+            ties, scale = {k: {} for k in limits}, 1
+    return table()
 
-def slice_start(time: Column | str, width: int) -> Column:
-    """Slice id of a row joined to the cut table: 0 for an uncut symbol."""
-    t = F.col(time) if isinstance(time, str) else time
+
+_LIMIT = StructField("_limit", LongType())
+_CUT = [
+    StructField("_parts", MapType(LongType(), LongType())),
+    StructField("_bursts", MapType(LongType(), ArrayType(LongType()))),
+    StructField("_ties", MapType(LongType(), ArrayType(LongType()))),
+    StructField("_scale", LongType()),
+]
+
+
+def _even_start(t: Column, width: int) -> Column:
+    """Start of the sub-bucket, even in time, of a row joined to the cut table."""
     start = bucket_start(t, width)
     parts = F.coalesce(F.try_element_at("_parts", start), F.lit(1).cast("long"))
     sub = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(width) / parts))
-    even = start + bucket_start(t - start, sub)
+    return start + bucket_start(t - start, sub)
+
+
+def slice_start(time: Column | str, width: int, sub: str | None = None) -> Column:
+    """Slice id of a row joined to the cut table: 0 for an uncut symbol."""
+    t = F.col(time) if isinstance(time, str) else time
+    even = _even_start(t, width)
     burst = F.array_max(F.filter(F.try_element_at("_bursts", even), lambda cut: cut <= t))
-    return F.when(F.col("_parts").isNull(), F.lit(0).cast("long")).otherwise(F.coalesce(F.greatest(burst, even), even))
+    begin = F.coalesce(F.greatest(burst, even), even)
+    if sub is not None:
+        behind = F.size(F.filter(F.try_element_at("_ties", t), lambda cut: cut <= F.col(sub)))
+        begin = begin * F.col("_scale") + F.greatest(F.coalesce(behind, F.lit(0)), F.lit(0))
+    return F.when(F.col("_parts").isNull(), F.lit(0).cast("long")).otherwise(begin)
 
 
 def with_slices(
@@ -122,20 +172,28 @@ def with_slices(
     min_rows: int = MIN_ROWS,
     cut: bool = True,
     like: DataFrame | None = None,
+    sub: str | None = None,
 ) -> DataFrame:
-    """Add ``_slice``; rows of one (keys, _slice) are contiguous in ``time``.
+    """Add ``_slice``; rows of one (keys, _slice) are contiguous in ``time``, or in ``time`` and ``sub``.
 
-    ``like`` is a frame with the same keys and times that is cheaper to count than ``df``.
+    ``like`` is a frame with the same keys, times and ``sub`` that is cheaper to count than ``df``.
     """
-    cuts = decided(like or df, keys, time, width, min_rows) if cut else None
+    cuts = decided(like or df, keys, time, width, min_rows, sub) if cut else None
     if cuts is None:
         return df.withColumn(SLICE, F.lit(0).cast("long"))
-    return sliced(df, cuts, keys, time, width)
+    return sliced(df, cuts, keys, time, width, sub=sub)
 
 
-def sliced(df: DataFrame, cuts: DataFrame, keys: Sequence[str], time: str, width: int, how: str = "left") -> DataFrame:
+def sliced(
+    df: DataFrame, cuts: DataFrame, keys: Sequence[str], time: str, width: int, how: str = "left", sub: str | None = None
+) -> DataFrame:
     joined = df.join(F.broadcast(cuts), list(keys), how)
-    return joined.withColumn(SLICE, slice_start(time, width)).drop("_parts", "_bursts")
+    return joined.withColumn(SLICE, slice_start(time, width, sub)).drop("_parts", "_bursts", "_ties", "_scale")
+
+
+def second_of(df: DataFrame, order: Sequence[str]) -> str | None:
+    """The second column of an order, if rows of one time can be cut by it."""
+    return order[1] if len(order) > 1 and dict(df.dtypes)[order[1]] in ("tinyint", "smallint", "int", "bigint") else None
 
 
 def _edge_rows(
@@ -155,7 +213,7 @@ def _edge_rows(
     the hand-over an equi join on (symbol, position), in which no key is heavy.
     """
     keys = list(keys)
-    rows = sliced(df, cuts, keys, order[0], width, "inner")
+    rows = sliced(df, cuts, keys, order[0], width, "inner", second_of(df, order))
     outward = [F.col(c).desc() if last else F.col(c).asc() for c in order]
     along = F.col(SLICE).asc() if last else F.col(SLICE).desc()
     sizes = rows.groupBy(*keys, SLICE).agg(F.least(F.count(F.lit(1)), F.lit(n)).alias("_size"))
@@ -190,6 +248,7 @@ def map_series(
     width: int = DAY_MS,
     min_rows: int = MIN_ROWS,
     cut: bool = True,
+    like: DataFrame | None = None,
 ) -> DataFrame:
     """Apply window expressions that look at most ``before`` rows back and ``after`` rows ahead.
 
@@ -199,14 +258,16 @@ def map_series(
     ``fn(df, Window.partitionBy(keys).orderBy(order))`` row for row.
 
     Deciding the cut runs a job that counts ``df``, which is cheap for a scan but not for the result
-    of an aggregation. Pass ``cut=False`` where a series is bounded by construction, such as one
+    of an aggregation: give a frame with the same keys and order that is cheaper to count as ``like``, or
+    pass ``cut=False`` where a series is bounded by construction, such as one
     row per time bucket; that is the plain window.
     """
     keys, order = list(keys), list(order)
-    cuts = decided(df, keys, order[0], width, min_rows) if cut else None
+    sub = second_of(df, order)
+    cuts = decided(like or df, keys, order[0], width, min_rows, sub) if cut else None
     if cuts is None:
         return fn(df, Window.partitionBy(*keys).orderBy(*order))
-    rows = sliced(df, cuts, keys, order[0], width).withColumn(HALO, F.lit(False))
+    rows = sliced(df, cuts, keys, order[0], width, sub=sub).withColumn(HALO, F.lit(False))
     for n, last in ((before, True), (after, False)):
         if n:
             edge = _edge_rows(df, cuts, keys, order, width, n, last)

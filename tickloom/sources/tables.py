@@ -53,12 +53,16 @@ def recent_or_latest_k(
     df: DataFrame, now: int | Column, periods: int = 40, order: Sequence[str] = ("openTime",)
 ) -> DataFrame:
     """Rows of the last ``periods`` five-minute steps; if there are fewer than ``periods`` of them
-    over all symbols, the newest max(periods, 40) rows of each symbol instead. Stays lazy."""
+    over all symbols, the newest max(periods, 40) rows of each symbol instead.
+
+    Which of the two is decided first, by a job that stops at ``periods`` recent rows; the plan that
+    comes back then scans the source once, for the rows it returns.
+    """
     since = F.lit(now) - 5 * MINUTE_MS * periods
     recent = df.filter(F.col(order[0]) >= since)
-    enough = recent.select(F.count(F.lit(1)).alias("n")).scalar() >= periods
-    fallback = latest_k_per_symbol(df, max(periods, 40), order=order)
-    return recent.filter(enough).unionByName(fallback.filter(~enough))
+    if recent.select(order[0]).limit(periods).count() >= periods:
+        return recent
+    return latest_k_per_symbol(df, max(periods, 40), order=order)
 
 
 def normalize_candles(df: DataFrame) -> DataFrame:

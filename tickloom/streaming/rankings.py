@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.functions.scalars import bucket_start, change_pct, ms_to_ts
-from tickloom.operators.ranking import latest_change, rolling_window_change, top_gainers
+from tickloom.functions.scalars import bucket_start, change_pct, ms_to_ts, turn
+from tickloom.operators.ranking import change_of_parts, part_sums, top_gainers
 from tickloom.operators.rollup import latest_price, max_price
 from tickloom.schemas import DAY_MS, HOUR_MS
 from tickloom.sources.messages import closed_only, valid_tick
@@ -24,6 +24,10 @@ RANKING_SCHEMA = (
     "symbol STRING, price DOUBLE, percent_change DOUBLE, volume DOUBLE, market_cap DOUBLE, "
     "timestamp BIGINT, expires_at BIGINT"
 )
+SUMS_SCHEMA = (
+    "symbol STRING, part_start BIGINT, counted BOOLEAN, n BIGINT, volume DOUBLE, first_start BIGINT, first_volume DOUBLE, "
+    "last_start BIGINT, last_close DOUBLE, before_last DOUBLE, timestamp BIGINT"
+)
 PRICES_SCHEMA = "symbol STRING, latest_price DOUBLE, trade_count BIGINT, updated_at TIMESTAMP"
 
 
@@ -31,16 +35,6 @@ def _event_time(stream: DataFrame, time: str, late: str) -> DataFrame:
     return stream.withColumn("event_ts", ms_to_ts(time)).withWatermark("event_ts", late)
 
 
-def _turn(time: str, price: str) -> Column:
-    """Orders rows by time and, at one time, by price, as one number.
-
-    A single number keeps the stateful aggregates hash aggregates. Prices count to a billionth and up
-    to a billion, which holds any quoted price; times have 19 digits.
-    """
-    scaled = F.greatest(F.least(F.col(price), F.lit(1e9)), F.lit(-1e9)).cast("decimal(20,9)")
-    return (F.col(time).cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)")).cast("decimal(29,0)") + scaled
-
-
 def stream_latest_price(stream: DataFrame, price: str = "price", time: str = "time") -> DataFrame:
     """Newest price and count per symbol, for complete mode; state is one row per symbol."""
     return (
@@ -69,7 +63,7 @@ def stream_window_close(stream: DataFrame, width: str = "1 minute", late: str =
         _event_time(stream, "openTime", late)
         .groupBy(F.window("event_ts", width), "symbol")
         .agg(
-            F.max_by("close", _turn("openTime", "close")).alias("close_price"),
+            F.max_by("close", turn("openTime", "close")).alias("close_price"),
             F.max("openTime").alias("timestamp"),
             F.sum("quoteVolume").alias("volume"),
         )
@@ -81,13 +75,13 @@ def stream_window_gain(
     stream: DataFrame, width: str = "1 minute", late: str = "2 minutes", price: str = "price", time: str = "time"
 ) -> DataFrame:
     """First and last price, change and count per event-time window."""
-    turn = _turn(time, price)
+    order = turn(time, price)
     return (
         _event_time(stream, time, late)
         .groupBy(F.window("event_ts", width), "symbol")
         .agg(
-            F.min_by(price, turn).alias("open_price"),
-            F.max_by(price, turn).alias("close_price"),
+            F.min_by(price, order).alias("open_price"),
+            F.max_by(price, order).alias("close_price"),
             F.count("symbol").alias("trade_count"),
         )
         .select(
@@ -143,29 +137,39 @@ def top_gainers_job(
 ) -> tuple[StreamingQuery, StateTable]:
     """Closed candles to a served ranking.
 
-    Spark's state holds only windows the watermark still allows to change. Finished windows live
-    in a table cut by ``part_ms``: a batch rewrites the parts it touches and drops those older
-    than the horizon. Returns the query and the ranking table.
+    Spark's state holds only windows the watermark still allows to change. Finished windows live in a
+    table cut by ``part_ms``, beside a table of what each (symbol, part) adds to a ranking. A batch
+    rewrites the parts it touches in both, and ranks from the sums; of the other parts' windows it reads
+    only the two that the ends of the horizon cut. Returns the query and the ranking table.
     """
     spark = klines.sparkSession
     part = bucket_start("window_start", part_ms)
     windows = StateTable(spark, f"{base}/windows", WINDOWS_SCHEMA, part)
+    sums = StateTable(spark, f"{base}/sums", SUMS_SCHEMA, F.col("part_start"))
     served = StateTable(spark, f"{base}/ranking", RANKING_SCHEMA)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
+        parts = windows.touched(batch)
         windows.merge(batch, batch_id, _upserted)
-        kept = windows.read()
-        newest = None
+        fresh = part_sums(windows.read(parts=parts), part).withColumnRenamed("part", "part_start")
+        sums.write(fresh, batch_id, parts)
+        told = sums.read()
+        oldest = None
         if horizon_ms is not None:
-            newest = kept.agg(F.max("window_start")).first()[0]
+            newest = told.agg(F.max("last_start")).first()[0]
             # Two horizons are kept so that the first window inside has its predecessor.
-            kept = kept.filter(F.col("window_start") > newest - 2 * horizon_ms)
-        changes = rolling_window_change(kept)
-        ranked = top_gainers(latest_change(changes, newest, horizon_ms or 0), n)
+            since, oldest = newest - horizon_ms, newest - 2 * horizon_ms
+            edges = {t - t % part_ms for t in (since, oldest)}
+            cut = part_sums(windows.read(parts=edges).filter(F.col("window_start") > oldest), part, since)
+            whole = told.filter(~F.col("part_start").isin(*edges) & (F.col("part_start") > oldest))
+            whole = whole.withColumn("counted", F.col("part_start") > since)
+            told = whole.unionByName(cut.withColumnRenamed("part", "part_start"))
+        ranked = top_gainers(change_of_parts(told), n)
         expiry = (F.unix_millis(F.current_timestamp()) + ttl_ms).alias("expires_at")
         served.write(ranked.select("*", expiry), batch_id, [0])
         served.prune(batch_id)
-        windows.prune(batch_id, None if newest is None else newest - 2 * horizon_ms - part_ms)
+        for table in (windows, sums):
+            table.prune(batch_id, None if oldest is None else oldest - part_ms)
 
     closed = valid_tick(closed_only(klines))
     changed = stream_window_close(closed, width, late)
