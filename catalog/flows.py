@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.base import CANDLES, TICKS, r, register, rounded
+from catalog.base import CANDLES, TICKS, USER_TICKS, r, register, rounded
 from catalog.books import _PARSED, MIXED, RULED, mixed_updates, ruled_updates
 from catalog.rankings import SHOWN, _show, change_sql, ranked_sql
 from tickloom.schemas import DAY_MS, HOUR_MS
@@ -20,15 +20,23 @@ def tick_stream(spark, d):
     return td.ticks_of(st.parquet_stream(spark, d, td.EVENTS_SCHEMA, "events.parquet"))
 
 
-def tick_batches(spark, d, batches=4):
-    """The same trades in ``batches`` files of equal numbers of ids, read one per micro-batch."""
+# Files of a micro-batch, each written by a task of its own.
+FILES = 4
+
+
+def _written(part, folder):
+    """``part`` as FILES files, the unit that a stream over the folder reads at once."""
+    part.repartition(FILES).write.mode("append").parquet(folder)
+
+
+def tick_batches(spark, d, batches=4, symbol="event_type"):
+    """The same trades in ``batches`` equal ranges of ids, one per micro-batch."""
     folder = run_dir(spark, "split")
     events = td.events(spark, d)
     top = events.agg(F.max("event_id")).first()[0]
     for i in range(batches):
-        part = events.filter(F.floor(F.col("event_id") * batches / (top + 1)) == i)
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", 1))
+        _written(events.filter(F.floor(F.col("event_id") * batches / (top + 1)) == i), folder)
+    return td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", FILES), symbol)
 
 
 def kline_batches(spark, d):
@@ -196,8 +204,8 @@ walk AS (
     FROM walk WHERE due AND whole GROUP BY 1""",
 )
 def stream_stateful_book(spark, d):
-    """Message by message with per-symbol state; number of publications and the last id per symbol."""
-    messages = ms.read_depth(td.mixed_depth_messages(tick_stream(spark, d)), keep=["seq"])
+    """Message by message with per-symbol state, over bounded micro-batches; publications and the last id per symbol."""
+    messages = ms.read_depth(td.mixed_depth_messages(tick_batches(spark, d)), keep=["seq"])
     emitted = sb.stateful_books(messages)
     base = run_dir(spark, "emitted")
     q = (
@@ -302,9 +310,84 @@ def stream_late_rows(spark, d):
     first = events.agg(F.min("ts")).first()[0]
     late = events.filter(F.unix_micros(F.col("ts").cast("timestamp")) < F.unix_micros(F.lit(first).cast("timestamp")) + LATE * 1000)
     # The watermark moves after a batch, so the late rows come two batches after the last one.
-    for part in (events, events.orderBy(F.desc("event_id")).limit(1).filter("false"), late):
-        part.coalesce(1).write.mode("append").parquet(folder)
-    stream = td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", 1))
+    _written(events, folder)
+    for _ in range(FILES):
+        events.filter("false").coalesce(1).write.mode("append").parquet(folder)
+    _written(late, folder)
+    stream = td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", FILES))
     q, table = sr.gains_job(stream, run_dir(spark, "gains"), "1 hour", part_ms=7 * DAY_MS, retention_ms=None)
     drain(q)
     return table.read().select("symbol", "window_start", "trade_count")
+
+
+# A user's trades expire after thirty hours of silence.
+SILENCE = 30 * HOUR_MS
+
+
+@register(
+    "stream_trade_tape_expiry",
+    f"""WITH {USER_TICKS}, paused AS (
+      SELECT *, CASE WHEN "time" - lag("time") OVER w >= {SILENCE} THEN "time" END AS pause
+      FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY "time", "tradeId")),
+    told AS (
+      SELECT *, max(pause) OVER (PARTITION BY symbol) AS begin, max("time") OVER (PARTITION BY symbol) AS last FROM paused)
+    SELECT symbol, price, quantity, "time", "isBuyerMaker", "tradeId" FROM told
+    WHERE (begin IS NULL OR "time" >= begin) AND last + {SILENCE} > (SELECT max("time") FROM ticks)
+    QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "time" DESC, "tradeId" DESC) <= 50""",
+)
+def stream_trade_tape_expiry(spark, d):
+    """Four micro-batches of many symbols; those that fall silent leave the stored tape."""
+    trades = ms.parse_trades(td.trade_messages(tick_batches(spark, d, symbol="user_id")))
+    q, tape = ss.trade_tape_job(trades, run_dir(spark, "tape"), 50, ttl_ms=SILENCE)
+    drain(q)
+    return tape.read()
+
+
+def repeated_batches(spark, d, batches=4):
+    """Candle updates in micro-batches, each with the last hours of the one before it and some of the first one again."""
+    folder = run_dir(spark, "again")
+    events = td.events(spark, d)
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    size = (high - low + batches) // batches
+    for i in range(batches):
+        begin = low + i * size
+        part = events.filter((F.col("event_id") >= begin) & (F.col("event_id") < begin + size))
+        if i:
+            near = events.filter((F.col("event_id") >= begin - 20) & (F.col("event_id") < begin))
+            part = part.unionByName(near)
+        if i == batches - 1:
+            part = part.unionByName(events.filter(F.col("event_id") < low + 20))  # far behind the watermark
+        _written(part, folder)
+    ticks = td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", FILES))
+    return ms.parse_klines(td.kline_messages(ticks), keep=["seq"])
+
+
+@register(
+    "stream_first_closed_batches",
+    f"""WITH {CANDLES} SELECT DISTINCT symbol, "openTime", 1::BIGINT AS closes, 1::BIGINT AS arrivals FROM candles
+    WHERE volume >= 10""",
+)
+def stream_first_closed_batches(spark, d):
+    """Closed candles once, though the next batch and one past the watermark bring some of them again."""
+    q, first = ss.first_closed_job(repeated_batches(spark, d), run_dir(spark, "first"), "2 days")
+    drain(q)
+    # The stored table beside it has the last write of every candle.
+    q, candles, _ = ss.candle_store_job(repeated_batches(spark, d), run_dir(spark, "store"), None, 7 * DAY_MS)
+    drain(q)
+    seen = first.read().groupBy("symbol", "openTime").agg(F.count(F.lit(1)).alias("arrivals"))
+    kept = candles.read().groupBy("symbol", "openTime").agg(F.count_distinct("close").alias("closes"))
+    return seen.join(kept, ["symbol", "openTime"], "full")
+
+
+@register(
+    "stream_text_messages",
+    f"""WITH {TICKS} SELECT symbol, price, quantity, "time", "isBuyerMaker", "tradeId" FROM ticks""",
+)
+def stream_text_messages(spark, d):
+    """Trades from a stream of binary values, as a message broker delivers them."""
+    folder = run_dir(spark, "values")
+    td.trade_messages(td.ticks(spark, d)).select(F.col("value").cast("binary").alias("value")).write.parquet(folder)
+    raw = st.parquet_stream(spark, folder, "value BINARY", "*.parquet", FILES)
+    q, out = ss.append_job(ms.parse_trades(st.text_messages(raw)), run_dir(spark, "trades"), ss.TAPE_SCHEMA)
+    drain(q)
+    return out.read().drop("batch")

@@ -2,9 +2,8 @@
 
 :func:`book_job` is relational: a batch is replayed on the stored book with the batch operator, so
 a busy symbol is spread over tasks. :func:`stateful_books` follows one message after the other per
-symbol and therefore also knows the rules that depend on the previous decision: messages without an
-id, ids on another scale, and waiting for a baseline. Its groups are bounded by the source's
-per-trigger limit.
+symbol, which can also publish each state of a book and wait for a baseline over several batches. Its
+groups are bounded by the source's per-trigger limit.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tickloom.operators.book import last_update_id, replay_book
+from tickloom.operators.book import FAR, last_update_id, replay_book
 from tickloom.streaming.run import start, use_rocksdb
 from tickloom.streaming.state import StateTable, by_symbol
 
@@ -88,7 +87,8 @@ class BookProcessor(StatefulProcessor):
     ``force_ms``. A book with an empty side is not published, though its turn is used up.
 
     A message of kind 'baseline' replaces the book and sets the id. With ``wait``, messages are held
-    back until the first baseline; then those newer than it are applied and the others dropped.
+    back until the first baseline; then those newer than it are applied and the others dropped, as in
+    ``decided_messages``, which decides the same for tables.
     """
 
     def __init__(self, limit: int = 100, every_ms: int = 100, force_ms: int = 1000, wait: bool = False):
@@ -112,9 +112,9 @@ class BookProcessor(StatefulProcessor):
             return [], False
         early = [_Message(*json.loads(text)) for (text,) in self.held.get()] if self.held.exists() else []
         self.held.clear()
-        baseline = found.pop(first)
-        newer = [m for m in [*early, *found] if m.u is None or m.u > (baseline.u or 0)]
-        return [baseline, *newer], True
+        baseline = found[first]
+        newer = [m for m in [*early, *found[:first]] if m.u is None or m.u > (baseline.u or 0)]
+        return [baseline, *newer, *found[first + 1 :]], True
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         messages = pd.concat(list(rows)).sort_values("seq")
@@ -130,7 +130,7 @@ class BookProcessor(StatefulProcessor):
             baseline = m.kind == "baseline"
             if not (m.bids or m.asks or baseline):
                 continue
-            if not baseline and m.u is not None and 0 < last and 0.01 * last <= m.u <= last:
+            if not baseline and m.u is not None and 0 < last and m.u <= last <= FAR * m.u:
                 continue
             before = (len(book["bid"]), len(book["ask"]), last)
             if baseline:

@@ -6,11 +6,11 @@ pre-aggregated by Spark and a symbol with very many new rows is cut down before
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.functions.scalars import bucket_start
+from tickloom.functions.scalars import bucket_start, ms_to_ts
 from tickloom.operators.book import changed_only
 from tickloom.operators.serving import retain_last
 from tickloom.schemas import DAY_MS, HOUR_MS
@@ -68,20 +68,44 @@ def retained(candles: DataFrame, now_ms: int, retention_ms: int = DAY_MS) -> Dat
 
 
 def trade_tape_job(
-    trades: DataFrame, base: str, k: int = 100, checkpoint: str | None = None, every: str | None = None
+    trades: DataFrame, base: str, k: int = 100, checkpoint: str | None = None, every: str | None = None, ttl_ms: int | None = None
 ) -> tuple[StreamingQuery, StateTable]:
-    """The newest k trades per symbol. State is at most k rows per symbol."""
+    """The newest k trades per symbol. State is at most k rows per symbol.
+
+    With ``ttl_ms`` a symbol's trades expire when that long has passed since its last one, by the clock of
+    the newest trade of any symbol: they leave the stored table in the batch that shows it, and
+    trades before such a pause do not come back with the next ones.
+    """
     tape = StateTable(trades.sparkSession, base, TAPE_SCHEMA, by_symbol())
+    columns = [c.split()[0] for c in TAPE_SCHEMA.split(", ")]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        tape.merge(batch, batch_id, lambda old, new: retain_last(old.unionByName(new), k))
+        if ttl_ms is None:
+            tape.merge(batch, batch_id, lambda old, new: retain_last(old.unionByName(new), k))
+        else:
+            held = tape.read(batch_id)
+            last = held.groupBy("symbol").agg(F.max("time").alias("time"))
+            now = max(t for t in (batch.agg(F.max("time")).first()[0], last.agg(F.max("time")).first()[0]) if t is not None)
+            # Parts without new trades are rewritten only if one of their symbols has gone silent.
+            parts = sorted({*tape.touched(batch), *tape.touched(last.filter(F.col("time") + ttl_ms <= now))})
+            merged = retain_last(tape.read(batch_id, parts).unionByName(batch.select(*columns)), k)
+            tape.write(live_tape(since_pause(merged, ttl_ms), now, ttl_ms), batch_id, parts)
         tape.prune(batch_id)
 
     return start(trades, on_batch, "append", checkpoint, every), tape
 
 
+def since_pause(tape: DataFrame, ttl_ms: int) -> DataFrame:
+    """A symbol's trades after its last pause of ``ttl_ms`` or more; a tape has few rows per symbol."""
+    own = Window.partitionBy("symbol")
+    pause = F.col("time") - F.lag("time").over(own.orderBy("time", "tradeId")) >= ttl_ms
+    rows = tape.withColumn("_pause", F.when(pause, F.col("time")))
+    begin = F.max("_pause").over(own)
+    return rows.withColumn("_begin", begin).filter(F.col("_begin").isNull() | (F.col("time") >= F.col("_begin"))).drop("_pause", "_begin")
+
+
 def live_tape(tape: DataFrame, now_ms: int, ttl_ms: int = 30 * 60_000) -> DataFrame:
     """Symbols whose last trade is older than the time to live are gone."""
     last = tape.groupBy("symbol").agg(F.max("time").alias("_last"))
@@ -90,6 +114,37 @@ def live_tape(tape: DataFrame, now_ms: int, ttl_ms: int = 30 * 60_000) -> DataFr
     )
 
 
+def first_closed(klines: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """Each closed candle once, by (symbol, openTime), at its first arrival.
+
+    The watermark bounds the state: a copy that comes within ``late`` of the newest candle is known, a
+    later one is older than the watermark and dropped as late.
+    """
+    closed = valid_tick(closed_only(klines)).withColumn("_at", ms_to_ts("openTime"))
+    return closed.withWatermark("_at", late).dropDuplicatesWithinWatermark([*CANDLE_KEY]).drop("_at")
+
+
+def append_job(
+    rows: DataFrame, base: str, schema: str, checkpoint: str | None = None, every: str | None = None
+) -> tuple[StreamingQuery, StateTable]:
+    """Every batch as a part of its own, which a replay replaces; ``schema`` names the columns that are kept."""
+    table = StateTable(rows.sparkSession, base, schema + ", batch BIGINT", F.col("batch"))
+    columns = [c.split()[0] for c in schema.split(", ")]
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            table.write(batch.select(*columns, F.lit(batch_id).cast("long").alias("batch")), batch_id, [batch_id])
+
+    return start(rows, on_batch, "append", checkpoint, every), table
+
+
+def first_closed_job(
+    klines: DataFrame, base: str, late: str = "10 minutes", checkpoint: str | None = None, every: str | None = None
+) -> tuple[StreamingQuery, StateTable]:
+    """Closed candles as they are first seen; :func:`candle_store_job` keeps the last write."""
+    return append_job(first_closed(klines, late), base, CANDLES_SCHEMA, checkpoint, every)
+
+
 def live_candles_job(
     klines: DataFrame, base: str, keep: int = 200, checkpoint: str | None = None, every: str | None = None
 ) -> tuple[StreamingQuery, StateTable]:
