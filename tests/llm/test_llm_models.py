@@ -322,3 +322,56 @@ def test_pipeline_against_brute_force(spark, sf_dir):
     got = {r.doc_id: r.n for r in mixed.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
     assert got == want
     assert mixed.columns == [*docs.columns, "copy"]
+
+
+def invented(rng, n):
+    return ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randrange(2, 5))) for _ in range(n)]
+
+
+def test_the_latent_search_finds_what_no_word_count_does(spark, monkeypatch):
+    """Words in another order and the answer as it was: too little in order, but near in the latent space."""
+    rng = random.Random(8)
+    items = [invented(rng, 40) for _ in range(60)]
+    text = lambda w: " ".join(w[:28]).capitalize() + ". " + " ".join(w[28:]).capitalize() + "."
+    turned = lambda w: [*w[:6], *w[27:5:-1], *w[28:]]
+    docs = [(i, " ".join(invented(rng, 60)) + " " + text(turned(w)) + " " + " ".join(invented(rng, 60))) for i, w in enumerate(items)]
+    docs += [(100 + i, " ".join(invented(rng, 200))) for i in range(60)]
+    bench = spark.createDataFrame([(i, text(w)) for i, w in enumerate(items)], "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench).collect()}
+    assert found <= {(i, i) for i in range(60)} and len(found) >= 54
+    blocks = list(decontaminate.blocks_of(bench, df))
+    monkeypatch.setattr(decontaminate.Items, "windows", lambda self, hashes: [])
+    assert sum(len(h) for items in blocks for h in items.hits([t for _, t in docs])) <= 3
+
+
+@pytest.mark.parametrize("n_items,n_words", [(40, 40), (2400, 40), (40, 300)])
+def test_recall_of_the_latent_search_alone(spark, n_items, n_words):
+    """Exact copies that the latent search finds without the word search beside it: at least nine tenths."""
+    rng = random.Random(n_items)
+    vocabulary = invented(rng, 3000)
+    some = lambda n: [vocabulary[min(int(rng.paretovariate(0.7)) - 1, 2999)] for _ in range(n)]
+    items = [" ".join(some(n_words)) for _ in range(n_items)]
+    chosen = rng.sample(range(n_items), 40)
+    texts = [" ".join(some(150)) + " " + items[i] + " " + " ".join(some(150)) for i in chosen]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    held = list(decontaminate.blocks_of(bench, docs))
+    latent = sum(any(hit[0] == i for h in held for hit in h.confirmed(decontaminate.word_hashes(t), {})) for i, t in zip(chosen, texts, strict=True))
+    both = sum(any(hit[0] == i for h in held for hit in h.hits([t])[0]) for i, t in zip(chosen, texts, strict=True))
+    assert both == 40 and latent >= 36
+
+
+def test_blocks_one_after_the_other_find_the_same(spark, monkeypatch):
+    """Several blocks of a benchmark with text ids; repeated documents and a null one beside."""
+    rng = random.Random(12)
+    items = [" ".join(invented(rng, 30)) for _ in range(30)]
+    texts = [None, "", *(" ".join(invented(rng, 50)) + " " + items[i] for i in (3, 3, 7, 20, 29))]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate([*texts, texts[-1]])], "doc_id long, text string, HITS string")
+    bench = spark.createDataFrame([(f"item {i}", t) for i, t in enumerate(items)], "item_id string, text string")
+    one = sorted((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect())
+    assert one == [(2, "item 3"), (3, "item 3"), (4, "item 7"), (5, "item 20"), (6, "item 29"), (7, "item 29")]
+    monkeypatch.setattr(decontaminate, "ITEMS", 8)
+    marked = decontaminate.mark(docs, bench)
+    assert marked.columns == ["doc_id", "text", "hits"] and marked.count() == len(texts) + 1
+    assert sorted((r.doc_id, h.item_id) for r in marked.collect() for h in r.hits) == one

@@ -5,17 +5,18 @@
    is never compared with an item many times its length. A randomised singular value decomposition of
    the benchmark's TF-IDF passages gives the latent space.
    Its passes over the passages run in Spark; the driver sees sums the size of the vocabulary only.
-3. Every window of ``2 * BLOCK`` words of a text is projected, and items with a passage within cosine
-   ``NEAR`` are near it. Windows overlap by half, so one of them holds at least half a window of any passage.
-   Words that the benchmark doesn't have count in no length, so that what a paraphrase puts in between
-   does not hide it.
-4. A fixed rank keeps less of each item as the benchmark grows, so a word search goes beside it: every
-   region that shares enough of an item's rarer words to pass the next step is a candidate, whatever its
-   cosine, and no other can pass. What is found thus depends neither on the rank nor on ``NEAR``; the
-   cosine of a candidate is that of the windows near the item, or else its best one.
-5. Around each run of candidates the longest common subsequence of words is taken, in regions a little
+3. Every window of ``2 * BLOCK`` words of a text is projected, and items with a passage within ``NEAR`` of
+   the cosine that the passage keeps with itself in the latent space are candidates, so that a space that
+   keeps less of each item as the benchmark grows loses no item by it. Windows overlap by half, so one of
+   them holds at least half a window of any passage. Words that the benchmark doesn't have count in no
+   length, so that what a paraphrase puts in between does not hide it.
+4. Around each run of candidates the longest common subsequence of words is taken, in regions a little
    longer than the item that start every ``BLOCK`` words. An item counts as found if it covers ``SAME``
-   of the item, or ``ALIKE`` and the answer, the item's last sentence, is there as well.
+   of the item, or ``ALIKE`` and the answer, the item's last sentence, is there as well; within ``CLOSE`` of
+   that cosine ``LOOSE`` of the item is enough beside the answer.
+5. A word search is the safety net: regions that share enough of an item's rarer words to pass the plain
+   check are checked too, where the latent search has found nothing. ``latent`` tells by which of the two
+   an item was found.
 
 Texts never move: windows, candidates and checks happen where a text lies, against a block of at most
 ``ITEMS`` items that is sent to the executors; a larger benchmark takes one pass per block.
@@ -27,6 +28,7 @@ or benchmark gives no hits.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections.abc import Iterable, Iterator
@@ -37,13 +39,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import shipped, small_batches, stored
+from tickloom.llm.common import free_name, shipped, small_batches, stored
 
 BUCKETS = 1 << 16  # hashed vocabulary
 RANK, EXTRA, POWERS = 128, 16, 2  # of the decomposition
 BLOCK = 16  # words
 PASSAGE = 4 * BLOCK
-NEAR = 0.3
+NEAR = 0.4  # of the cosine that a passage would have with itself
+CLOSE, LOOSE = 0.8, 0.4  # a paraphrase so near needs no more than this share of the item in order, and the answer
 SAME, ALIKE, ANSWER = 0.7, 0.5, 0.6
 SHORT = 8
 ITEMS = 20_000  # items sent to the executors at a time
@@ -337,6 +340,7 @@ class Items:
     space: np.ndarray  # projection times inverse document frequency
     squares: np.ndarray  # squared inverse document frequency of the benchmark's buckets, 0 for others
     rare: Words
+    kept: np.ndarray  # share of each passage's length that the latent space keeps
     masks: dict = field(default_factory=dict, repr=False)  # item -> word -> bits of its places; filled in tasks
 
     def windows(self, hashes: np.ndarray) -> list[tuple[int, int, float]]:
@@ -356,7 +360,7 @@ class Items:
             if whole > 1:
                 sums, length = sums[:-1] + sums[1:], length[:-1] + length[1:]
             cosines = (sums / np.sqrt(np.maximum(length, 1e-9))[:, None]) @ self.vectors
-            window, passage = np.nonzero(cosines >= NEAR)
+            window, passage = np.nonzero(cosines >= NEAR * self.kept)
             found += zip(self.owners[passage].tolist(), (window + at).tolist(), cosines[window, passage].tolist(), strict=True)
         return found
 
@@ -378,26 +382,38 @@ class Items:
         return [self.confirmed(hashes, shared) for hashes, shared in zip(hashed, self.rare.search(hashed), strict=True)]
 
     def confirmed(self, hashes: np.ndarray, shared: dict[int, list[tuple[int, int]]]) -> list[tuple]:
-        if not shared:
-            return []
         near: dict[int, list[tuple[int, float]]] = {}
         for item, window, cosine in self.windows(hashes):
             near.setdefault(item, []).append((window, cosine))
         found = []
-        for item, places in sorted(shared.items()):
-            best = None
-            for first, last in _runs(places):
-                got = self.check(item, hashes, first, last)
-                if got and (best is None or got[0] > best[0][0]):
-                    best = (got, first, last)
+        for item in sorted(near.keys() | shared.keys()):
+            blocks = blocks_in(len(self.words[item]))
+            places = [(max(w - blocks + 2, 0), w + 1) for w, _ in near.get(item, ())]
+            best = self.best_of(item, hashes, places, near.get(item, ()))
+            latent = best is not None
+            if best is None:
+                best = self.best_of(item, hashes, shared.get(item, ()), ())
             if best:
                 got, first, last = best
-                known = [c for w, c in near.get(item, ()) if first <= w < last + blocks_in(len(self.words[item]))]
+                known = [c for w, c in near.get(item, ()) if first <= w < last + blocks]
                 cosine = max(known) if known else self.cosine(item, hashes[got[2] : got[2] + span_of(len(self.words[item]))])
-                found.append((self.ids[item], cosine, *got))
+                found.append((self.ids[item], cosine, *got, latent))
         return found
 
-    def check(self, item: int, hashes: np.ndarray, first: int, last: int) -> tuple[float, bool, int] | None:
+    def best_of(self, item: int, hashes: np.ndarray, places: Iterable, near: Iterable) -> tuple | None:
+        """The best region that passes the check, with the stretch of candidates it lies in."""
+        best = None
+        for first, last in _runs(places):
+            close = max((c for w, c in near if first <= w <= last), default=0.0) >= CLOSE * self.least_kept(item)
+            got = self.check(item, hashes, first, last, close)
+            if got and (best is None or got[0] > best[0][0]):
+                best = (got, first, last)
+        return best
+
+    def least_kept(self, item: int) -> float:
+        return float(self.kept[self.owners == item].min())
+
+    def check(self, item: int, hashes: np.ndarray, first: int, last: int, close: bool = False) -> tuple[float, bool, int] | None:
         """(covered, answered, first word) of the best region that starts in these blocks, if it passes."""
         n = len(self.words[item])
         masks = self.masks.get(item)
@@ -411,7 +427,7 @@ class Items:
         region_words = hashes[start : stop + span].tolist()
         # Places of the item whose words occur at all bound the common subsequence from above: first
         # over the whole stretch, which clears most candidates, then region by region.
-        least = least_of(n)
+        least = math.ceil(LOOSE * n) if close and n >= SHORT else least_of(n)
         if sum(masks[w].bit_count() for w in masks.keys() & set(region_words)) < least:
             return None
         best = None
@@ -426,7 +442,7 @@ class Items:
             else:
                 tail = n - self.answers[item]
                 answered = (matched >> self.answers[item]).bit_count() >= ANSWER * tail
-                ok = covered >= SAME or covered >= ALIKE and answered
+                ok = covered >= SAME or answered and covered >= (LOOSE if close else ALIKE)
             if ok and (best is None or covered > best[0]):
                 best = (covered, answered, at)
         return best
@@ -490,26 +506,33 @@ def blocks_of(benchmark: DataFrame, docs: DataFrame, text: str = "text", bench_t
     count = math.ceil(number / ITEMS)
     for block in range(count):
         chosen = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block).collect()
-        chosen = sorted((r for r in chosen if r.text), key=lambda r: (r.item_id is None, r.item_id or 0, r.text))
+        chosen = sorted((r for r in chosen if r.text), key=lambda r: (r.item_id is None, str(r.item_id), r.text))
         words = [word_hashes(r.text) for r in chosen]
         chosen, words = [r for r, w in zip(chosen, words, strict=True) if len(w)], [w for w in words if len(w)]
         owned = [(i, passage) for i, w in enumerate(words) for passage in cut(buckets(w))]
-        latent = np.zeros((len(owned), space.shape[1]), np.float32)
+        latent, kept = np.zeros((len(owned), space.shape[1]), np.float32), np.ones(len(owned), np.float32)
         for i, (_, passage) in enumerate(owned):
             v = space[index[passage]].sum(axis=0)
-            latent[i] = v / max(float(np.sqrt((v * v).sum())), 1e-9)
+            length = max(float(np.sqrt((v * v).sum())), 1e-9)
+            latent[i] = v / length
+            # As windows are measured: by their words of the benchmark, each occurrence by itself.
+            kept[i] = min(1.0, length / max(float(np.sqrt(idf[passage] @ idf[passage])), 1e-9))
         yield Items(
             [r.item_id for r in chosen], words, [_answer_start(r.text) for r in chosen], np.ascontiguousarray(latent.T),
-            np.array([i for i, _ in owned], np.int64), index, space, np.where(index < len(held), idf * idf, 0).astype(np.float32), Words.of(words, frequency, total),
+            np.array([i for i, _ in owned], np.int64), index, space, np.where(index < len(held), idf * idf, 0).astype(np.float32), Words.of(words, frequency, total), kept,
         )
 
 
-FIELDS = ("item_id", "cosine", "covered", "answered", "first_word")
-HITS = "array<struct<item_id:long,cosine:double,covered:double,answered:boolean,first_word:long>>"
+FIELDS = ("item_id", "cosine", "covered", "answered", "first_word", "latent")
 
 
-def _finder(load):
-    @F.pandas_udf(HITS)
+def _hits_type(benchmark: DataFrame) -> str:
+    own = dict(benchmark.dtypes)["item_id"]
+    return f"array<struct<item_id:{own},cosine:double,covered:double,answered:boolean,first_word:long,latent:boolean>>"
+
+
+def _finder(load, kind: str):
+    @F.pandas_udf(kind)
     def hits(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = load()
         for batch in texts:
@@ -520,15 +543,35 @@ def _finder(load):
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "hits") -> DataFrame:
-    """``docs`` with an array column of the items found in each text; a column of that name is replaced."""
-    spark = docs.sparkSession
+    """``docs`` with an array column of the items found in each text; a column of that name is replaced.
+
+    A benchmark of several blocks takes one pass after the other, each with its own broadcast; the hits
+    of a pass are a table by text, told apart by 96 bits of hashes and the length.
+    """
+    spark, kind = docs.sparkSession, _hits_type(benchmark)
     small_batches(spark)
-    found = [_finder(shipped(spark, items))(F.col(text)) for items in blocks_of(benchmark, docs, text)]
-    none = F.array().cast(HITS)
-    return docs.withColumn(out, F.concat(*found) if len(found) > 1 else found[0] if found else none)
+    blocks = blocks_of(benchmark, docs, text)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
+        return docs.withColumn(out, F.array().cast(kind))
+    if second is None:
+        return docs.withColumn(out, _finder(shipped(spark, first), kind)(F.col(text)))
+    key, found = free_name(docs, "text_key"), []
+    named = F.struct(F.xxhash64(text).alias("a"), F.hash(text).alias("b"), F.length(text).alias("n"))
+    for items in itertools.chain([first, second], blocks):
+        first = second = None
+        hits = docs.select(named.alias(key), _finder(shipped(spark, items), kind)(F.col(text)).alias("h"))
+        found.append(stored(hits.where(F.size("h") > 0).dropDuplicates([key]), "hits"))
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    every = every.groupBy(key).agg(F.flatten(F.collect_list("h")).alias("h")).withColumnRenamed("h", free_name(docs, "found"))
+    columns = docs.withColumn(out, F.lit(None)).columns
+    joined = docs.drop(out).withColumn(key, named).join(every, key, "left")
+    return joined.withColumn(out, F.coalesce(free_name(docs, "found"), F.array().cast(kind))).select(columns)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, item_id, cosine, covered, answered, first_word: one row per document and item found in it."""
+    """doc_id, item_id, cosine, covered, answered, first_word, latent: one row per document and item found in it."""
     marked = mark(docs.select("doc_id", F.col(text).alias("text")), benchmark, out="hits")
     return marked.select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
