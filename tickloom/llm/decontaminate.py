@@ -341,6 +341,7 @@ class Items:
     squares: np.ndarray  # squared inverse document frequency of the benchmark's buckets, 0 for others
     rare: Words
     kept: np.ndarray  # share of each passage's length that the latent space keeps
+    least_kept: list[float]  # least of them per item
     masks: dict = field(default_factory=dict, repr=False)  # item -> word -> bits of its places; filled in tasks
 
     def windows(self, hashes: np.ndarray) -> list[tuple[int, int, float]]:
@@ -385,14 +386,18 @@ class Items:
         near: dict[int, list[tuple[int, float]]] = {}
         for item, window, cosine in self.windows(hashes):
             near.setdefault(item, []).append((window, cosine))
-        found = []
+        if not near and not shared:
+            return []
+        found, present = [], set(hashes.tolist())
         for item in sorted(near.keys() | shared.keys()):
             blocks = blocks_in(len(self.words[item]))
             places = [(max(w - blocks + 2, 0), w + 1) for w, _ in near.get(item, ())]
-            best = self.best_of(item, hashes, places, near.get(item, ()))
+            # Places of the item whose words the text has at all bound every region's common subsequence.
+            most = sum([bits.bit_count() for w, bits in self.places_of(item).items() if w in present])
+            best = self.best_of(item, hashes, places, near.get(item, ()), most)
             latent = best is not None
-            if best is None:
-                best = self.best_of(item, hashes, shared.get(item, ()), ())
+            if best is None and item in shared:
+                best = self.best_of(item, hashes, shared[item], (), most)
             if best:
                 got, first, last = best
                 known = [c for w, c in near.get(item, ()) if first <= w < last + blocks]
@@ -400,40 +405,49 @@ class Items:
                 found.append((self.ids[item], cosine, *got, latent))
         return found
 
-    def best_of(self, item: int, hashes: np.ndarray, places: Iterable, near: Iterable) -> tuple | None:
+    def best_of(self, item: int, hashes: np.ndarray, places: Iterable, near: Iterable, most: int) -> tuple | None:
         """The best region that passes the check, with the stretch of candidates it lies in."""
-        best = None
+        best, n, enough = None, len(self.words[item]), CLOSE * self.least_kept[item]
         for first, last in _runs(places):
-            close = max((c for w, c in near if first <= w <= last), default=0.0) >= CLOSE * self.least_kept(item)
+            close = any(c >= enough for w, c in near if first <= w <= last)
+            if most < self.least(n, close):
+                continue
             got = self.check(item, hashes, first, last, close)
             if got and (best is None or got[0] > best[0][0]):
                 best = (got, first, last)
         return best
 
-    def least_kept(self, item: int) -> float:
-        return float(self.kept[self.owners == item].min())
+    @staticmethod
+    def least(n: int, close: bool) -> int:
+        """Places of an item of ``n`` words without which no region passes the check."""
+        return math.ceil(LOOSE * n) if close and n >= SHORT else least_of(n)
 
-    def check(self, item: int, hashes: np.ndarray, first: int, last: int, close: bool = False) -> tuple[float, bool, int] | None:
-        """(covered, answered, first word) of the best region that starts in these blocks, if it passes."""
-        n = len(self.words[item])
+    def places_of(self, item: int) -> dict[int, int]:
+        """Word -> bits of its places in the item."""
         masks = self.masks.get(item)
         if masks is None:
             masks = self.masks[item] = {}
             for i, w in enumerate(self.words[item].tolist()):
                 masks[w] = masks.get(w, 0) | 1 << i
+        return masks
+
+    def check(self, item: int, hashes: np.ndarray, first: int, last: int, close: bool = False) -> tuple[float, bool, int] | None:
+        """(covered, answered, first word) of the best region that starts in these blocks, if it passes."""
+        n = len(self.words[item])
+        masks = self.places_of(item)
         span = span_of(n)
         ending = -(-max(len(hashes) - span, 0) // BLOCK)  # the first region that reaches the end holds all later ones
         start, stop = min(first, ending) * BLOCK, min(last, ending) * BLOCK
         region_words = hashes[start : stop + span].tolist()
         # Places of the item whose words occur at all bound the common subsequence from above: first
         # over the whole stretch, which clears most candidates, then region by region.
-        least = math.ceil(LOOSE * n) if close and n >= SHORT else least_of(n)
-        if sum(masks[w].bit_count() for w in masks.keys() & set(region_words)) < least:
+        least = self.least(n, close)
+        if sum([masks[w].bit_count() for w in masks.keys() & set(region_words)]) < least:
             return None
         best = None
         for at in range(start, stop + 1, BLOCK):
             region = region_words[at - start : at - start + span]
-            if sum(masks[w].bit_count() for w in masks.keys() & set(region)) < least:
+            if sum([masks[w].bit_count() for w in masks.keys() & set(region)]) < least:
                 continue
             matched = common(masks, n, region)
             covered = matched.bit_count() / n
@@ -517,9 +531,11 @@ def blocks_of(benchmark: DataFrame, docs: DataFrame, text: str = "text", bench_t
             latent[i] = v / length
             # As windows are measured: by their words of the benchmark, each occurrence by itself.
             kept[i] = min(1.0, length / max(float(np.sqrt(idf[passage] @ idf[passage])), 1e-9))
+        least = np.ones(len(words))
+        np.minimum.at(least, [i for i, _ in owned], kept)
         yield Items(
             [r.item_id for r in chosen], words, [_answer_start(r.text) for r in chosen], np.ascontiguousarray(latent.T),
-            np.array([i for i, _ in owned], np.int64), index, space, np.where(index < len(held), idf * idf, 0).astype(np.float32), Words.of(words, frequency, total), kept,
+            np.array([i for i, _ in owned], np.int64), index, space, np.where(index < len(held), idf * idf, 0).astype(np.float32), Words.of(words, frequency, total), kept, least.tolist(),
         )
 
 
