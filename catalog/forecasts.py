@@ -263,7 +263,7 @@ def fitted_model_params(spark, d):
     for the solution and for nothing else.
     """
     rows = _training_rows(spark, d)
-    _, params = jobs.train(rows)
+    _, params = jobs.train(rows, pipeline=False)
     train = ml.score(rows.withColumn("fold", ml.hash_fold("symbol", "openTime")), params).filter("fold = 'train'")
     miss = F.col("prediction") - F.col("target")
     # A feature that never changes has no deviation and no equation.
@@ -285,7 +285,7 @@ def fitted_model_params(spark, d):
 def fitted_model_quality(spark, d):
     """Fit, then score every row by the column expression and evaluate per fold."""
     rows = _training_rows(spark, d)
-    _, params = jobs.train(rows)
+    _, params = jobs.train(rows, pipeline=False)
     folds = rows.withColumn("fold", ml.hash_fold("symbol", "openTime"))
     found = ml.evaluate(ml.score(folds, params), by=("fold",))
     return found.select("fold", "rows", ((F.col("r2") > 0) & (F.col("r2") <= 1) & (F.col("mae") <= F.col("rmse"))).alias("explains"))

@@ -52,6 +52,18 @@ def test_expression_equals_pipeline_and_round_trip(spark, rows, tmp_path):
         ml.load_params(spark, str(tmp_path / "nothing"))
 
 
+@pytest.mark.parametrize("offset", [0.0, 1e7])
+def test_moments_give_the_pipelines_parameters(rows, offset):
+    """One pass of moments against the pipeline's passes, also far from zero and with a constant feature."""
+    moved = rows.withColumns({f: F.col(f) + offset for f in FEATURES}).withColumn(FEATURES[3], F.lit(7.0))
+    a, b = ml.fit_params(moved), ml.model_params(ml.fit(moved))
+    for x, y in ((a.coefficients, b.coefficients), (a.scaler_mean, b.scaler_mean), (a.scaler_std, b.scaler_std)):
+        assert np.allclose([x[f] for f in FEATURES], [y[f] for f in FEATURES], rtol=1e-4, atol=1e-4)
+    assert a.intercept == pytest.approx(b.intercept, abs=1e-6) and a.coefficients[FEATURES[3]] == 0.0
+    with pytest.raises(ValueError):
+        ml.fit_params(rows.limit(99))
+
+
 def test_training_needs_rows(rows):
     with pytest.raises(ValueError):
         ml.fit(rows.limit(99))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -80,6 +81,50 @@ def fit(train: DataFrame, label: str = "target", features: list[str] | None = No
     ).fit(train)
 
 
+def moments(rows: DataFrame, columns: list[str]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of complete rows, means, and sample covariances of ``columns``, in one pass.
+
+    Every task keeps centred sums, which are merged pairwise, so large offsets cost no precision; one row
+    reaches the driver.
+    """
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    row = rows.dropna(subset=columns).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[(F.min(c) < F.max(c)).alias(f"v{i}") for i, c in enumerate(columns)],
+        *[F.covar_samp(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs],
+    ).first()
+    means = np.array([row[f"m{i}"] or 0.0 for i in range(len(columns))])
+    spread = np.zeros((len(columns), len(columns)))
+    for i, j in pairs:
+        # Merged sums of a constant may differ in the last bit, which is no variation.
+        spread[i, j] = spread[j, i] = row[f"c{i}_{j}"] or 0.0 if row[f"v{i}"] and row[f"v{j}"] else 0.0
+    return row["n"], means, spread
+
+
+def fit_params(train: DataFrame, label: str = "target", features: list[str] | None = None, penalty: float = 0.1) -> ModelParams:
+    """The parameters of :func:`fit` from one pass of moments and one solve.
+
+    The ridge's normal equations in features and label of unit deviation; a feature that never changes has
+    coefficient zero.
+    """
+    features = list(features or FEATURES)
+    n, means, spread = moments(train, [*features, label])
+    if n < MIN_TRAINING_ROWS:
+        raise ValueError(f"need at least {MIN_TRAINING_ROWS} training rows")
+    std = np.sqrt(np.maximum(np.diag(spread), 0.0))
+    live = np.flatnonzero(std[:-1] > 0)
+    coefficients, own = np.zeros(len(features)), std[-1]
+    if own > 0 and len(live):
+        scaled = spread[np.ix_(live, live)] / np.outer(std[live], std[live])
+        target = spread[live, -1] / (std[live] * own)
+        # The penalty is per deviation of the label, which is taken over n here and over n - 1 elsewhere.
+        ridge = penalty / (own * np.sqrt((n - 1) / n)) * np.eye(len(live))
+        coefficients[live] = np.linalg.solve(scaled + ridge, target) * own
+    named = lambda values: dict(zip(features, map(float, values), strict=True))
+    return ModelParams(float(means[-1]), named(coefficients), named(means[:-1]), named(std[:-1]), features)
+
+
 def model_params(model: PipelineModel, features: list[str] | None = None) -> ModelParams:
     features = list(features or FEATURES)
     scaler, regression = model.stages[1], model.stages[2]

@@ -59,10 +59,10 @@ def training_rows(
     return drop_null_features(feature_table(recent, **series), with_target=True)
 
 
-def train(rows: DataFrame) -> tuple[object, ml.ModelParams]:
+def train(rows: DataFrame, pipeline: bool = True) -> tuple[object | None, ml.ModelParams]:
     """Fit on four fifths of the keys, evaluate on both folds, and keep the numbers with the model.
 
-    Scaling, solving and evaluating each pass over the rows, so the features are computed once and
+    Without ``pipeline`` there is no pipeline model, only its parameters, from one pass of moments. Scaling, solving and evaluating each pass over the rows, so the features are computed once and
     stored in the shared folder, where they also survive the loss of an executor.
     """
     spark = rows.sparkSession
@@ -70,8 +70,9 @@ def train(rows: DataFrame) -> tuple[object, ml.ModelParams]:
     kept = rows.select("symbol", "openTime", "target", *FEATURES)
     kept.withColumn("fold", ml.hash_fold("symbol", "openTime")).write.parquet(path)
     folds = spark.read.parquet(path)
-    model = ml.fit(folds.filter(F.col("fold") == "train"))
-    params = ml.model_params(model)
+    fold = folds.filter(F.col("fold") == "train")
+    model = ml.fit(fold) if pipeline else None
+    params = ml.model_params(model) if pipeline else ml.fit_params(fold)
     for r in ml.evaluate(ml.score(folds, params), by=("fold",)).collect():
         params.metrics |= {f"{r.fold}_{m}": r[m] for m in ("rmse", "mae", "r2")}
         setattr(params, f"{r.fold}_samples", r.rows)
