@@ -188,12 +188,13 @@ def last_update_id(updates: DataFrame, snapshot: DataFrame | None = None, wait:
     """The last id of every symbol after all updates; of rows without an arrival number, the largest."""
     if "seq" not in updates.columns:
         return updates.groupBy("symbol").agg(F.max("u").alias("lastUpdateId"))
-    rows = updates.select("symbol", "seq", "u", *(["kind"] if "kind" in updates.columns else []))
-    ids = rows.select("symbol", "u")
+    kind = F.col("kind") if "kind" in updates.columns else F.lit("diff")
+    rows = updates.select("symbol", "seq", "u", kind.alias("kind"))
+    every = rows
     if snapshot is not None:
-        ids = ids.unionByName(snapshot.select("symbol", "u"))
-    if not wait and _plain_ids(rows) and (snapshot is None or _plain_ids(ids)):
-        return ids.groupBy("symbol").agg(F.max("u").alias("lastUpdateId"))
+        every = snapshot.select("symbol", F.lit(-1).cast("long").alias("seq"), "u", F.lit("diff").alias("kind")).unionByName(rows)
+    if not wait and _plain_ids(every):
+        return every.groupBy("symbol").agg(F.max("u").alias("lastUpdateId"))
     decided = decided_messages(rows, None if snapshot is None else _ids(snapshot), wait)
     after = decided.groupBy("symbol").agg(F.max_by("last", "at").alias("lastUpdateId"))
     if snapshot is None:
