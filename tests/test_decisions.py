@@ -83,7 +83,7 @@ def test_books_on_a_snapshot(spark):
     snap = spark.createDataFrame(snapshot, "symbol string, side string, price double, qty double, u long")
     df = spark.createDataFrame(rows, LEVELS)
     want, last = fold(rows, snapshot)
-    assert collected(bk.replay_book(df, snap)) == want
+    assert collected(bk.replay_book(df, snap, resumed=True)) == want
     assert {r.symbol: r.lastUpdateId for r in bk.last_update_id(df, snap).collect()} == last
 
 

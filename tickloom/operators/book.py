@@ -142,14 +142,16 @@ def _plain_ids(updates: DataFrame) -> bool:
 
 
 def replay_book(
-    updates: DataFrame, snapshot: DataFrame | None = None, min_rows: int | None = None, wait: bool = False
+    updates: DataFrame, snapshot: DataFrame | None = None, min_rows: int | None = None, wait: bool = False, resumed: bool = False
 ) -> DataFrame:
     """Final book levels after applying updates in arrival order.
 
     ``updates``: symbol, side, pos, price, qty, u, seq (``seq`` the arrival number of the message,
     not negative) and optionally ``kind``: messages of kind 'diff' set levels, a 'baseline' first
     clears the symbol's book, all others just advance the id. ``snapshot``: symbol, side, price, qty, u;
-    the book before the first message. Which messages are applied says :func:`decided_messages`; where
+    the book before the first message; messages that come before the first one newer than it, and are not
+    newer themselves, are old whatever their numbering, unless the snapshot is ``resumed``, the state that
+    earlier messages have left. Which messages are applied says :func:`decided_messages`; where
     all ids are there, growing or old, that is a running maximum, which is cheaper. Each update sets a
     level to an absolute quantity, so the book is the last applied quantity per level, minus zeros. A
     level without a readable price or quantity changes nothing.
@@ -160,6 +162,8 @@ def replay_book(
     base = None
     if snapshot is not None:
         base = snapshot.withColumns({"pos": F.lit(0), "seq": F.lit(-1).cast("long"), "kind": F.lit("diff")}).select(*cols)
+        if not resumed:
+            rows = _newer(rows, _ids(snapshot))
     if not wait and _plain_ids(rows if base is None else base.unionByName(rows)):
         applied = current_updates(rows if base is None else base.unionByName(rows), min_rows).withColumn("at", F.col("seq"))
     else:
@@ -180,6 +184,15 @@ def replay_book(
     )
 
 
+def _newer(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` without those that were held back for a snapshot and are not newer than it."""
+    ids = ids.withColumnRenamed("u", "_u")
+    starts = rows.join(ids, "symbol").filter(F.col("u") > F.col("_u")).groupBy("symbol").agg(F.min("seq").alias("_start"))
+    held = (F.col("u") <= F.col("_u")) & (F.col("_start").isNull() | (F.col("seq") < F.col("_start")))
+    told = rows.join(ids.join(starts, "symbol", "left"), "symbol", "left")
+    return told.filter(~F.coalesce(held, F.lit(False))).select(*rows.columns)
+
+
 def _ids(snapshot: DataFrame) -> DataFrame:
     return snapshot.groupBy("symbol").agg(F.max("u").alias("u"))
 

@@ -39,7 +39,7 @@ def apply_updates(book: DataFrame, ids: DataFrame, updates: DataFrame) -> tuple[
         "symbol", "side", "price", "qty", F.col("lastUpdateId").alias("u")
     )
     snapshot = stored.unionByName(baseline)
-    return replay_book(updates, snapshot), last_update_id(updates, snapshot)
+    return replay_book(updates, snapshot, resumed=True), last_update_id(updates, snapshot)
 
 
 def book_job(
