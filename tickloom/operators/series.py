@@ -17,11 +17,13 @@ window and nothing else.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, MapType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from tickloom.functions.scalars import bucket_start
 from tickloom.schemas import DAY_MS
@@ -41,20 +43,21 @@ QUANTILES = 256
 def cut_table(
     df: DataFrame, keys: Sequence[str], time: str, width: int, min_rows: int = MIN_ROWS
 ) -> DataFrame:
-    """Symbols to be cut: ``keys, _parts`` with ``_parts`` a map bucket -> number of sub-buckets.
+    """Symbols to be cut: ``keys, _parts, _limit``, ``_parts`` a map bucket -> its rows, first and last time.
 
     One column-pruned scan, pre-aggregated before its shuffle. Symbols of at most
     ``max(min_rows, total / MAX_PARTS)`` rows are absent. Both the rows and the map entries of the
     result are below ``MAX_PARTS``.
     """
     per_bucket = df.groupBy(*keys, bucket_start(time, width).alias("_b")).agg(
-        F.count(F.lit(1)).alias("_n")
+        F.count(F.lit(1)).alias("_n"), F.min(time).alias("_lo"), F.max(time).alias("_hi")
     )
-    total = per_bucket.agg(F.sum("_n").alias("n")).scalar()
+    # All columns, so that the total reuses the shuffle of the table.
+    total = per_bucket.agg(F.struct(F.sum("_n").alias("n"), F.min("_lo"), F.max("_hi"))).scalar()["n"]
     limit = F.greatest(F.lit(min_rows).cast("long"), F.ceil(total / F.lit(MAX_PARTS)))
     heavy = F.when(
         F.col("_n") > F.col("_limit"),
-        F.struct(F.col("_b"), F.ceil(F.col("_n") / F.col("_limit")).cast("long").alias("_k")),
+        F.struct(F.col("_b"), F.struct(F.col("_n").alias("n"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi"))),
     )
     return (
         per_bucket.withColumn("_limit", limit)
@@ -69,99 +72,105 @@ def cut_table(
     )
 
 
+@dataclass
+class Cuts:
+    """Where the slices of heavy symbols begin, as bounded constant tables that a row meets by equi joins.
+
+    ``symbols`` has the heavy keys. ``even`` (keys, ``_b``) says from where on and how wide a bucket's even
+    sub-buckets are. Each of ``levels`` (keys, ``_begin``) has the sorted times ``_at`` at which a slice
+    made so far is cut again, at most a few hundred. ``ties`` (keys, ``_t``) has the values of ``sub`` at which
+    rows of one time are cut. So a row looks at its own slice's entries, however many slices there are.
+    """
+
+    symbols: DataFrame
+    even: DataFrame
+    levels: list[DataFrame] = field(default_factory=list)
+    ties: DataFrame | None = None
+    scale: int = 1
+
+
 def decided(
     df: DataFrame, keys: Sequence[str], time: str, width: int, min_rows: int = MIN_ROWS, sub: str | None = None
-) -> DataFrame | None:
-    """The cut table as a constant, ``keys, _parts, _bursts, _ties``; None if no symbol is to be cut.
+) -> Cuts | None:
+    """The cut as constants; None if no symbol is to be cut.
 
-    Sub-buckets even in time leave a burst whole. Slices still above the limit are cut at as many
+    Heavy buckets get sub-buckets even in time between their first and last row, twice as many as the limit
+    asks for, so that only a burst leaves a slice above the limit; one scan tells. Those are cut at as many
     quantiles of their times as their rows ask for, again and again until none is above it or all its
     rows have one time. Those are cut at quantiles of the integer column ``sub``, the next one of the
-    order; without it, rows of one time stay together. ``_bursts`` maps an even sub-bucket to the times at
-    which it is cut, ``_ties`` a time to the values of ``sub`` at which its rows are.
+    order; without it, rows of one time stay together.
     """
     keys = list(keys)
+    spark = df.sparkSession
     found = cut_table(df, keys, time, width, min_rows).collect()
     if not found:
         return None
-    limits = {tuple(r[k] for k in keys): r["_limit"] for r in found}
-    bursts: dict[tuple, dict[int, list[int]]] = {k: {} for k in limits}
-    ties: dict[tuple, dict[int, list[int]]] = {k: {} for k in limits}
-    scale = 1
-
-    def table() -> DataFrame:
-        rows = [(*k, r["_parts"], bursts[k], ties[k], scale) for r in found for k in [tuple(r[c] for c in keys)]]
-        return df.sparkSession.createDataFrame(rows, StructType([*df.select(*keys).schema, *_CUT]))
-
-    def heavy(rows: DataFrame, group: Sequence[str], value: str, one_time: bool) -> list:
-        """Slices above the limit with the values of a column that cut them into slices of the limit."""
-        limit = df.sparkSession.createDataFrame([(*k, n) for k, n in limits.items()], StructType([*df.select(*keys).schema, _LIMIT]))
+    fields = list(df.select(*keys).schema)
+    own = lambda r: tuple(r[k] for k in keys)
+    long = lambda *names: [StructField(n, LongType()) for n in names]
+    at = StructField("_at", ArrayType(LongType()))
+
+    def table(rows: list, *columns: StructField) -> DataFrame:
+        return spark.createDataFrame(rows, StructType([*fields, *columns]))
+
+    def step(part, limit: int) -> int:
+        return max(1, math.ceil((part["hi"] - part["lo"] + 1) / math.ceil(2 * part["n"] / limit)))
+
+    even = [(*own(r), b, part["lo"], step(part, r["_limit"])) for r in found for b, part in r["_parts"].items()]
+    limits = table([(*own(r), r["_limit"]) for r in found], *long("_limit"))
+    cuts = Cuts(limits.select(*keys), table(even, *long("_b", "_lo", "_step")))
+
+    def quantiles(rows: DataFrame, slices: list, value: str) -> list:
+        """The slices with the values of a column that cut them into slices of at most the limit."""
+        dense = table([(*own(r), r["_begin"], r["_n"], r["_limit"]) for r in slices], *long("_begin", "_n", "_limit"))
         split = [i / QUANTILES for i in range(1, QUANTILES)]
-        wanted = F.least(F.lit(QUANTILES), F.ceil(F.col("_n") / F.col("_limit")))
-        sizes = (
-            rows.groupBy(*keys, *group)
-            .agg(
-                F.count(F.lit(1)).alias("_n"), F.min(time).alias("_a"), F.max(time).alias("_z"),
-                F.percentile_approx(value, split, 20 * QUANTILES).alias("_at"),
-            )
-            .join(F.broadcast(limit), keys)
+        wanted = F.least(F.lit(QUANTILES), F.ceil(2 * F.col("_n") / F.col("_limit")))
+        told = (
+            rows.join(F.broadcast(dense), [*keys, "_begin"]).groupBy(*keys, "_begin", "_n", "_limit")
+            .agg(F.min(time).alias("_a"), F.percentile_approx(value, split, 20 * QUANTILES).alias("_at"))
         )
-        one = F.col("_a") == F.col("_z")
         # Evenly spaced quantiles of those that were taken, as many as the slice needs.
-        at = F.filter("_at", lambda v, i: F.floor((i + 1) * wanted / QUANTILES) > F.floor(i * wanted / QUANTILES))
-        return sizes.filter((F.col("_n") > F.col("_limit")) & (one if one_time else ~one)).select(*keys, *group, "_a", at.alias("_at")).collect()
+        some = F.filter("_at", lambda v, i: F.floor((i + 1) * wanted / QUANTILES) > F.floor(i * wanted / QUANTILES))
+        return told.select(*keys, "_begin", "_a", some.alias("_at")).collect()
 
     for _ in range(64):
-        rows = df.select(*keys, time).join(F.broadcast(table()), keys)
-        rows = rows.withColumns({"_even": _even_start(F.col(time), width), SLICE: slice_start(time, width)}).drop("_parts", "_bursts", "_ties")
-        dense = heavy(rows, ["_even", SLICE], time, False)
+        rows = _begun(df.select(*keys, time), cuts, keys, time, width, "inner")
+        sizes = rows.groupBy(*keys, "_begin").agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_a"), F.max(time).alias("_z"))
+        # No more than total / limit slices can be above the limit.
+        above = sizes.join(F.broadcast(limits), keys).filter(F.col("_n") > F.col("_limit")).collect()
+        dense = [r for r in above if r["_a"] != r["_z"]]
         if not dense:
             break
-        for r in dense:
-            own = bursts[tuple(r[k] for k in keys)]
+        level = []
+        for r in quantiles(rows, dense, time):
             # A value that fills a whole quantile is cut off behind too; its slice then has one time.
             new = {v + d for v in r["_at"] for d in ((0, 1) if r["_at"].count(v) > 1 or v == r["_a"] else (0,))}
-            own[r["_even"]] = sorted({*own.get(r["_even"], []), *new})
-    if sub is not None:
-        rows = df.select(*keys, time, sub).join(F.broadcast(table()), keys).withColumn(SLICE, slice_start(time, width))
-        for r in heavy(rows, [SLICE], sub, True):
-            ties[tuple(r[k] for k in keys)][r["_a"]] = sorted(set(r["_at"]))
+            level.append((*own(r), r["_begin"], sorted(new)))
+        cuts.levels.append(table(level, *long("_begin"), at))
+    tied = [r for r in above if r["_a"] == r["_z"]]
+    if sub is not None and tied:
+        rows = _begun(df.select(*keys, time, sub), cuts, keys, time, width, "inner")
+        ties = [(*own(r), r["_a"], sorted(set(r["_at"] or []))) for r in quantiles(rows, tied, sub)]
         # Slices are numbered by their first time; those of one time need numbers in between.
-        most = max((len(v) for t in ties.values() for v in t.values()), default=0)
-        last = max((abs(t) for t_ in ties.values() for t in t_), default=0)
-        scale = 1 << most.bit_length()
-        if (last + 2 * width) * scale >= 1 << 62:
-            ties, scale = {k: {} for k in limits}, 1
-    return table()
-
-
-_LIMIT = StructField("_limit", LongType())
-_CUT = [
-    StructField("_parts", MapType(LongType(), LongType())),
-    StructField("_bursts", MapType(LongType(), ArrayType(LongType()))),
-    StructField("_ties", MapType(LongType(), ArrayType(LongType()))),
-    StructField("_scale", LongType()),
-]
-
-
-def _even_start(t: Column, width: int) -> Column:
-    """Start of the sub-bucket, even in time, of a row joined to the cut table."""
-    start = bucket_start(t, width)
-    parts = F.coalesce(F.try_element_at("_parts", start), F.lit(1).cast("long"))
-    sub = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(width) / parts))
-    return start + bucket_start(t - start, sub)
-
-
-def slice_start(time: Column | str, width: int, sub: str | None = None) -> Column:
-    """Slice id of a row joined to the cut table: 0 for an uncut symbol."""
-    t = F.col(time) if isinstance(time, str) else time
-    even = _even_start(t, width)
-    burst = F.array_max(F.filter(F.try_element_at("_bursts", even), lambda cut: cut <= t))
-    begin = F.coalesce(F.greatest(burst, even), even)
-    if sub is not None:
-        behind = F.size(F.filter(F.try_element_at("_ties", t), lambda cut: cut <= F.col(sub)))
-        begin = begin * F.col("_scale") + F.greatest(F.coalesce(behind, F.lit(0)), F.lit(0))
-    return F.when(F.col("_parts").isNull(), F.lit(0).cast("long")).otherwise(begin)
+        scale = 1 << max(len(r[-1]) for r in ties).bit_length()
+        last = max(abs(r[-2]) for r in ties)
+        last = max([last, *(abs(x) for r in found for p in r["_parts"].values() for x in (p["lo"], p["hi"]))])
+        if (last + 2 * width) * scale < 1 << 62:
+            cuts.ties, cuts.scale = table(ties, *long("_t"), at), scale
+    return cuts
+
+
+def _begun(df: DataFrame, cuts: Cuts, keys: Sequence[str], time: str, width: int, how: str) -> DataFrame:
+    """``df`` with ``_cut``, true for a cut symbol, and the time ``_begin`` at which a row's slice begins."""
+    keys, t = list(keys), F.col(time)
+    rows = df.join(F.broadcast(cuts.symbols.withColumn("_cut", F.lit(True))), keys, how).withColumn("_b", bucket_start(t, width))
+    rows = rows.join(F.broadcast(cuts.even), [*keys, "_b"], "left")
+    inside = F.col("_lo") + bucket_start(t - F.col("_lo"), F.col("_step"))
+    rows = rows.withColumn("_begin", F.greatest("_b", inside)).drop("_b", "_lo", "_step")
+    for level in cuts.levels:
+        rows = rows.join(F.broadcast(level), [*keys, "_begin"], "left")
+        rows = rows.withColumn("_begin", F.greatest("_begin", F.array_max(F.filter("_at", lambda v: v <= t)))).drop("_at")
+    return rows
 
 
 def with_slices(
@@ -185,10 +194,17 @@ def with_slices(
 
 
 def sliced(
-    df: DataFrame, cuts: DataFrame, keys: Sequence[str], time: str, width: int, how: str = "left", sub: str | None = None
+    df: DataFrame, cuts: Cuts, keys: Sequence[str], time: str, width: int, how: str = "left", sub: str | None = None
 ) -> DataFrame:
-    joined = df.join(F.broadcast(cuts), list(keys), how)
-    return joined.withColumn(SLICE, slice_start(time, width, sub)).drop("_parts", "_bursts", "_ties", "_scale")
+    """Add the slice id, 0 for an uncut symbol; with ``how='inner'`` only rows of cut symbols."""
+    rows = _begun(df, cuts, keys, time, width, how)
+    begin = F.col("_begin")
+    if sub is not None and cuts.ties is not None:
+        rows = rows.withColumn("_t", F.col(time)).join(F.broadcast(cuts.ties), [*keys, "_t"], "left")
+        behind = F.size(F.filter("_at", lambda v: v <= F.col(sub)))
+        begin = begin * F.lit(cuts.scale).cast("long") + F.greatest(F.coalesce(behind, F.lit(0)), F.lit(0))
+    begin = F.when(F.col("_cut").isNull(), F.lit(0)).otherwise(begin).cast("long")
+    return rows.select(*df.columns, begin.alias(SLICE))
 
 
 def second_of(df: DataFrame, order: Sequence[str]) -> str | None:
@@ -198,7 +214,7 @@ def second_of(df: DataFrame, order: Sequence[str]) -> str | None:
 
 def _edge_rows(
     df: DataFrame,
-    cuts: DataFrame,
+    cuts: Cuts,
     keys: Sequence[str],
     order: Sequence[str],
     width: int,
