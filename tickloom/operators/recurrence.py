@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.series import MIN_ROWS, SLICE, decided, second_of, sliced, with_slices
+from tickloom.operators.stepwise import chunks
 from tickloom.schemas import DAY_MS
 
 # Rows per block. decay ** -BLOCK must stay a finite double: 3 ** 512 is about 1e244.
@@ -78,16 +79,23 @@ def _chained(
 
     def walk(children: Column, start: Column) -> Column:
         """Array of (at, state before the child) along ``children``."""
-        entry = f"array<struct<at:bigint,st:{state_type}>>"
-        return F.aggregate(
-            children,
-            F.struct(start.alias("st"), F.array().cast(entry).alias("seen")),
-            lambda acc, c: F.struct(
-                step(acc["st"], c).alias("st"),
-                F.concat(acc["seen"], F.array(F.struct(c["at"].alias("at"), acc["st"].alias("st")))).alias("seen"),
-            ),
-            lambda acc: acc["seen"],
-        )
+        entry = f"struct<at:bigint,st:{state_type}>"
+
+        def some(acc: Column, part: Column) -> Column:
+            end = F.aggregate(
+                part,
+                F.struct(acc["st"].alias("st"), F.array().cast(f"array<{entry}>").alias("seen")),
+                lambda a, c: F.struct(
+                    step(a["st"], c).alias("st"),
+                    F.concat(a["seen"], F.array(F.struct(c["at"].alias("at"), a["st"].alias("st")))).alias("seen"),
+                ),
+            )
+            # Computed once: the end is used twice.
+            add = lambda e: F.struct(e["st"].alias("st"), F.concat(acc["seen"], F.array(e["seen"])).alias("seen"))
+            return F.get(F.transform(F.array(end), add), F.lit(0))
+
+        begin = F.struct(start.alias("st"), F.array().cast(f"array<array<{entry}>>").alias("seen"))
+        return F.aggregate(chunks(children), begin, some, lambda acc: F.flatten(acc["seen"]))
 
     def folded(children: DataFrame, path: Sequence[str], at: str) -> DataFrame:
         """One row per ``path``: its children in order, and what they amount to from state zero."""

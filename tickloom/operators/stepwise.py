@@ -20,6 +20,8 @@ from tickloom.operators.series import MIN_ROWS, SLICE, second_of, with_slices
 # Rows per block, and blocks per run.
 BLOCK = 512
 RUN = 256
+# Entries that are appended one by one.
+CHUNK = 256
 
 # Numbers lie strictly between these; sums of a few of them still fit a long.
 LOW, TOP = -(1 << 61), 1 << 61
@@ -86,17 +88,30 @@ def gathered(children: DataFrame, path: Sequence[str], at: str) -> DataFrame:
     return children.groupBy(*path).agg(F.array_sort(F.collect_list(child)).alias("_children"))
 
 
+def chunks(items: Column) -> Column:
+    """``items`` as arrays of up to ``CHUNK``; appending to an array copies it, so long ones are made of short ones."""
+    last = F.greatest(F.floor((F.size(items) - 1) / CHUNK), F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * CHUNK + 1, CHUNK))
+
+
 def followed(items: Column, x: Column, entry: Callable[[Column, Column], Column], function_of: Callable[[Column], Column]) -> Column:
     """Entries made of each item and the number before it."""
     empty = F.slice(F.array(entry(F.get(items, F.lit(0)), x)), 1, 0)
-    return F.aggregate(
-        items,
-        F.struct(x.alias("x"), empty.alias("seen")),
-        lambda acc, item: F.struct(
-            applied_to(function_of(item), acc["x"]).alias("x"), F.concat(acc["seen"], F.array(entry(item, acc["x"]))).alias("seen")
-        ),
-        lambda acc: acc["seen"],
-    )
+
+    def walk(some: Column, start: Column) -> Column:
+        return F.aggregate(
+            some,
+            F.struct(start.alias("x"), empty.alias("seen")),
+            lambda acc, item: F.struct(
+                applied_to(function_of(item), acc["x"]).alias("x"), F.concat(acc["seen"], F.array(entry(item, acc["x"]))).alias("seen")
+            ),
+        )
+
+    def add(acc: Column, some: Column) -> Column:
+        return _with(walk(some, acc["x"]), lambda w: F.struct(w["x"].alias("x"), F.concat(acc["seen"], F.array(w["seen"])).alias("seen")))
+
+    start = F.struct(x.alias("x"), F.slice(F.array(empty), 1, 0).alias("seen"))
+    return F.aggregate(chunks(items), start, add, lambda acc: F.flatten(acc["seen"]))
 
 
 def handed(parents: DataFrame, path: Sequence[str], at: str) -> DataFrame:
