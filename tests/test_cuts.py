@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import stepwise as sw
+from tickloom.operators.book import limit_rate
 from tickloom.operators.series import QUANTILES, decided, sliced
 
 T0 = 1_700_006_400_000
@@ -39,3 +40,10 @@ def test_chains_longer_than_a_chunk(spark, n):
     got = spark.range(1).select(told.alias("e")).first().e
     assert [(r.i, r.x) for r in got] == [(i, 7 + i * (i - 1) // 2) for i in range(1, n + 1)]
     assert spark.range(1).select(F.size(sw.chunks(F.slice(items, 1, n)))).first()[0] == max(1, -(-n // sw.CHUNK))
+
+
+def test_rate_limit_decides_its_cut_once(spark):
+    """Two functions a slice and one walk; the second clock does not run the first one again for its own cut."""
+    df = spark.createDataFrame([("A", t * 7, t) for t in range(300)], "symbol string, time long, seq long")
+    plan = limit_rate(df, 10, 30, min_rows=50, width=500)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") <= 4

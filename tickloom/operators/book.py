@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tickloom.operators.recurrence import running_max_before
 from tickloom.operators.series import MIN_ROWS, SLICE, map_series, second_of, with_slices
@@ -287,21 +286,49 @@ def throttle(emissions: DataFrame, every_ms: int = 100, time: str = "time", seq:
 
 
 def limit_rate(
-    emissions: DataFrame, every_ms: int = 100, force_ms: int | None = 1000, time: str = "time", seq: Sequence[str] = ("seq",), **series
+    emissions: DataFrame, every_ms: int = 100, force_ms: int | None = 1000, time: str = "time", seq: Sequence[str] = ("seq",),
+    width: int = DAY_MS, min_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """Emissions at least ``every_ms`` after the last one, as a publisher decides them one by one.
 
     A second clock, which starts at a symbol's first row, lets one more through whenever ``force_ms``
     have passed since the last one it let through; ``None`` leaves it out. The first clock does not see
     those of the second, so the two are one chain after the other. ``time`` and ``seq`` are a total order.
+
+    Each row points at the first one a clock's interval later. What a slice makes of the last due time before
+    it depends on the row it is entered at, one of those within the interval of its start; doubled pointers lead
+    from each to the last one of the slice. These functions are followed slice by slice per symbol, first for
+    the one clock, then, over the rows that it leaves, for the other; every slice is then walked once
+    from its own entries. Slices have a bounded number of rows.
     """
-    told = _greedy(emissions, every_ms, None, time, seq, **series)
-    pushed = told.filter("_due").drop("_due")
-    if force_ms is None:
-        return pushed
-    begin = emissions.groupBy("symbol").agg(F.min(time).alias("_begin"))
-    forced = _greedy(told.filter("NOT _due").drop("_due"), force_ms, begin, time, seq, **series)
-    return pushed.unionByName(forced.filter("_due").drop("_due"))
+    order, keys, columns = [time, *seq], ["symbol"], emissions.columns
+    in_slice = [*keys, SLICE]
+    cut = with_slices(emissions, keys, time, width, min_rows, True, emissions.select("symbol", *order), second_of(emissions, order))
+    told = cut.select(*in_slice, F.col(time).cast("bigint").alias("_t"))
+    out = f"symbol {dict(emissions.dtypes)['symbol']}, {SLICE} bigint, _f {PIECES}"
+
+    def first(part: pa.Table) -> pa.Table:
+        return _function_of(part, np.sort(part.column("_t").to_numpy()), every_ms)
+
+    def second(part: pa.Table) -> pa.Table:
+        times = np.sort(part.column("_t").to_numpy())
+        return _function_of(part, times[~_due(times, part.column("_x")[0].as_py(), every_ms)], force_ms)
+
+    def walk(part: pa.Table) -> pa.Table:
+        part = part.sort_by([(c, "ascending") for c in order])
+        times = part.column(time).to_numpy()
+        due = _due(times, part.column("_x")[0].as_py(), every_ms)
+        if force_ms is not None:
+            left = np.flatnonzero(~due)
+            due[left[_due(times[left], part.column("_y")[0].as_py(), force_ms)]] = True
+        return part.select(columns).filter(pa.array(due))
+
+    before = slice_states(told.groupBy(*in_slice).applyInArrow(first, out), None, LOW + 1, keys)
+    if force_ms is not None:
+        begin = emissions.groupBy("symbol").agg(F.min(time).alias("_begin"))
+        slices = told.join(before, in_slice).groupBy(*in_slice).applyInArrow(second, out)
+        before = before.join(slice_states(slices, begin, "_begin", keys).withColumnRenamed("_x", "_y"), in_slice)
+    return cut.join(before, in_slice).groupBy(*in_slice).applyInArrow(walk, emissions.schema)
 
 
 def _pointers(times: np.ndarray, gap: int) -> np.ndarray:
@@ -309,21 +336,20 @@ def _pointers(times: np.ndarray, gap: int) -> np.ndarray:
     return np.searchsorted(times, times + gap)
 
 
-def _greedy(
-    rows: DataFrame, gap: int, begin: DataFrame | None, time: str, seq: Sequence[str], width: int = DAY_MS, min_rows: int = MIN_ROWS
-) -> DataFrame:
-    """``rows`` with ``_due``: whether a row is at least ``gap`` after the last one that is due.
+def _due(times: np.ndarray, x: int, gap: int) -> np.ndarray:
+    """Which of the sorted times are at least ``gap`` after the last one that is due, ``x`` before the first."""
+    ahead, due = _pointers(times, gap).tolist(), np.zeros(len(times), bool)
+    at = int(np.searchsorted(times, x + gap))
+    while at < len(times):
+        due[at] = True
+        at = ahead[at]
+    return due
 
-    Each row points at the first one ``gap`` later. What a slice makes of the last due time before it
-    depends on the row it is entered at, one of those within ``gap`` of its start; doubled pointers lead
-    from each to the last one of the slice. These functions are followed slice by slice per symbol, and
-    every slice is then walked once from its own entry. Slices have a bounded number of rows.
-    """
-    order, keys = [time, *seq], ["symbol"]
-    cut = with_slices(rows, keys, time, width, min_rows, True, rows.select("symbol", *order), second_of(rows, order))
 
-    def summary(part: pa.Table) -> pa.Table:
-        times = np.sort(part.column("_t").to_numpy())
+def _function_of(part: pa.Table, times: np.ndarray, gap: int) -> pa.Table:
+    """What a slice of these sorted times makes of the last due time before it, as in ``stepwise.py``."""
+    found = []
+    if len(times):
         n, ahead = len(times), _pointers(times, gap)
         last = np.where(ahead < n, ahead, np.arange(n))
         while (last[last] != last).any():
@@ -334,25 +360,8 @@ def _greedy(
         # Entered up to the time less the gap; neighbours that end alike are one.
         split = np.append(ends[1:] != ends[:-1], True)
         found = [{"hi": int(t - gap), "keep": False, "value": int(e)} for t, e in zip(times[entries][split], ends[split], strict=True)]
-        found.append({"hi": TOP, "keep": True, "value": 0})
-        return pa.table({"symbol": part.column("symbol")[:1], SLICE: part.column(SLICE)[:1], "_f": pa.array([found], _FUNCTION)})
-
-    def walk(part: pa.Table) -> pa.Table:
-        part = part.sort_by([(c, "ascending") for c in order])
-        times, x = part.column(time).to_numpy(), part.column("_x")[0].as_py()
-        ahead, due = _pointers(times, gap).tolist(), np.zeros(len(times), bool)
-        at = int(np.searchsorted(times, x + gap))
-        while at < len(times):
-            due[at] = True
-            at = ahead[at]
-        return part.drop_columns([SLICE, "_x"]).append_column("_due", pa.array(due))
-
-    told = cut.select("symbol", SLICE, F.col(time).cast("bigint").alias("_t")).groupBy("symbol", SLICE)
-    symbol = dict(rows.dtypes)["symbol"]
-    slices = told.applyInArrow(summary, f"symbol {symbol}, {SLICE} bigint, _f {PIECES}")
-    before = slice_states(slices, begin, LOW + 1 if begin is None else "_begin", keys)
-    out = StructType([*rows.schema, StructField("_due", BooleanType())])
-    return cut.join(before, ["symbol", SLICE]).select(*rows.columns, SLICE, "_x").groupBy("symbol", SLICE).applyInArrow(walk, out)
+    found.append({"hi": TOP, "keep": True, "value": 0})
+    return pa.table({"symbol": part.column("symbol")[:1], SLICE: part.column(SLICE)[:1], "_f": pa.array([found], _FUNCTION)})
 
 
 _FUNCTION = pa.list_(pa.struct([("hi", pa.int64()), ("keep", pa.bool_()), ("value", pa.int64())]))
