@@ -39,6 +39,26 @@ def tick_batches(spark, d, batches=4, symbol="event_type"):
     return td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", FILES), symbol)
 
 
+# Rows of a micro-batch of a stream whose tasks hold a symbol's messages of one batch.
+MOST = 1_000_000
+
+
+def bounded_batches(spark, d, batches=4, most=MOST):
+    """The trades in ranges of ids of about ``most`` rows, and at least ``batches`` of them, one per micro-batch."""
+    events = td.events(spark, d).filter("event_id IS NOT NULL")
+    batches = max(batches, -(-events.count() // most))
+    cuts = events.agg(F.percentile_approx("event_id", [i / batches for i in range(1, batches)], 100 * batches)).first()[0] or []
+    cuts = sorted(set(cuts))
+    # Split in one pass, so that the work does not grow with the number of batches times the rows.
+    split, folder = run_dir(spark, "parts"), run_dir(spark, "split")
+    part = F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c < F.col("event_id"))).alias("part")
+    events.select("*", part).repartition((len(cuts) + 1) * FILES, "part", F.pmod("event_id", F.lit(FILES))).write.partitionBy("part").parquet(split)
+    parts = spark.read.parquet(split)
+    for i in range(len(cuts) + 1):
+        _written(parts.filter(F.col("part") == i).select(*events.columns), folder)
+    return td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", FILES))
+
+
 def kline_batches(spark, d):
     return ms.parse_klines(td.kline_messages(tick_batches(spark, d)), keep=["seq"])
 
@@ -205,7 +225,7 @@ walk AS (
 )
 def stream_stateful_book(spark, d):
     """Message by message with per-symbol state, over bounded micro-batches; publications and the last id per symbol."""
-    messages = ms.read_depth(td.mixed_depth_messages(tick_batches(spark, d)), keep=["seq"])
+    messages = ms.read_depth(td.mixed_depth_messages(bounded_batches(spark, d)), keep=["seq"])
     emitted = sb.stateful_books(messages)
     base = run_dir(spark, "emitted")
     q = (

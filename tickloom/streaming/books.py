@@ -76,6 +76,9 @@ EMISSION = (
     "bids ARRAY<STRUCT<price: DOUBLE, qty: DOUBLE>>, asks ARRAY<STRUCT<price: DOUBLE, qty: DOUBLE>>"
 )
 
+# Published books that a task holds before it hands them on; one may have hundreds of levels.
+EMITTED = 256
+
 
 class BookProcessor(StatefulProcessor):
     """One symbol's book, message by message, published at a limited rate.
@@ -100,9 +103,8 @@ class BookProcessor(StatefulProcessor):
         self.clock = handle.getValueState("clock", "id long, pushed long, forced long, synced boolean")
         self.held = handle.getListState("held", "message string")
 
-    def _due(self, messages: pd.DataFrame, synced: bool) -> tuple[list, bool]:
+    def _due(self, found: list[_Message], synced: bool) -> tuple[list, bool]:
         """The messages to apply now, in order, and whether a baseline has been seen."""
-        found = [_Message(m.seq, _id(m.u), m.kind, _levels(m.bids), _levels(m.asks), int(m.received_at)) for m in messages.itertuples()]
         first = next((i for i, m in enumerate(found) if m.kind == "baseline"), None)
         if synced or not self.wait:
             return found, synced or first is not None
@@ -117,15 +119,20 @@ class BookProcessor(StatefulProcessor):
         return [baseline, *newer, *found[first + 1 :]], True
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        messages = pd.concat(list(rows)).sort_values("seq")
+        # Frames are taken one by one: only the messages themselves are held, to bring them into order.
+        found = [
+            _Message(m.seq, _id(m.u), m.kind, _levels(m.bids), _levels(m.asks), int(m.received_at))
+            for frame in rows for m in frame.itertuples()
+        ]
+        found.sort(key=lambda m: (True, 0) if pd.isna(m.seq) else (False, m.seq))
         book = {"bid": {}, "ask": {}}
         for (side, price), (qty,) in self.levels.iterator():
             book[side][price] = qty
         held = self.clock.get() if self.clock.exists() else None
-        last, pushed, forced, synced = held or (0, 0, int(messages.iloc[0].received_at), False)
-        due, synced = self._due(messages, synced)
+        last, pushed, forced, synced = held or (0, 0, found[0].received_at, False)
+        due, synced = self._due(found, synced)
         touched: set[tuple[str, float]] = set()
-        out = []
+        columns, out = ["symbol", "time", "lastUpdateId", "bids", "asks"], []
         for m in due:
             baseline = m.kind == "baseline"
             if not (m.bids or m.asks or baseline):
@@ -155,13 +162,16 @@ class BookProcessor(StatefulProcessor):
             if not (book["bid"] and book["ask"]):
                 continue
             out.append((key[0], now, last, self._best(book["bid"], True), self._best(book["ask"], False)))
+            if len(out) == EMITTED:
+                yield pd.DataFrame(out, columns=columns)
+                out = []
         for side, price in touched:
             if price in book[side]:
                 self.levels.updateValue((side, price), (book[side][price],))
             elif self.levels.containsKey((side, price)):
                 self.levels.removeKey((side, price))
         self.clock.update((last, pushed, forced, synced))
-        yield pd.DataFrame(out, columns=["symbol", "time", "lastUpdateId", "bids", "asks"])
+        yield pd.DataFrame(out, columns=columns)
 
     def _best(self, side: dict[float, float], descending: bool) -> list[dict]:
         prices = sorted(side, reverse=descending)[: self.limit]
