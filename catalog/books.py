@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import TICKS, r, register, rounded
 from tickloom.operators import book as bk
+from tickloom.session import kept
 from tickloom.sources import messages as ms
 from tickloom.sources import testdata as td
 
@@ -80,16 +81,26 @@ def mixed_updates(ticks):
     return ms.parse_depth(td.mixed_depth_messages(ticks), keep=["seq"])
 
 
+def _spread(spark, d):
+    """The trades in as many tasks as the session shuffles into, however few parts their file has."""
+    return td.ticks_of(td.events(spark, d).repartition("event_id"))
+
+
+def _kept(updates):
+    """Levels are read by each step that decides on them; messages are parsed once."""
+    return kept(updates.select(*bk.UPDATE), "updates")
+
+
 @register("replay_mixed_book", f"WITH {MIXED} SELECT symbol, side, price, qty FROM mixed_book")
 def replay_mixed_book(spark, d):
     """Diffs of several levels between full-book messages and deletions."""
-    return bk.replay_book(mixed_updates(td.ticks(spark, d)))
+    return bk.replay_book(_kept(mixed_updates(_spread(spark, d))))
 
 
 @register("replay_mixed_book_cut", f"WITH {MIXED} SELECT symbol, side, price, qty FROM mixed_book")
 def replay_mixed_book_cut(spark, d):
     """The same with every symbol cut into slices of a few hundred messages."""
-    return bk.replay_book(mixed_updates(td.ticks(spark, d)), min_rows=200)
+    return bk.replay_book(_kept(mixed_updates(_spread(spark, d))), min_rows=200)
 
 
 # Messages by every rule: some without an id, stretches of ids on another scale, a baseline now and then.
@@ -139,13 +150,13 @@ def ruled_updates(t):
 @register("replay_ruled_book", f"WITH RECURSIVE {RULED} SELECT symbol, side, price, qty FROM ruled_book")
 def replay_ruled_book(spark, d):
     """Books of messages whose ids are missing, on another scale or reset by a baseline."""
-    return bk.replay_book(ruled_updates(td.ticks(spark, d)))
+    return bk.replay_book(_kept(ruled_updates(_spread(spark, d))))
 
 
 @register("replay_ruled_book_cut", f"WITH RECURSIVE {RULED} SELECT symbol, side, price, qty FROM ruled_book")
 def replay_ruled_book_cut(spark, d):
     """The same with every symbol cut into slices of a few hundred levels."""
-    return bk.replay_book(ruled_updates(td.ticks(spark, d)), min_rows=200)
+    return bk.replay_book(_kept(ruled_updates(_spread(spark, d))), min_rows=200)
 
 
 @register(

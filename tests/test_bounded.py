@@ -1,8 +1,13 @@
 """Streams whose tasks hold a bounded number of rows."""
 
+from datetime import datetime, timedelta
+
 import pandas as pd
+import pytest
 
+from catalog import QUERIES
 from catalog.flows import bounded_batches
+from tickloom.operators import book as bk
 from tickloom.sources import testdata as td
 from tickloom.streaming import books as sb
 from tickloom.streaming.run import drain
@@ -43,3 +48,28 @@ def test_micro_batches_are_bounded_and_whole(spark, tmp_path):
     q = bounded_batches(spark, str(tmp_path), most=100).writeStream.foreachBatch(seen)
     drain(q.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
     assert sorted(ids) == [i * i for i in range(1000)] and len(sizes) >= 10 and max(sizes) <= 120
+
+
+def events_of(spark, tmp_path, n=600):
+    rows = [(i, datetime(2024, 1, 1) + timedelta(seconds=i), 1, "ab"[i % 2], float(i % 9), f'{{"k": {i * 7 % 100}}}') for i in range(n)]
+    spark.createDataFrame(rows, td.EVENTS_SCHEMA).write.parquet(str(tmp_path / "events.parquet"))
+    return str(tmp_path)
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["replay_mixed_book", "replay_mixed_book_cut", "replay_ruled_book", "replay_ruled_book_cut"])
+def test_updates_are_made_once(spark, tmp_path, name):
+    """The steps of a replay read kept levels; no message is parsed in them again."""
+    text = optimized(QUERIES[name](spark, events_of(spark, tmp_path)))
+    assert "Relation" in text and "from_json" not in text and "to_json" not in text
+
+
+def test_messages_are_decided_once(spark):
+    """The book takes the applied messages and its last baselines from one chain of decisions."""
+    rows = [("A", "bid", 0, 1.0, 1.0, i + 5, i, "baseline" if i == 3 else "diff") for i in range(9)]
+    df = spark.createDataFrame(rows, "symbol string, side string, pos int, price double, qty double, u long, seq long, kind string")
+    once = optimized(bk.decided_messages(df)).count("row_number()")
+    assert once and optimized(bk.replay_book(df)).count("row_number()") == once

@@ -17,6 +17,8 @@ from tickloom.sources.tables import first_per_key
 
 # Sequence numbers per slice when a heavy symbol's updates are cut.
 SEQ_WIDTH = 1 << 24
+# What a replay reads of an update.
+UPDATE = ["symbol", "side", "pos", "price", "qty", "u", "seq", "kind"]
 # An id that is this many times smaller than the last one is of another numbering.
 FAR = 100
 
@@ -153,25 +155,59 @@ def replay_book(
     earlier messages have left. Which messages are applied says :func:`decided_messages`; where
     all ids are there, growing or old, that is a running maximum, which is cheaper. Each update sets a
     level to an absolute quantity, so the book is the last applied quantity per level, minus zeros. A
-    level without a readable price or quantity changes nothing.
+    level without a readable price or quantity changes nothing. Updates are read by several jobs and steps:
+    keep them first (``session.kept``) where they are dear to make.
     """
-    cols = ["symbol", "side", "pos", "price", "qty", "u", "seq", "kind"]
+    rows, base = _rows_and_base(updates, snapshot)
+    if base is not None and not resumed:
+        rows = _newer(rows, _ids(snapshot))
+    every = rows if base is None else base.unionByName(rows)
+    if not wait and _plain_ids(every):
+        return _book(current_updates(every, min_rows).withColumn("at", F.col("seq")))
+    decided = decided_messages(rows, None if snapshot is None else _ids(snapshot), wait, min_rows)
+    return _book(_applied(rows, base, decided, wait))
+
+
+def replay_onwards(updates: DataFrame, snapshot: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Book and last ids after ``updates`` on the state ``snapshot`` that earlier messages have left.
+
+    As :func:`replay_book` and :func:`last_update_id` give them, but messages are decided once for both. The third
+    is those decisions, persisted; the caller unpersists them when both results are written. None if there was
+    nothing to decide.
+    """
+    rows, base = _rows_and_base(updates, snapshot)
+    every = base.unionByName(rows)
+    if _plain_ids(every):
+        book = _book(current_updates(every).withColumn("at", F.col("seq")))
+        return book, every.groupBy("symbol").agg(F.max("u").alias("lastUpdateId")), None
+    decided = decided_messages(rows, _ids(snapshot)).persist()
+    return _book(_applied(rows, base, decided)), _last_ids(decided, snapshot), decided
+
+
+def _rows_and_base(updates: DataFrame, snapshot: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """Updates and the snapshot's levels, which come before all of them, in the same columns."""
     rows = updates if "kind" in updates.columns else updates.withColumn("kind", F.lit("diff"))
-    rows = rows.select(*cols)
     base = None
     if snapshot is not None:
-        base = snapshot.withColumns({"pos": F.lit(0), "seq": F.lit(-1).cast("long"), "kind": F.lit("diff")}).select(*cols)
-        if not resumed:
-            rows = _newer(rows, _ids(snapshot))
-    if not wait and _plain_ids(rows if base is None else base.unionByName(rows)):
-        applied = current_updates(rows if base is None else base.unionByName(rows), min_rows).withColumn("at", F.col("seq"))
-    else:
-        decided = decided_messages(rows, None if snapshot is None else _ids(snapshot), wait, min_rows).filter("applied")
-        applied = rows.join(decided.select("symbol", "seq", "at"), ["symbol", "seq"])
-        if base is not None:
-            applied = applied.unionByName(base.withColumn("at", F.lit(-2).cast("long")))
-        cleared = decided.filter("baseline").groupBy("symbol").agg(F.max("at").alias("_cleared"))
-        applied = applied.join(cleared, "symbol", "left").filter(F.col("_cleared").isNull() | (F.col("at") >= F.col("_cleared")))
+        base = snapshot.withColumns({"pos": F.lit(0), "seq": F.lit(-1).cast("long"), "kind": F.lit("diff")}).select(*UPDATE)
+    return rows.select(*UPDATE), base
+
+
+def _applied(rows: DataFrame, base: DataFrame | None, decided: DataFrame, wait: bool = False) -> DataFrame:
+    """The levels of applied messages from the symbol's last baseline on, with their place ``at``."""
+    applied = rows.join(decided.filter("applied").select("symbol", "seq", "at"), ["symbol", "seq"])
+    if base is not None:
+        applied = applied.unionByName(base.withColumn("at", F.lit(-2).cast("long")))
+    # A baseline is always applied, so this needs no decisions; the first one comes first if others wait for it.
+    last = F.max("seq")
+    if wait:
+        last = F.when(last == F.min("seq"), F.lit(-1).cast("long")).otherwise(last)
+    cleared = rows.filter(F.col("kind") == "baseline").groupBy("symbol").agg(last.alias("_cleared"))
+    return applied.join(cleared, "symbol", "left").filter(F.col("_cleared").isNull() | (F.col("at") >= F.col("_cleared")))
+
+
+def _book(applied: DataFrame) -> DataFrame:
+    """The last quantity of every level, by the place ``at`` of its message, minus zeros."""
     # One sortable number per (message, position) keeps this a hash aggregate with map-side
     # partials. A decimal has room for any two longs, so no arrival number can overflow it.
     turn = F.col("at").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
@@ -207,7 +243,11 @@ def last_update_id(updates: DataFrame, snapshot: DataFrame | None = None, wait:
         every = snapshot.select("symbol", F.lit(-1).cast("long").alias("seq"), "u", F.lit("diff").alias("kind")).unionByName(rows)
     if not wait and _plain_ids(every):
         return every.groupBy("symbol").agg(F.max("u").alias("lastUpdateId"))
-    decided = decided_messages(rows, None if snapshot is None else _ids(snapshot), wait)
+    return _last_ids(decided_messages(rows, None if snapshot is None else _ids(snapshot), wait), snapshot)
+
+
+def _last_ids(decided: DataFrame, snapshot: DataFrame | None) -> DataFrame:
+    """The id after each symbol's last message; that of the snapshot where there was none."""
     after = decided.groupBy("symbol").agg(F.max_by("last", "at").alias("lastUpdateId"))
     if snapshot is None:
         return after
