@@ -73,3 +73,19 @@ def test_messages_are_decided_once(spark):
     df = spark.createDataFrame(rows, "symbol string, side string, pos int, price double, qty double, u long, seq long, kind string")
     once = optimized(bk.decided_messages(df)).count("row_number()")
     assert once and optimized(bk.replay_book(df)).count("row_number()") == once
+
+
+def test_a_batch_of_messages_is_decided_once_for_book_and_ids(spark, monkeypatch):
+    calls = []
+    plain, decided = bk._plain_ids, bk.decided_messages
+    monkeypatch.setattr(bk, "_plain_ids", lambda *a: calls.append("plain") or plain(*a))
+    monkeypatch.setattr(bk, "decided_messages", lambda *a: calls.append("decided") or decided(*a))
+    rows = [("A", "bid", 0, 1.0, 2.0, 8, 1, "diff"), ("A", "ask", 0, 3.0, 4.0, None, 2, "diff"), ("A", "ask", 0, 3.0, 9.0, 9, 3, "diff")]
+    updates = spark.createDataFrame(rows, "symbol string, side string, pos int, price double, qty double, u long, seq long, kind string")
+    book = spark.createDataFrame([("B", "bid", 1.0, 1.0)], sb.BOOK_SCHEMA)
+    ids = spark.createDataFrame([("A", 7), ("B", 3)], sb.IDS_SCHEMA)
+    after, newest, held = sb.apply_updates(book, ids, updates)
+    assert sorted(tuple(r) for r in after.collect()) == [("A", "ask", 3.0, 4.0), ("A", "bid", 1.0, 2.0), ("B", "bid", 1.0, 1.0)]
+    assert sorted(tuple(r) for r in newest.collect()) == [("A", 9), ("B", 3)]
+    assert calls == ["plain", "decided"] and held.storageLevel.useMemory
+    held.unpersist()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tickloom.operators.book import FAR, last_update_id, replay_book
+from tickloom.operators.book import FAR, last_update_id, replay_onwards
 from tickloom.streaming.run import start, use_rocksdb
 from tickloom.streaming.state import StateTable, by_symbol
 
@@ -25,8 +25,8 @@ BOOK_SCHEMA = "symbol STRING, side STRING, price DOUBLE, qty DOUBLE"
 IDS_SCHEMA = "symbol STRING, lastUpdateId BIGINT"
 
 
-def apply_updates(book: DataFrame, ids: DataFrame, updates: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Stored book and last ids plus new diff levels: the book and ids after them."""
+def apply_updates(book: DataFrame, ids: DataFrame, updates: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Stored book and last ids plus new diff levels: the book and ids after them, and what to unpersist after use."""
     baseline = ids.select(
         "symbol",
         F.lit("bid").alias("side"),
@@ -39,7 +39,7 @@ def apply_updates(book: DataFrame, ids: DataFrame, updates: DataFrame) -> tuple[
         "symbol", "side", "price", "qty", F.col("lastUpdateId").alias("u")
     )
     snapshot = stored.unionByName(baseline)
-    return replay_book(updates, snapshot, resumed=True), last_update_id(updates, snapshot)
+    return replay_onwards(updates, snapshot)
 
 
 def book_job(
@@ -62,9 +62,13 @@ def book_job(
         if batch.isEmpty():
             return
         parts = ids.touched(batch)
-        book, newest = apply_updates(books.read(batch_id, parts), ids.read(batch_id, parts), batch)
-        books.write(book, batch_id, parts)
-        ids.write(newest, batch_id, parts)
+        book, newest, decided = apply_updates(books.read(batch_id, parts), ids.read(batch_id, parts), batch)
+        try:
+            books.write(book, batch_id, parts)
+            ids.write(newest, batch_id, parts)
+        finally:
+            if decided is not None:
+                decided.unpersist()
         books.prune(batch_id)
         ids.prune(batch_id)
 
