@@ -20,23 +20,30 @@ def tick_stream(spark, d):
     return td.ticks_of(st.parquet_stream(spark, d, td.EVENTS_SCHEMA, "events.parquet"))
 
 
-# Files of a micro-batch, each written by a task of its own.
+# Files of a micro-batch at least, and rows from which on it gets more; each is written and read by a task of its own.
 FILES = 4
+FILE_ROWS = 125_000
 
 
-def _written(part, folder):
-    """``part`` as FILES files, the unit that a stream over the folder reads at once."""
-    part.repartition(FILES).write.mode("append").parquet(folder)
+def _files(rows):
+    """How many files a micro-batch of about so many rows gets."""
+    return max(FILES, -(-rows // FILE_ROWS))
+
+
+def _written(part, folder, files=FILES):
+    """``part`` as so many files, the unit that a stream over the folder reads at once."""
+    part.repartition(files).write.mode("append").parquet(folder)
 
 
 def tick_batches(spark, d, batches=4, symbol="event_type"):
     """The same trades in ``batches`` equal ranges of ids, one per micro-batch."""
     folder = run_dir(spark, "split")
     events = td.events(spark, d)
-    top = events.agg(F.max("event_id")).first()[0]
+    top, rows = events.agg(F.max("event_id"), F.count(F.lit(1))).first()
+    files = _files(rows // batches)
     for i in range(batches):
-        _written(events.filter(F.floor(F.col("event_id") * batches / (top + 1)) == i), folder)
-    return td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", FILES), symbol)
+        _written(events.filter(F.floor(F.col("event_id") * batches / (top + 1)) == i), folder, files)
+    return td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", files), symbol)
 
 
 # Rows of a micro-batch of a stream whose tasks hold a symbol's messages of one batch.
@@ -367,8 +374,8 @@ def repeated_batches(spark, d, batches=4):
     """Candle updates in micro-batches, each with the last hours of the one before it and some of the first one again."""
     folder = run_dir(spark, "again")
     events = td.events(spark, d)
-    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
-    size = (high - low + batches) // batches
+    low, high, rows = events.agg(F.min("event_id"), F.max("event_id"), F.count(F.lit(1))).first()
+    size, files = (high - low + batches) // batches, _files(rows // batches)
     for i in range(batches):
         begin = low + i * size
         part = events.filter((F.col("event_id") >= begin) & (F.col("event_id") < begin + size))
@@ -377,8 +384,8 @@ def repeated_batches(spark, d, batches=4):
             part = part.unionByName(near)
         if i == batches - 1:
             part = part.unionByName(events.filter(F.col("event_id") < low + 20))  # far behind the watermark
-        _written(part, folder)
-    ticks = td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", FILES))
+        _written(part, folder, files)
+    ticks = td.ticks_of(st.parquet_stream(spark, folder, td.EVENTS_SCHEMA, "*.parquet", files))
     return ms.parse_klines(td.kline_messages(ticks), keep=["seq"])
 
 
@@ -389,10 +396,11 @@ def repeated_batches(spark, d, batches=4):
 )
 def stream_first_closed_batches(spark, d):
     """Closed candles once, though the next batch and one past the watermark bring some of them again."""
-    q, first = ss.first_closed_job(repeated_batches(spark, d), run_dir(spark, "first"), "2 days")
+    klines = repeated_batches(spark, d)
+    q, first = ss.first_closed_job(klines, run_dir(spark, "first"), "2 days")
     drain(q)
     # The stored table beside it has the last write of every candle.
-    q, candles, _ = ss.candle_store_job(repeated_batches(spark, d), run_dir(spark, "store"), None, 7 * DAY_MS)
+    q, candles, _ = ss.candle_store_job(klines, run_dir(spark, "store"), None, 7 * DAY_MS)
     drain(q)
     seen = first.read().groupBy("symbol", "openTime").agg(F.count(F.lit(1)).alias("arrivals"))
     kept = candles.read().groupBy("symbol", "openTime").agg(F.count_distinct("close").alias("closes"))

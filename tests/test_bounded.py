@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pandas as pd
 import pytest
 
-from catalog import QUERIES
+from catalog import QUERIES, flows
 from catalog.flows import bounded_batches
 from tickloom.operators import book as bk
 from tickloom.sources import testdata as td
@@ -89,3 +89,25 @@ def test_a_batch_of_messages_is_decided_once_for_book_and_ids(spark, monkeypatch
     assert sorted(tuple(r) for r in newest.collect()) == [("A", 9), ("B", 3)]
     assert calls == ["plain", "decided"] and held.storageLevel.useMemory
     held.unpersist()
+
+
+def test_large_micro_batches_have_more_files(spark, tmp_path, monkeypatch):
+    """Tasks that read a micro-batch grow in number with its rows."""
+    monkeypatch.setattr(flows, "FILE_ROWS", 10)
+    d = events_of(spark, tmp_path)
+    for stream in (flows.tick_batches(spark, d), flows.repeated_batches(spark, d)):
+        sizes = []
+
+        def seen(batch, _):
+            sizes.append((batch.rdd.getNumPartitions(), batch.count()))
+
+        drain(stream.writeStream.foreachBatch(seen).option("checkpointLocation", str(tmp_path / f"c{stream.columns[-1]}")).trigger(availableNow=True).start())
+        assert len(sizes) == 4 and all(150 <= n <= 190 for _, n in sizes) and flows._files(150) == 15
+
+
+def test_batches_of_repeated_candles_are_written_once(spark, tmp_path, monkeypatch):
+    calls = []
+    made = flows.repeated_batches
+    monkeypatch.setattr(flows, "repeated_batches", lambda *a: calls.append(a) or made(*a))
+    out = flows.stream_first_closed_batches(spark, events_of(spark, tmp_path, 200))
+    assert len(calls) == 1 and out.where("closes = 1 AND arrivals = 1").count() == sum(i * 7 % 100 >= 10 for i in range(200))
